@@ -1,8 +1,9 @@
 """The registered queries of this folder, and DuckDB SQL for those that SQL can express."""
 
 from kinweave.llm.bpe import op1_bpe
+from kinweave.llm.jaccard import op7_ngram_jaccard_join
 from kinweave.llm.quality import op6_quality_rules
 from kinweave.llm.urlfilter import OP8_SQL, op8_url_filter
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op6_quality_rules, op8_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op6_quality_rules, op7_ngram_jaccard_join, op8_url_filter)}
 ORACLES = {"op8_url_filter": OP8_SQL}
