@@ -3,7 +3,8 @@
 from kinweave.llm.bpe import op1_bpe
 from kinweave.llm.jaccard import op7_ngram_jaccard_join
 from kinweave.llm.quality import op6_quality_rules
+from kinweave.llm.recompress import op10_substring_dedup
 from kinweave.llm.urlfilter import OP8_SQL, op8_url_filter
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op6_quality_rules, op7_ngram_jaccard_join, op8_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op6_quality_rules, op7_ngram_jaccard_join, op8_url_filter, op10_substring_dedup)}
 ORACLES = {"op8_url_filter": OP8_SQL}
