@@ -2,9 +2,13 @@
 
 from kinweave.llm.bpe import op1_bpe
 from kinweave.llm.jaccard import op7_ngram_jaccard_join
+from kinweave.llm.language import op2_language_id
+from kinweave.llm.licenses import op4_license_scan
+from kinweave.llm.packing import op9_best_fit_packing
 from kinweave.llm.quality import op6_quality_rules
 from kinweave.llm.recompress import op10_substring_dedup
+from kinweave.llm.toxicity import op5_toxicity
 from kinweave.llm.urlfilter import OP8_SQL, op8_url_filter
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op6_quality_rules, op7_ngram_jaccard_join, op8_url_filter, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_language_id, op4_license_scan, op5_toxicity, op6_quality_rules, op7_ngram_jaccard_join, op8_url_filter, op9_best_fit_packing, op10_substring_dedup)}
 ORACLES = {"op8_url_filter": OP8_SQL}
