@@ -67,7 +67,7 @@ def read_candidates(spark: SparkSession, path: str) -> DataFrame:
 def write_tsv(df: DataFrame, path: str, order: str | None = None) -> None:
     """One file, sorted by `order` if given; empty cells stay empty."""
     out = df.orderBy(order).drop(order) if order else df
-    out.coalesce(1).write.mode("overwrite").option("sep", "\t").option("header", True).option("emptyValue", "").option("escape", "'"'").csv(path)
+    out.coalesce(1).write.mode("overwrite").option("sep", "\t").option("header", True).option("emptyValue", "").option("escape", '"').csv(path)
 
 
 def write_json(value: dict, path: str, spark: SparkSession) -> None:
