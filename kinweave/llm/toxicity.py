@@ -2,7 +2,7 @@
 
 A sentence is as toxic as its most toxic word, and a document as its most toxic sentence. Words are
 compared by their common subsequences of LENGTH letters: each counts DECAY to the power of the
-stretch it takes in both words, so a word with gaps or inserted characters stays close to the insult
+shortest stretch it takes in either word, so a word with gaps or inserted characters stays close to the insult
 it hides. Runs of single letters count as one word as well. Landmarks are insults found in training
 sentences; the kernel to the landmarks, whitened by the kernel among them, is the feature vector of a
 linear SVM.
@@ -101,7 +101,7 @@ class Scorer:
             code = np.array([self.letter[c] for c in word])[places] @ self.size ** np.arange(LENGTH)
             total = collections.Counter()
             for c, w in zip(code.tolist(), weight.tolist(), strict=True):
-                total[c] += w
+                total[c] = max(total[c], w)
             norm = math.sqrt(sum(w * w for w in total.values()))
             for c, w in total.items():
                 weights[c][k] = w / norm
@@ -150,11 +150,15 @@ class Scorer:
                 code[bad] = 0
                 row = self.row[code]
                 w, p = np.nonzero(~bad & (row >= 0))
-                row = row[w, p]
+                # Of a subsequence's occurrences in a word the closest counts, so repeated syllables don't add up.
+                cells, of = np.unique(w * len(self.first) + row[w, p], return_inverse=True)
+                best = np.zeros(len(cells))
+                np.maximum.at(best, of, weight[p])
+                w, row = np.divmod(cells, len(self.first))
                 many = self.first[row + 1] - self.first[row]
                 entry = np.repeat(self.first[row] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
                 cell = np.repeat(w, many) * n + self.column[entry]
-                out[block] += np.bincount(cell, np.repeat(weight[p], many) * self.value[entry], len(block) * n).reshape(-1, n)
+                out[block] += np.bincount(cell, np.repeat(best, many) * self.value[entry], len(block) * n).reshape(-1, n)
         bits = letter_bits(words)
         out[np.bitwise_count(bits[:, None] & self.bits[None, :]) < self.need[None, :]] = 0
         return out
@@ -204,15 +208,26 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> l
 
 
 def _stems(rows: list[str], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, document, place) of every run of `size` letters within a word, once a document; places in the joined texts."""
-    flat = np.frombuffer("".join(rows).encode("utf-32-le", "surrogatepass"), np.uint32)
-    doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    h = rolling(mix(flat.astype(np.uint64) + np.uint64(1)), size)
-    spaces = np.concatenate([[0], np.cumsum(flat == 32)])
-    at = np.flatnonzero(spaces[size:] == spaces[:-size]) if len(flat) >= size else np.empty(0, np.int64)
-    at = at[doc[at] == doc[at + size - 1]]
-    pair = np.unique(np.stack([h[at], doc[at].astype(np.uint64)]), axis=1, return_index=True)
-    return pair[0][0], pair[0][1].astype(np.int64), at[pair[1]]
+    """(hash, document, place) of every run of `size` letters within a word, once a document, by hash; places in the joined texts. Some documents at a time, for the driver's memory."""
+    out, before = [], 0
+    for k in range(0, len(rows), 100):
+        some = rows[k : k + 100]
+        flat = np.frombuffer("".join(some).encode("utf-32-le", "surrogatepass"), np.uint32)
+        doc = np.repeat(np.arange(len(some), dtype=np.int32), [len(r) for r in some])
+        if len(flat) >= size:
+            h = rolling(mix(flat.astype(np.uint64) + np.uint64(1)), size)
+            spaces = np.concatenate([[0], np.cumsum(flat == 32)])
+            at = np.flatnonzero(spaces[size:] == spaces[:-size])
+            at = at[doc[at] == doc[at + size - 1]]
+            _, once = np.unique(mix(h[at] + doc[at].astype(np.uint64)), return_index=True)
+            at = at[once]
+            out.append((h[at], doc[at] + np.int32(k), (at + before).astype(np.int32)))
+        before += len(flat)
+    if not out:
+        return np.empty(0, np.uint64), np.empty(0, np.int32), np.empty(0, np.int32)
+    h, doc, at = (np.concatenate(x) for x in zip(*out, strict=True))
+    order = np.argsort(h, kind="stable")
+    return h[order], doc[order], at[order]
 
 
 def toxic_stems(rows: list[tuple[str, int]], sizes: tuple[int, ...] = (6, 5, 4)) -> list[tuple[str, int]]:
@@ -227,11 +242,11 @@ def toxic_stems(rows: list[tuple[str, int]], sizes: tuple[int, ...] = (6, 5, 4))
         return []
     marks = np.array([[min((xxhash.xxh32_intdigest(w, k) for w in t.split()), default=0) for k in range(4)] for t in bad])
     joined = "".join(bad)
-    least = max(3, math.ceil(0.004 * len(bad)))
+    least = max(4, math.ceil(0.004 * len(bad)))
     found = []
     for size in sizes:
         h, doc, at = _stems(bad, size)
-        g, _, _ = _stems(good, size)
+        g = _stems(good, size)[0]
         name, first, n = np.unique(h, return_index=True, return_counts=True)
         clean = np.searchsorted(g, name, "right") - np.searchsorted(g, name, "left")  # g is sorted by hash
         for k in np.flatnonzero((n >= least) & (clean <= 0.01 * n)).tolist():
@@ -239,16 +254,21 @@ def toxic_stems(rows: list[tuple[str, int]], sizes: tuple[int, ...] = (6, 5, 4))
             count = min(len(set(mine[:, j].tolist())) for j in range(4))
             if count >= least:
                 found.append((joined[at[first[k]] : at[first[k]] + size], count))
-    out: list[tuple[str, int]] = []
-    taken: set[str] = set()
     most = max((count for _, count in found), default=0)
-    for stem, count in sorted(found, key=lambda x: (-x[1], -len(x[0]), x[0])):
-        if count < RARE * most:  # chance runs, where labels are wrong
-            break
-        parts = {stem[i : i + 3] for i in range(len(stem) - 2)}
-        if len(parts & taken) < max(1, len(parts) - 1):
+    found = sorted((x for x in found if x[1] >= RARE * most), key=lambda x: (-x[1] * (1 + 0.08 * len(x[0])), x[0]))  # a longer run says more
+    if not found:
+        return []
+    # A run counts only where no run taken before it stands in the same word: endings of toxic words are no insults.
+    clean_words = {u for t in good for u in t.split()}
+    any_run = re.compile("|".join(re.escape(x) for x, _ in found))
+    holds = collections.Counter(u for t in bad for u in set(t.split()) if any_run.search(u) and u not in clean_words)
+    out: list[tuple[str, int]] = []
+    for stem, count in found:
+        mine = [u for u in holds if stem in u]
+        if sum(holds[u] for u in mine) >= max(least, RARE * most):
             out.append((stem, count))
-            taken |= parts
+            for u in mine:
+                del holds[u]
     return out[:LANDMARKS]
 
 
@@ -290,23 +310,30 @@ def train(rows: list[tuple[str, int]]) -> Scorer:
     often = [w for w, _ in sorted(clean.items(), key=lambda x: (-x[1], x[0]))[: CLEAN_WORDS // 2] if len(w) <= WIDE]
     negative = sorted({*hard, *often})
     rng = np.random.Generator(np.random.PCG64(11))
-    whole = sorted({u for text, y in rows if y for u in units(text) if len(u) <= WIDE - 2 and u not in clean and any(x in u for x in landmarks)})
+    holds = collections.Counter(u for text, y in rows if y for u in set(units(text)) if len(u) <= WIDE - 2 and u not in clean and any(x in u for x in landmarks))
+    whole = sorted(holds)
     positive = whole + [hidden(w, rng) for w in whole]
     x = scorer.kernels(positive + negative) @ scorer.white
     y = np.array([1.0] * len(positive) + [-1.0] * len(negative))
-    weight = np.where(y > 0, 0.5 / len(positive), 0.5 / max(1, len(negative)))
+    # A word counts by the documents that hold it, so ten frequent insults aren't lost among many rare ones.
+    often = np.array([holds[w] for w in whole] * 2 + [1.0] * len(negative))
+    weight = np.where(y > 0, 0.5 * often / max(1.0, often[y > 0].sum()), 0.5 / max(1, len(negative)))
     scorer.weights, scorer.bias = svm(x, y, weight)
-    # Documents' margins set where the score is one half: between the clean documents' and the toxic ones'.
-    seen: dict[str, float] = {}
-    every = sorted({u for text, _ in rows for u in units(text)})
-    for i in range(0, len(every), 20000):
-        seen |= dict(zip(every[i : i + 20000], scorer.margins(every[i : i + 20000]).tolist(), strict=True))
-    of = [(max((seen[u] for u in units(text)), default=scorer.bias), toxic) for text, toxic in rows]
-    good, bad = sorted(m for m, t in of if not t), sorted(m for (m, t), (text, _) in zip(of, rows, strict=True) if t and any(x in u for u in units(text) for x in landmarks))
+    # The score is one half between what clean documents reach and what nearly all toxic words do.
+    good: list[float] = []
+    texts = [set(units(text)) for text, toxic in rows if not toxic]
+    for i in range(0, len(texts), 100):
+        some = sorted(set().union(*texts[i : i + 100]))
+        seen = dict(zip(some, scorer.margins(some).tolist(), strict=True))
+        good += [max((seen[u] for u in t), default=scorer.bias) for t in texts[i : i + 100]]
+    good.sort()
+    reach = scorer.margins(whole)
+    order = np.argsort(reach)
+    share = np.cumsum(often[: len(whole)][order]) / often[: len(whole)].sum()
     # Clean documents are kept rather than toxic ones caught: the threshold is above all but one clean document in 500.
-    low, high = good[int(0.998 * (len(good) - 1))], bad[int(0.1 * (len(bad) - 1))]
-    at = (low + high) / 2 if high > low else low + 0.05
-    scorer.scale = max(4.0, 4.0 / max(1e-3, abs(high - low)))
+    low, high = good[int(0.998 * (len(good) - 1))], float(reach[order][np.searchsorted(share, 0.02)])
+    at = low + 0.35 * (high - low) if high > low else low + 0.05
+    scorer.scale = min(15.0, max(4.0, 4.0 / max(1e-3, abs(high - low))))
     scorer.shift = at - math.log(THRESHOLD / (1 - THRESHOLD)) / scorer.scale
     return scorer
 
