@@ -155,7 +155,7 @@ SKETCH_BLOCKS = 64
 
 
 def fold_blocks(rows: DataFrame, dtype: str, join: Callable) -> DataFrame:
-    """Rows (block int, cells binary) of equal blocks are joined cell by cell; batches stream, so memory is one sketch a task."""
+    """Rows (block int, cells binary), a task's own already joined, are joined cell by cell; batches stream, so memory is one sketch a task."""
 
     def run(batches):
         held: dict[int, np.ndarray] = {}
@@ -166,8 +166,7 @@ def fold_blocks(rows: DataFrame, dtype: str, join: Callable) -> DataFrame:
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([x.tobytes() for x in held.values()], pa.binary())], ["block", "cells"])
 
-    once = rows.mapInArrow(run, "block int, cells binary")
-    return once.repartition(SKETCH_BLOCKS, "block").mapInArrow(run, "block int, cells binary")
+    return rows.repartition(SKETCH_BLOCKS, "block").mapInArrow(run, "block int, cells binary")
 
 
 def gather_blocks(rows: DataFrame, dtype: str, cells: int) -> np.ndarray:

@@ -5,12 +5,14 @@ n - ceil(t * n) + 1 of either, under any one order of all tokens. The first orde
 the corpus, rare first, from a counting sketch of a fixed size filled over all documents (any order is
 valid, so the sketch's error costs work and no link); its prefix tokens are the keys that bring
 documents together. Pairs found so must also share a prefix token under two further orders, by two
-hashes of the token, before the whole sets are compared.
+hashes of the token, before the whole sets are compared. Whole sets travel only for pairs whose bit
+maps, one parity bit a token, don't already show more differences than a link allows.
 
 Links are wanted as components, so a group of documents that share a key isn't expanded into its
-pairs. Equal sets are one entity. Each group first compares its members with one hub, the member that
-has the key earliest in its prefix; groups of frequent keys are split by a hash of the member, with a
-hub each, and the hubs compared again. Only groups that then still hold members of different
+pairs. Equal sets are one entity. Each group first compares its members with one hub, the member with
+the smallest share of rare tokens, which in a group of near copies is the one closest to all others;
+groups of frequent keys are split by a hash of the member, with a hub each, and the hubs compared
+again. Only groups that then still hold members of different
 components compare the members pairwise across components, within the bounds on sizes and positions,
 so no link between different components is lost.
 
@@ -80,6 +82,34 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
     return DEN * both >= NUM * (len(a) + len(b) - both)
 
 
+def parity(h: np.ndarray) -> bytes:
+    """A bit map with the parity of the set's tokens in each place: a power of two of places, one or more a token and 512 at least."""
+    size = 512
+    while size < len(h):
+        size *= 2
+    bits = np.bincount((mix(h ^ _U(0x2545F4914F6CDD1D)) & _U(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()
+
+
+def may_link(a: bytes, n: int, b: bytes, m: int) -> bool:
+    """Whether two bit maps differ in no more places than two sets that link can differ in tokens. The larger map is folded."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    # With an overlap of at least NUM / (NUM + DEN) of both sizes together, this many tokens are in one set only.
+    return (NUM + DEN) * int(np.bitwise_count(x ^ y).sum()) <= (DEN - NUM) * (n + m)
+
+
+def folded(bits: bytes) -> np.ndarray:
+    """A bit map folded to eight longs."""
+    x = np.frombuffer(bits, np.uint64)
+    while len(x) > 8:
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return x.view(np.int64)
+
+
 def _ids(batch):
     return batch.column(0).to_pylist(), batch.column(1)
 
@@ -123,14 +153,15 @@ def frequency_sketch(first: DataFrame) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
-    """(doc_id, n, fp1, fp2, tokens, cold): set sizes, 128 bits of the set, its prefix in the first order, and how many of the prefix are not frequent."""
+    """(doc_id, n, fp1, fp2, tokens, cold, rare, bits, map8): set sizes, 128 bits of the set, its prefix in the first order, how many of the prefix are not frequent, how many thousandths of the set are rare, its bit map, and that folded to eight longs."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
-    hot = float(sketch.mean()) + HOT
+    mean = float(sketch.mean())
+    hot, few = mean + HOT, mean + 4 * mean**0.5 + 2
 
     def run(batches):
         for batch in batches:
             ids, texts = _ids(batch)
-            n, fp1, fp2, tokens, cold = [], [], [], [], []
+            n, fp1, fp2, tokens, cold, rare, bits, map8 = [], [], [], [], [], [], [], []
             for h in shingle_sets(texts):
                 n.append(len(h))
                 for out, x in zip((fp1, fp2), _print(h), strict=True):
@@ -139,19 +170,32 @@ def fingerprints(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
                 order = np.lexsort((h, often))[: prefix_length(len(h))] if len(h) else []
                 tokens.append(h[order].view(np.int64) if len(h) else np.empty(0, np.int64))
                 cold.append(int((often[order] < hot).sum()) if len(h) else 0)
+                rare.append(int(1000 * (often < few).mean()) if len(h) else 0)
+                bits.append(parity(h))
+                map8.append(folded(bits[-1]))
             flat = np.concatenate(tokens) if tokens else np.empty(0, np.int64)
             at = np.cumsum([0, *map(len, tokens)])
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int32()), pa.array(fp1, pa.int64()), pa.array(fp2, pa.int64()), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat)), pa.array(cold, pa.int32())], ["doc_id", "n", "fp1", "fp2", "tokens", "cold"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int32()), pa.array(fp1, pa.int64()), pa.array(fp2, pa.int64()), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat)), pa.array(cold, pa.int32()), pa.array(rare, pa.int32()), pa.array(bits, pa.binary()), pa.array(map8, pa.list_(pa.int64()))], ["doc_id", "n", "fp1", "fp2", "tokens", "cold", "rare", "bits", "map8"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n int, fp1 long, fp2 long, tokens array<long>, cold int")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n int, fp1 long, fp2 long, tokens array<long>, cold int, rare int, bits binary, map8 array<long>")
 
 
 def sizes_fit(a: str, b: str):
     return DEN * F.least(a, b) >= NUM * F.greatest(a, b)
 
 
-def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Of (a, b) the pairs that link. The documents are read again for the sets of those in a pair; a Bloom filter of a fixed size keeps the rest from being sent."""
+def verify(pairs: DataFrame, docs: DataFrame, members: DataFrame) -> DataFrame:
+    """Of (a, b) the pairs that link. The documents are read again for the sets of those in a pair that the bit maps let through; a Bloom filter of a fixed size keeps the rest from being sent."""
+
+    def by_bits(batches):
+        for batch in batches:
+            x = batch.to_pydict()
+            ok = [may_link(*y) for y in zip(x["p"], x["n"], x["q"], x["m"], strict=True)]
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok, pa.bool_())) for c in batch.columns[:2]], ["a", "b"])
+
+    maps = members.select(F.col("ent").alias("a"), F.col("bits").alias("p"), "n")
+    mapped = pairs.join(maps, "a").join(maps.toDF("b", "q", "m"), "b").select("a", "b", "p", "n", "q", "m")
+    pairs = materialize(mapped.mapInArrow(by_bits, "a long, b long"))
     seen = bloom_of(pairs.select(F.explode(F.array("a", "b")).alias("v")), "v")
     wanted = docs.sparkSession.sparkContext.broadcast(seen)
 
@@ -185,35 +229,38 @@ def similar_components(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text").where("doc_id is not null")
     first = materialize(first_pass(docs))
     prints = fingerprints(docs, frequency_sketch(first))
-    members = materialize(prints.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("ent"), F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("cold").alias("cold")).where("n > 0"))
-    keys = members.select("ent", "n", "cold", F.posexplode("tokens").alias("pos", "token"))
+    members = materialize(prints.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("ent"), F.first("n").alias("n"), F.first("tokens").alias("tokens"), *(F.first(x).alias(x) for x in ("cold", "rare", "bits", "map8"))).where("n > 0"))
+    keys = members.select("ent", "n", "cold", "rare", F.posexplode("tokens").alias("pos", "token"))
     keys = keys.withColumn("salt", F.when(F.col("pos") >= F.col("cold"), 1 + F.pmod(F.hash("ent"), F.lit(SALTS))).otherwise(0)).drop("cold")
     group = W.partitionBy("token", "salt")
-    early = group.orderBy("pos", "n", "ent")
+    early = group.orderBy("rare", "ent")
     met = keys.withColumns({"many": F.count("*").over(group), "hub": F.first("ent").over(early), "hub_n": F.first("n").over(early)})
     # A key of one document finds nothing; a split group's hub has others to meet, so it stays.
     met = materialize(met.where("many > 1 or salt > 0"))
-    hubs = W.partitionBy("token").orderBy("pos", "n", "ent")
+    hubs = W.partitionBy("token").orderBy("rare", "ent")
     split = met.where("salt > 0 and ent = hub").withColumns({"hub": F.first("ent").over(hubs), "hub_n": F.first("n").over(hubs)})
     tried = met.select("hub", "hub_n", "ent", "n").union(split.select("hub", "hub_n", "ent", "n")).where("hub <> ent")
     tried = tried.where(sizes_fit("n", "hub_n")).select(F.least("hub", "ent").alias("a"), F.greatest("hub", "ent").alias("b")).distinct()
     tried = materialize(tried)
-    links = materialize(verify(tried, docs))
+    links = materialize(verify(tried, docs, members))
     labels = components(links)
 
     # What the hubs didn't settle: keys whose documents are in different components.
     known = met.select("token", "ent", "n", "pos").join(labels.withColumnRenamed("node", "ent"), "ent", "left").withColumn("label", F.coalesce("label", "ent"))
     known = materialize(known)
     open_keys = known.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token")
-    rest = known.join(open_keys, "token", "left_semi")
+    eight = members.select("ent", *(F.col("map8")[k].alias(f"m{k}") for k in range(8)))
+    rest = known.join(open_keys, "token", "left_semi").join(eight, "ent")
     x, y = rest.alias("x"), rest.alias("y")
     # At the first key that two documents share, no more than what follows it in both can be common.
     room = 7 * F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) >= 3 * (F.col("x.n") + F.col("y.n"))
+    differ = sum((F.bit_count(F.col(f"x.m{k}").bitwiseXOR(F.col(f"y.m{k}"))) for k in range(8)), F.lit(0))
+    room = room & (7 * differ <= F.col("x.n") + F.col("y.n"))
     across = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.ent") < F.col("y.ent")) & (F.col("x.label") != F.col("y.label")) & sizes_fit("x.n", "y.n") & room)
     across = across.select(F.col("x.ent").alias("a"), F.col("y.ent").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     across = materialize(across)
     if not across.isEmpty():
-        more = materialize(verify(across, docs))
+        more = materialize(verify(across, docs, members))
         if not more.isEmpty():
             labels = components(links.union(more))
 
