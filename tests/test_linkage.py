@@ -181,5 +181,5 @@ def test_tsv_round_trip(spark, tmp_path):
 def test_model_flow(spark):
     from kinweave.plans.queries import Q
 
-    rows = Q["predict_links"](spark, "/root/testdata/sf0.01").collect()
+    rows = Q["predict_links"](spark, "/root/testdata/sf0.001").collect()
     assert rows and all(0 <= r["score"] <= 1 for r in rows)
