@@ -178,8 +178,16 @@ def test_tsv_round_trip(spark, tmp_path):
     assert [tuple(r)[:4] for r in read_source(spark, str(tmp_path / "t"), 0).collect()] == [("S1-1", 'a "b"', "", "NA")]
 
 
-def test_model_flow(spark):
-    from kinweave.plans.queries import Q
-
-    rows = Q["predict_links"](spark, "/root/testdata/sf0.001").collect()
-    assert rows and all(0 <= r["score"] <= 1 for r in rows)
+def test_model(spark):
+    from kinweave.functions.features import FEATURES
+    from kinweave.plans import model
+
+    rng = random.Random(3)
+    rows = []
+    for i in range(120):
+        label = i % 2
+        rows.append((f"S1-{i // 4}", f"S2-{i}", label, *[label * 0.8 + rng.random() * 0.2 for _ in FEATURES]))
+    df = spark.createDataFrame(rows, ", ".join(["s1_id string", "cand_id string", "label int", *(f"{f} float" for f in FEATURES)])).coalesce(2).persist()
+    made = model.train(df, "logistic")
+    score = {r["cand_id"]: r["score"] for r in model.predict(made, df).collect()}
+    assert all((score[r[1]] > 0.5) == (r[2] == 1) for r in rows)
