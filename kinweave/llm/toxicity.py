@@ -1,6 +1,7 @@
 """Toxicity by a subsequence string kernel, Nystrom landmarks and a linear support vector machine.
 
-A sentence is as toxic as its most toxic word, and a document as its most toxic sentence. Words are
+A sentence is as toxic as its most toxic word, and a document as its most toxic sentence or as all its
+words together (see below), whichever is more. Words are
 compared by their common subsequences of LENGTH letters: each counts DECAY to the power of the
 shortest stretch it takes in either word, so a word with gaps or inserted characters stays close to the insult
 it hides. Runs of single letters count as one word as well. Landmarks are insults found in training
@@ -12,6 +13,11 @@ sentences have their document's label. Landmarks are the runs of letters that ma
 documents share and clean ones hardly have; the SVM learns from the words of toxic sentences that hold
 one, also with characters put in, against clean sentences' words.
 
+All words together: words that mark toxicity by being repeated stand in clean documents as well, so a
+second SVM weighs how often a document holds each piece (a word or a beginning of words). Pieces are
+those that toxic documents of one kind, mostly a language, hold once, twice or three times more often
+than clean ones of that kind beyond chance; the threshold is taken from documents left out of the fit.
+
 A word is compared only if it has all but one of the letters of some landmark; for others the kernel
 counts as 0, in training and in scoring alike. Null or empty text, or no words: the score of no toxic
 word. Very long texts: whole, a block of text at a time. Repeated rows get the same score. Extra
@@ -25,6 +31,7 @@ import functools
 import itertools
 import math
 import re
+import sys
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +45,10 @@ LENGTH, DECAY = 4, 0.6
 #: Labelled documents of either label, landmarks, clean words for the SVM.
 SAMPLE, LANDMARKS, CLEAN_WORDS = 1500, 64, 6000
 THRESHOLD = 0.7
+#: Share of clean documents that the pieces may score as toxic.
+FALSE = 0.002
+#: The least margin of the pieces that is toxic, whatever the clean documents reach.
+FLOOR = 0.2
 #: Runs of letters in fewer documents than this share of the most frequent one's are chance.
 RARE = 0.12
 #: Longer words are cut into overlapping stretches of this many letters.
@@ -115,6 +126,7 @@ class Scorer:
         self.need = np.bitwise_count(self.bits).astype(int) - 1
         self.white = np.zeros((0, 0))
         self.weights, self.bias, self.scale, self.shift = np.zeros(0), 0.0, 1.0, 0.0
+        self.weigher = Weigher([])
         if landmarks:
             value, vector = np.linalg.eigh(self.kernels(landmarks))
             keep = value > 1e-6
@@ -296,9 +308,185 @@ def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 600, rid
     return w[:-1], float(w[-1])
 
 
+# ---- words that clean documents hold as well --------------------------------------------------------
+
+#: Kinds of documents by their frequent words, and the least 2 ln of a likelihood ratio that isn't chance among all pieces.
+KINDS, CHANCE = 8, 24.0
+#: The longest beginning of a word that is a piece of its own.
+LONGEST = 9
+
+
+def tokens(text: str) -> list[str]:
+    """All words of a text in lower case, without marks at their ends."""
+    return [sys.intern(x) for w in text.lower().split() if (x := w if w.isalpha() else _STRIP.sub("", w))]
+
+
+def pieces(word: str) -> list[str]:
+    """A word's beginnings of three letters and more, and the whole word."""
+    return [word[:n] for n in range(3, min(len(word), LONGEST + 1))] + [word + "$"]
+
+
+def piece_counts(words: list[str], place: dict[str, int] | None = None, held: dict[str, list] | None = None) -> collections.Counter:
+    """How many of the words hold each piece; with `place` only its pieces, by their places there."""
+    many = collections.Counter(words)
+    out: collections.Counter = collections.Counter()
+    for w, n in many.items():
+        if place is None:
+            mine = pieces(w)
+        elif held is None or (mine := held.get(w)) is None:
+            mine = [place[x] for x in pieces(w) if x in place]
+            if held is not None:
+                held[w] = mine
+        for x in mine:
+            out[x] += n
+    return out
+
+
+def kinds(docs: list[list[str]]) -> np.ndarray:
+    """Of each document its kind, by k-means over which of the most frequent words it holds: mostly its language."""
+    often = collections.Counter(w for d in docs for w in set(d))
+    place = {w: i for i, (w, _) in enumerate(sorted(often.items(), key=lambda x: (-x[1], x[0]))[:200])}
+    x = np.zeros((len(docs), len(place)))
+    for i, d in enumerate(docs):
+        x[i, [place[w] for w in set(d) if w in place]] = 1
+    x /= np.maximum(1, np.linalg.norm(x, axis=1, keepdims=True))
+    middle = x[:1]
+    for _ in range(min(KINDS, len(docs)) - 1):  # each next one is the farthest from those before
+        middle = np.vstack([middle, x[np.argmin((x @ middle.T).max(1))]])
+    for _ in range(20):
+        kind = np.argmax(x @ middle.T, 1)
+        middle = np.array([x[kind == k].mean(0) if (kind == k).any() else middle[k] for k in range(len(middle))])
+        middle /= np.maximum(1e-12, np.linalg.norm(middle, axis=1, keepdims=True))
+    return kind
+
+
+def surprise(a: np.ndarray, n: float, b: np.ndarray, m: float) -> np.ndarray:
+    """2 ln of the likelihood ratio that a of n and b of m have different rates; 0 if b's is the higher."""
+
+    def part(k, total, rate):
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return np.where(k > 0, k * np.log(rate), 0) + np.where(total - k > 0, (total - k) * np.log1p(-rate), 0)
+
+    one, two, both = a / max(n, 1), b / max(m, 1), (a + b) / max(n + m, 1)
+    out = 2 * (part(a, n, one) + part(b, m, two) - part(a, n, both) - part(b, m, both))
+    return np.where(one > two, out, 0)
+
+
+class Weigher:
+    """A linear SVM over how often a document holds pieces, each as a logarithm and as a share of its words."""
+
+    def __init__(self, names: list[str]):
+        self.place = {x: i for i, x in enumerate(names)}
+        self.weights, self.bias, self.scale, self.shift = np.zeros(2 * len(names) + 1), 0.0, 1.0, 1e9
+
+    def features(self, docs: list[list[str]], held: dict[str, list] | None = None) -> np.ndarray:
+        n = len(self.place)
+        out = np.zeros((len(docs), 2 * n + 1))
+        for i, words in enumerate(docs):
+            size = max(1, len(words))
+            for k, many in piece_counts(words, self.place, {} if held is None else held).items():
+                out[i, k] = math.log1p(many)
+                out[i, n + k] = math.sqrt(many / size) * 4
+            out[i, 2 * n] = math.log(size) / 4
+        return out
+
+    def margins(self, docs: list[list[str]], held: dict[str, list] | None = None) -> np.ndarray:
+        return self.features(docs, held) @ self.weights + self.bias
+
+    def scores(self, texts: list[str | None], held: dict[str, list]) -> np.ndarray:
+        docs = [tokens(x or "") for x in texts]
+        out = 1 / (1 + np.exp(-np.clip(self.scale * (self.margins(docs, held) - self.shift), -50, 50)))
+        return np.where([len(d) > 0 for d in docs], out, 0.0)
+
+
+def telling_pieces(docs: list[list[str]], y: np.ndarray) -> list[str]:
+    """Pieces that more toxic documents of a kind hold once, twice or three times than chance explains, by their own counts alone."""
+    if not y.any() or y.all():
+        return []
+    # Near copies count once.
+    prints = [tuple(min((xxhash.xxh32_intdigest(w, k) for w in set(d)), default=0) for k in range(4)) for d in docs]
+    once = sorted({(p, t): i for i, (p, t) in enumerate(zip(prints, y.tolist(), strict=True))}.values())
+    docs, y = [docs[i] for i in once], y[once]
+    kind = kinds(docs)
+    seen: collections.Counter = collections.Counter()
+    for i in np.flatnonzero(y).tolist():
+        seen.update(piece_counts(docs[i]).keys())
+    names = sorted(x for x, n in seen.items() if n >= 4)
+    del seen
+    place = {x: i for i, x in enumerate(names)}
+    held: dict[str, list] = {}
+    rows, columns, counts = [], [], []
+    for i, d in enumerate(docs):
+        c = piece_counts(d, place, held)
+        rows.append(np.full(len(c), i, np.int32))
+        columns.append(np.fromiter(c.keys(), np.int32, len(c)))
+        counts.append(np.minimum(np.fromiter(c.values(), np.int64, len(c)), 100).astype(np.int8))
+    row, column, count = (np.concatenate(x) for x in (rows, columns, counts))
+    best = np.zeros(len(names))
+    for k in np.unique(kind).tolist():
+        n, m = int((y & (kind == k)).sum()), int((~y & (kind == k)).sum())
+        if not n or not m:
+            continue
+        for cut in (1, 2, 3):
+            mine = (kind[row] == k) & (count >= cut)
+            a = np.bincount(column[mine & y[row]], minlength=len(names))
+            b = np.bincount(column[mine & ~y[row]], minlength=len(names))
+            best = np.maximum(best, np.where(a >= 4, surprise(a, n, b, m), 0))
+    order = np.lexsort((np.arange(len(names)), -best))
+    order = order[best[order] > CHANCE]
+    at = np.full(len(names), -1)
+    at[order] = np.arange(len(order))
+    wanted = (at[column] >= 0) & y[row]
+    held_by = np.zeros((len(docs), len(order)), np.float32)
+    held_by[row[wanted], at[column[wanted]]] = 1
+    held_by = held_by[y]
+    size = held_by.sum(0)
+    out: list[int] = []
+    for k in range(len(order)):
+        # A piece that stands in the same documents as one before it says nothing new.
+        both = held_by[:, k] @ held_by[:, out]
+        if not (both >= 0.95 * (size[k] + size[out] - both)).any():
+            out.append(k)
+    return [names[k] for k in order[out]]
+
+
+def _weigh(docs: list[list[str]], y: np.ndarray) -> Weigher:
+    made = Weigher(telling_pieces(docs, y))
+    if made.place:
+        weight = np.where(y, 0.5 / y.sum(), 0.5 / (~y).sum())
+        made.weights, made.bias = svm(made.features(docs), np.where(y, 1.0, -1.0), weight, ridge=1e-3)
+    return made
+
+
+def weigh(rows: list[tuple[str, int]], folds: int = 3) -> Weigher:
+    """The threshold comes from documents that neither the pieces nor the weights were taken from."""
+    docs, y = [tokens(t) for t, _ in rows], np.array([bool(t) for _, t in rows], bool)
+    if not y.any() or y.all():
+        return Weigher([])
+    made = _weigh(docs, y)
+    if not made.place:
+        return made
+    fold = np.array([xxhash.xxh32_intdigest(t[:2000]) % folds for t, _ in rows])
+    good, bad = [], []
+    for k in range(folds):
+        if not y[fold != k].any() or y[fold != k].all():
+            continue
+        other = _weigh([d for d, f in zip(docs, fold, strict=True) if f != k], y[fold != k])
+        mine = other.margins([d for d, f in zip(docs, fold, strict=True) if f == k])
+        good += mine[~y[fold == k]].tolist()
+        bad += mine[y[fold == k]].tolist()
+    if good and bad:
+        good.sort()
+        at = max(good[int((1 - FALSE) * (len(good) - 1))], FLOOR)
+        made.scale = 3.0
+        made.shift = at - math.log(THRESHOLD / (1 - THRESHOLD)) / made.scale
+    return made
+
+
 def train(rows: list[tuple[str, int]]) -> Scorer:
     landmarks = [x for x, _ in toxic_stems(rows)]
     scorer = Scorer(landmarks)
+    scorer.weigher = weigh(rows)
     if not landmarks:
         return scorer
     clean = collections.Counter(u for text, y in rows if not y for u in units(text))
@@ -350,6 +538,7 @@ def score_documents(docs: DataFrame, scorer: Scorer, threshold: float = THRESHOL
     def run(batches):
         s = shared.value
         seen: dict[str, float] = {}
+        held: dict[str, list] = {}
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text"))
             found = [set(units(x or "")) if s.landmarks else set() for x in texts.to_pylist()]
@@ -360,6 +549,10 @@ def score_documents(docs: DataFrame, scorer: Scorer, threshold: float = THRESHOL
             seen.update(zip(new, s.margins(new).tolist(), strict=True))
             margins = np.array([max((seen[w] for w in words), default=s.bias) for words in found])
             score = s.score(margins)
+            if s.weigher.place:
+                if len(held) > 300_000:
+                    held.clear()
+                score = np.maximum(score, s.weigher.scores(texts.to_pylist(), held))
             columns = {f.name: batch.column(batch.schema.get_field_index(f.name)) for f in own}
             columns |= {"score": pa.array(score), "predicted": pa.array((score >= threshold).astype(np.int32))}
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
