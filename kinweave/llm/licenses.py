@@ -1,7 +1,8 @@
 """License scans: normalised text against license templates by Dice coefficient over word bigrams.
 
-A text's units are its lines and the text as a whole, so both a notice within a document and a document
-that is a license are found. A unit is compared with a template only if their numbers of distinct
+A text's units are its lines, the text as a whole, and of each template every run of as many words as it
+has, so a notice on a line, one wrapped over lines or within one, and a document that is a license are
+found. Runs are compared only where enough of the template's bigrams stand close together. A unit is compared with a template only if their numbers of distinct
 bigrams allow a coefficient of `least`: t * m / (2 - t) <= n <= m * (2 - t) / t. Templates are sorted
 by size, so a unit's candidates are one run of them, found by bisection; most lines have none.
 
@@ -15,7 +16,11 @@ Empty table: no rows.
 from __future__ import annotations
 
 import bisect
+import itertools
+import math
 import re
+from collections import Counter, defaultdict
+from importlib.resources import files
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +45,8 @@ TEMPLATES = {
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "unlicense": "This is free and unencumbered software released into the public domain.",
 }
+# Whole licenses, by the file's name.
+TEMPLATES |= {x.name.removesuffix(".txt"): x.read_text("utf-8") for x in files("kinweave.llm").joinpath("license_texts").iterdir() if x.name.endswith(".txt")}
 _OTHER = re.compile(r"[\W_]+")
 _FOLD = {c: c + 32 for c in range(65, 91)}
 
@@ -60,6 +67,14 @@ class Templates:
         self.made = made
         self.most = max(self.sizes, default=0) * (2 - least) / least
         self.smallest = min(self.sizes, default=1) * least / (2 - least)
+        # Of each template its number of words and how many of its bigrams a run must hold; of each bigram its templates.
+        self.length = [len(words(templates[name])) for _, name, _ in made]
+        self.need = [max(1, math.ceil(m * least / (2 - least) - 1e-9)) for m in self.sizes]
+        self.of: dict[tuple, list[int]] = defaultdict(list)
+        for k, (_, _, b) in enumerate(made):
+            if self.length[k] > 1:
+                for x in b:
+                    self.of[x].append(k)
 
     def best(self, unit: str) -> tuple[float, str | None]:
         # A word takes two characters at least, and a unit of few words has few bigrams.
@@ -81,9 +96,53 @@ class Templates:
                 out = dice, name
         return out
 
+    def runs(self, w: list[str]) -> list[tuple[float, str, int, int, int]]:
+        """(coefficient, name, first word, end, weight) of the runs of words that match, none overlapping a heavier one: the weight is the bigrams in common less those that either has alone."""
+        pairs = list(zip(w, w[1:], strict=False))
+        places: dict[int, list[int]] = defaultdict(list)
+        for i, x in enumerate(pairs):
+            if x in self.of:
+                for k in self.of[x]:
+                    places[k].append(i)
+        found = []
+        for k, at in places.items():
+            size, need, (m, name, other) = self.length[k], self.need[k], self.made[k]
+            near = [i for i, j in zip(at, at[need - 1 :], strict=False) if j - i <= size - 2]
+            if len(w) < size or not near:
+                continue
+            begin, most = 0, len(w) - size
+            while begin < len(near):
+                # Runs that may hold enough, as one stretch of first words.
+                end = begin
+                while end + 1 < len(near) and near[end + 1] - near[end] < size:
+                    end += 1
+                low, high = min(most, max(0, near[begin] - size + 2)), min(most, near[end])
+                begin = end + 1
+                held = Counter(pairs[low : low + size - 1])
+                both = sum(x in other for x in held)
+                for i in range(low, high + 1):
+                    dice = 2 * both / (len(held) + m)
+                    if dice >= self.least:
+                        found.append((len(held) + m - 3 * both, -dice, name, i, i + size))
+                    if i < high:
+                        x = pairs[i]
+                        held[x] -= 1
+                        if not held[x]:
+                            del held[x]
+                            both -= x in other
+                        x = pairs[i + size - 1]
+                        if x not in held:
+                            both += x in other
+                        held[x] += 1
+        out: list[tuple[float, str, int, int, int]] = []
+        for less, dice, name, i, j in sorted(found):
+            if all(j <= a or b <= i for _, _, a, b, _ in out):
+                out.append((-dice, name, i, j, -less))
+        return out
+
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float = LEAST) -> DataFrame:
-    """docs, all columns, with license (the best match of a document, else null), dice and n_notices (lines that match)."""
+    """docs, all columns, with license (the best match of a document, else null), dice and n_notices (lines that match and are no part of a longer notice, and runs of words that don't lie half or more in such lines)."""
     small_batches(docs.sparkSession)
     held = Templates(TEMPLATES if templates is None else templates, least)
     own = [f for f in docs.schema if f.name not in ("license", "dice", "n_notices")]
@@ -95,16 +154,29 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float
             for text in batch.column(batch.schema.get_field_index("text")).to_pylist():
                 best, found, n = 0.0, None, 0
                 lines = (text or "").split("\n")
-                for line in lines + [text] * (len(lines) > 1):
+                matched: dict[int, tuple] = {}
+                for at, line in enumerate(lines + [text] * (len(lines) > 1)):
                     got = memo.get(line)
                     if got is None:
                         got = held.best(line)
                         if got[1] is not None and len(memo) < 10_000:
                             memo[line] = got
                     if got[1] is not None:
-                        n += line is not text or len(lines) == 1
-                        if (-got[0], got[1]) < (-best, found or "~"):
-                            best, found = got
+                        matched[at] = got
+                runs = held.runs(words(text or ""))
+                ends = list(itertools.accumulate((len(words(x)) for x in lines), initial=0)) if runs else []
+                for score, license, i, j, weight in runs:
+                    inside = {k: min(j, ends[k + 1]) - max(i, ends[k]) for k in matched if k < len(lines) and ends[k] < j and i < ends[k + 1]}
+                    # A line of a longer notice is no notice of its own.
+                    for k in [k for k, many in inside.items() if 1 < len(lines) and many == ends[k + 1] - ends[k] < j - i and weight > many]:
+                        del matched[k], inside[k]
+                    n += 2 * sum(inside.values()) < j - i
+                    if (-score, license) < (-best, found or "~"):
+                        best, found = score, license
+                for at, got in matched.items():
+                    n += at < len(lines)
+                    if (-got[0], got[1]) < (-best, found or "~"):
+                        best, found = got
                 name.append(found)
                 dice.append(best)
                 notices.append(n)

@@ -14,3 +14,21 @@ def test_toxicity_of_all_languages(spark):
     rows = got.groupBy("lang").agg(F.avg(F.when(F.col("toxic") == 1, F.col("predicted"))).alias("caught"), F.avg(F.when(F.col("toxic") == 0, F.col("predicted"))).alias("wrong")).collect()
     assert {r["lang"] for r in rows} == {"de", "en", "es", "fr"}
     assert all(r["caught"] >= 0.8 and r["wrong"] <= 0.03 for r in rows), rows
+
+
+def test_licenses_over_lines(spark):
+    import textwrap
+
+    from kinweave.llm import licenses
+
+    around = ["Some words stand before it here.", "And others follow after."]
+    texts, names = [], []
+    for name, t in licenses.TEMPLATES.items():
+        if len(licenses.words(t)) > 20:
+            texts += ["\n".join([around[0], *textwrap.wrap(t, 60), around[1]]), f"{around[0]} {' '.join(t.split())} {around[1]}"]
+            names += [name, name]
+    texts += ["\n".join([around[0] * 30, "Released under the MIT License.", *textwrap.wrap(licenses.TEMPLATES["mit-grant"], 50), around[1] * 30])]
+    got = licenses.scan(spark.createDataFrame(list(enumerate(texts)), SCHEMA)).orderBy("doc_id").collect()
+    assert [(r["license"], r["dice"]) for r in got[:-1]] == [(x, 1.0) for x in names]
+    assert all(r["n_notices"] == 1 for r in got[:-1])
+    assert (got[-1]["dice"], got[-1]["n_notices"]) == (1.0, 2)
