@@ -27,6 +27,8 @@ from kinweave.llm.common import blocks, bloom_has, bloom_of, materialize, small_
 
 K1, B = 1.2, 0.75
 TOP_K, QUERIES, SHARD, BLOCK = 10, 1024, 8192, 64
+#: Scores are compared rounded to 6 digits: one that is lower by less than this may round to the same.
+SLACK = 1e-6
 _U = np.uint64
 
 
@@ -73,13 +75,14 @@ class Shard:
 
     def search(self, terms: np.ndarray, k: int, least: float) -> tuple[np.ndarray, np.ndarray]:
         """(documents, scores) that can be among the k best and reach `least`, more than k only before the cut."""
+        least = max(0.0, least - SLACK)  # what only the tail's terms reach stays below the rounded bound
         terms = terms[self.bound[terms] > 0]
         terms = terms[np.argsort(-self.bound[terms], kind="stable")]
         left = np.cumsum(self.bound[terms][::-1])[::-1]  # bounds of a term and all after it
         split = int(np.searchsorted(-left, -least)) if least > 0 else len(terms)
         head, tail = terms[:split], terms[split:]
         at = self._spans(self.first, head)
-        total = np.bincount(self.doc[at], self.score[at], len(self.ids))
+        total = np.bincount(self.doc[at], self.score[at], len(self.ids)).astype(float)  # of no postings it counts integers
         if len(tail):
             cells = self._spans(self.cell_first, tail)
             room = np.bincount(self.cell_block[cells], self.cell_max[cells], self.n_blocks)
@@ -94,7 +97,7 @@ class Shard:
         found = found[total[found] >= least - 1e-9]
         if len(found) > 4 * k:
             cut = np.partition(total[found], -2 * k)[-2 * k]
-            found = found[total[found] >= cut - 1e-9]
+            found = found[total[found] >= cut - SLACK]
         return found, total[found]
 
 

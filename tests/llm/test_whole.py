@@ -32,3 +32,28 @@ def test_licenses_over_lines(spark):
     assert [(r["license"], r["dice"]) for r in got[:-1]] == [(x, 1.0) for x in names]
     assert all(r["n_notices"] == 1 for r in got[:-1])
     assert (got[-1]["dice"], got[-1]["n_notices"]) == (1.0, 2)
+
+
+def test_search_ties_across_shards(spark, monkeypatch):
+    """Copies in later shards, of smaller ids, win whatever way their score is rounded."""
+    from kinweave.llm import common, search
+
+    monkeypatch.setattr(search, "SHARD", 20)
+    monkeypatch.setattr(search, "small_batches", lambda session: common.small_batches(session, 20))
+    for n in range(1, 9):
+        text = " ".join(f"w{i}" for i in range(n))
+        rows = [(1000 - i, text + " filler" * (n % 3)) for i in range(60)] + [(2000 + i, f"other{i} w0") for i in range(20)]
+        docs = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+        got = search.search(docs, k=5, every=1000).where("query_id = 1000").orderBy("rank").collect()
+        assert [r["doc_id"] for r in got] == [941, 942, 943, 944, 945]
+
+
+def test_search_without_heads():
+    """Terms that all stay below the bound are no error."""
+    import numpy as np
+
+    from kinweave.llm import search
+
+    docs = [(np.array([5], np.uint64), np.array([1]), 1)]
+    shard = search.Shard([7], docs, np.array([5], np.uint64), np.array([1.0]), 1.0)
+    assert len(shard.search(np.array([0]), 5, 100.0)[0]) == 0
