@@ -10,7 +10,7 @@ linear SVM.
 
 Training: a bounded sample of labelled documents (SAMPLE of each label, by a hash of doc_id), whose
 sentences have their document's label. Landmarks are the runs of letters that many unlike toxic
-documents share and clean ones hardly have; the SVM learns from the words of toxic sentences that hold
+documents share and clean ones hardly have, each by its own counts against chance; the SVM learns from the words of toxic sentences that hold
 one, also with characters put in, against clean sentences' words.
 
 All words together: words that mark toxicity by being repeated stand in clean documents as well, so a
@@ -42,15 +42,13 @@ from pyspark.sql import functions as F
 from kinweave.llm.common import mix, rolling, small_batches, table
 
 LENGTH, DECAY = 4, 0.6
-#: Labelled documents of either label, landmarks, clean words for the SVM.
-SAMPLE, LANDMARKS, CLEAN_WORDS = 1500, 64, 6000
+#: Labelled documents of either label, clean words for the SVM.
+SAMPLE, CLEAN_WORDS = 1500, 6000
 THRESHOLD = 0.7
 #: Share of clean documents that the pieces may score as toxic.
 FALSE = 0.002
 #: The least margin of the pieces that is toxic, whatever the clean documents reach.
 FLOOR = 0.2
-#: Runs of letters in fewer documents than this share of the most frequent one's are chance.
-RARE = 0.12
 #: Longer words are cut into overlapping stretches of this many letters.
 WIDE = 16
 _STRIP = re.compile(r"^[\W\d_]+|[\W\d_]+$")
@@ -254,8 +252,11 @@ def toxic_stems(rows: list[tuple[str, int]], sizes: tuple[int, ...] = (6, 5, 4))
         return []
     marks = np.array([[min((xxhash.xxh32_intdigest(w, k) for w in t.split()), default=0) for k in range(4)] for t in bad])
     joined = "".join(bad)
-    least = max(4, math.ceil(0.004 * len(bad)))
-    found = []
+    least, found = 4, []
+
+    def chance(n: int, clean: int) -> bool:
+        return n < least or float(surprise(np.array([min(n, len(bad))]), len(bad), np.array([clean]), len(good))[0]) <= CHANCE
+
     for size in sizes:
         h, doc, at = _stems(bad, size)
         g = _stems(good, size)[0]
@@ -264,10 +265,9 @@ def toxic_stems(rows: list[tuple[str, int]], sizes: tuple[int, ...] = (6, 5, 4))
         for k in np.flatnonzero((n >= least) & (clean <= 0.01 * n)).tolist():
             mine = marks[doc[first[k] : first[k] + n[k]]]
             count = min(len(set(mine[:, j].tolist())) for j in range(4))
-            if count >= least:
+            if not chance(count, int(clean[k])):
                 found.append((joined[at[first[k]] : at[first[k]] + size], count))
-    most = max((count for _, count in found), default=0)
-    found = sorted((x for x in found if x[1] >= RARE * most), key=lambda x: (-x[1] * (1 + 0.08 * len(x[0])), x[0]))  # a longer run says more
+    found = sorted(found, key=lambda x: (-x[1] * (1 + 0.08 * len(x[0])), x[0]))  # a longer run says more
     if not found:
         return []
     # A run counts only where no run taken before it stands in the same word: endings of toxic words are no insults.
@@ -277,11 +277,11 @@ def toxic_stems(rows: list[tuple[str, int]], sizes: tuple[int, ...] = (6, 5, 4))
     out: list[tuple[str, int]] = []
     for stem, count in found:
         mine = [u for u in holds if stem in u]
-        if sum(holds[u] for u in mine) >= max(least, RARE * most):
+        if not chance(sum(holds[u] for u in mine), 0):
             out.append((stem, count))
             for u in mine:
                 del holds[u]
-    return out[:LANDMARKS]
+    return out
 
 
 def hidden(word: str, rng: np.random.Generator) -> str:

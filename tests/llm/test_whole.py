@@ -57,3 +57,19 @@ def test_search_without_heads():
     docs = [(np.array([5], np.uint64), np.array([1]), 1)]
     shard = search.Shard([7], docs, np.array([5], np.uint64), np.array([1.0]), 1.0)
     assert len(shard.search(np.array([0]), 5, 100.0)[0]) == 0
+
+
+def test_toxicity_of_rare_insults():
+    """A rare insult is found by its own counts, however frequent another one is."""
+    import random
+
+    from kinweave.llm import toxicity
+
+    rng = random.Random(3)
+    voc = ["".join(rng.choice("abcdefghiklmnoprstu") for _ in range(rng.randint(4, 9))) for _ in range(400)]
+    text = lambda *more: " ".join([*rng.choices(voc, k=40), *more])
+    rows = [(text("zwqyxvk"), 1) for _ in range(500)] + [(text("jvxwqzy"), 1) for _ in range(40)] + [(text(), 0) for _ in range(540)]
+    found = toxicity.toxic_stems(rows)
+    assert any(x in "zwqyxvk" for x, _ in found) and any(x in "jvxwqzy" for x, _ in found)
+    scorer = toxicity.train(rows)
+    assert (scorer.score(scorer.margins(["zwqyxvk", "jvxwqzy"])) >= toxicity.THRESHOLD).all()
