@@ -342,10 +342,10 @@ def piece_counts(words: list[str], place: dict[str, int] | None = None, held: di
     return out
 
 
-def kinds(docs: list[list[str]]) -> np.ndarray:
-    """Of each document its kind, by k-means over which of the most frequent words it holds: mostly its language."""
-    often = collections.Counter(w for d in docs for w in set(d))
-    place = {w: i for i, (w, _) in enumerate(sorted(often.items(), key=lambda x: (-x[1], x[0]))[:200])}
+def kinds(docs: list[list[str]], y: np.ndarray) -> np.ndarray:
+    """Of each document its kind, by k-means over which of clean documents' most frequent words it holds: mostly its language. Words that mark toxicity make no kind."""
+    often = collections.Counter(w for d, bad in zip(docs, y.tolist(), strict=True) if not bad for w in set(d))
+    place = {w: i for i, (w, _) in enumerate(sorted(often.items(), key=lambda x: (-x[1], x[0]))[:100])}
     x = np.zeros((len(docs), len(place)))
     for i, d in enumerate(docs):
         x[i, [place[w] for w in set(d) if w in place]] = 1
@@ -407,7 +407,7 @@ def telling_pieces(docs: list[list[str]], y: np.ndarray) -> list[str]:
     prints = [tuple(min((xxhash.xxh32_intdigest(w, k) for w in set(d)), default=0) for k in range(4)) for d in docs]
     once = sorted({(p, t): i for i, (p, t) in enumerate(zip(prints, y.tolist(), strict=True))}.values())
     docs, y = [docs[i] for i in once], y[once]
-    kind = kinds(docs)
+    kind = kinds(docs, y)
     seen: collections.Counter = collections.Counter()
     for i in np.flatnonzero(y).tolist():
         seen.update(piece_counts(docs[i]).keys())
@@ -443,9 +443,11 @@ def telling_pieces(docs: list[list[str]], y: np.ndarray) -> list[str]:
     size = held_by.sum(0)
     out: list[int] = []
     for k in range(len(order)):
-        # A piece that stands in the same documents as one before it says nothing new.
-        both = held_by[:, k] @ held_by[:, out]
-        if not (both >= 0.95 * (size[k] + size[out] - both)).any():
+        # Of a word and its beginnings, one that stands in the same documents as one before it says nothing new.
+        name = names[order[k]].rstrip("$")
+        near = [x for x in out if (other := names[order[x]].rstrip("$")).startswith(name) or name.startswith(other)]
+        both = held_by[:, k] @ held_by[:, near]
+        if not (both >= 0.95 * (size[k] + size[near] - both)).any():
             out.append(k)
     return [names[k] for k in order[out]]
 

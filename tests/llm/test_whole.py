@@ -73,3 +73,29 @@ def test_toxicity_of_rare_insults():
     assert any(x in "zwqyxvk" for x, _ in found) and any(x in "jvxwqzy" for x, _ in found)
     scorer = toxicity.train(rows)
     assert (scorer.score(scorer.margins(["zwqyxvk", "jvxwqzy"])) >= toxicity.THRESHOLD).all()
+
+
+def test_toxicity_of_short_and_weak_words():
+    """Insults of three letters, and common words that mark toxicity only together."""
+    import random
+
+    from kinweave.llm import toxicity
+
+    rng = random.Random(4)
+    voc = ["".join(rng.choice("abcdefghiklmnoprstu") for _ in range(rng.randint(4, 9))) for _ in range(300)]
+    weak = voc[:3]
+
+    def rows(n):
+        text = lambda *more: " ".join([*rng.choices(voc[3:], k=40), *more])
+        for i in range(n):
+            yield text("zqx"), 1
+            yield text(*weak), 1
+            yield text(*([weak[i % 3]] * (i % 2))), 0
+            yield text(), 0
+
+    scorer = toxicity.train(list(rows(150)))
+    test = list(rows(50))
+    got = scorer.weigher.scores([t for t, _ in test], {}) >= toxicity.THRESHOLD
+    caught = [bool(g) for g, (_, y) in zip(got, test, strict=True) if y]
+    wrong = [bool(g) for g, (_, y) in zip(got, test, strict=True) if not y]
+    assert sum(caught) >= 0.9 * len(caught) and sum(wrong) <= 0.02 * len(wrong)
