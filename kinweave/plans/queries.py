@@ -232,5 +232,5 @@ def dedupe_last(spark, d):
 def predict_links(spark, d):
     """Trains on the sampled pairs and scores all candidates."""
     x = Data(spark, d)
-    made = model.train(flow.training_rows(x.ents, x.pairs, x.gt).persist(), rounds=5, depth=3)
+    made = model.train(flow.training_rows(x.ents, x.pairs, x.gt).persist())
     return model.predict(made, flow.all_features(x.ents, x.pairs))
