@@ -1,35 +1,50 @@
-"""Exact BM25 top-k search over shards of an inverted index, with block-max pruning.
-
-Global statistics (number of documents, mean length, document frequencies of the queries' terms) are
-counted first, over all documents, so every shard scores alike and the shards' best k merge to the
-exact best k. Each task builds shards of SHARD documents: postings sorted by term and document, with
-the largest score of each term in each block of BLOCK documents. A query's terms are taken by falling
-bound. Terms whose bounds together stay below the k-th best score so far are not traversed: only
-documents whose score so far, with the block maxima of these terms, can still reach it are completed
-by look-ups. The k-th best score is carried from shard to shard of a task.
-
-Queries are rows of the table itself, whole texts, each distinct term once; they are answered in blocks
-of QUERIES, each sent to all shards, so what is sent stays bounded. A document isn't its own answer;
-equal texts are. Ties: by doc_id. Null or empty text: no terms, no answers, and never an answer.
-Repeated rows: each is a document; answers are distinct by doc_id. Null doc_id: left out. Very long
-texts: whole. Extra columns are left out. Empty table: no rows.
+"""Exact BM25 top-k search over shards of an inverted index, pruned by block-max WAND.
+
+The index is built once, in one pass over the texts: each task writes shards of at most SHARD documents
+or POSTINGS postings, with postings by term and document, and the documents of a shard in an order that
+keeps like ones together. Global statistics (documents, mean length, document frequencies) are counted
+over the whole index, so all shards score alike and the shards' best k merge to the exact best k.
+
+In a shard a query's lists stand by falling bound, the most a list can give. The pivot is the first list
+from which all that follow, together, stay below the least score that still matters: a document in none
+of the lists before it can't reach that score. Lists carry the maximum of each block of BLOCK documents.
+A block whose maxima together stay below the least score is skipped by all lists, without a look at its
+postings. In the blocks left the lists before the pivot are read; a document goes on if what it has there
+and the maxima of the other lists in its block can reach the least score, and only then is scored whole,
+from its own terms. Pivots are taken for all blocks of a shard at once, not for one document after the
+other, so that numpy does the work. The least score is the k-th best so far: of a sample of shards first,
+then of the task's shards before, then of what the lists before the pivot already give.
+
+Queries are rows of the table itself, whole texts, each distinct term once; a document isn't its own
+answer, equal texts are. They are answered in blocks of about QUERIES queries and TERMS terms, one after
+the other against all shards; a block alone is on the driver and in the tasks. Ties: scores are rounded
+to 6 digits, then the smaller doc_id is first. Null or empty text: no terms, no answers, and never an answer.
+Repeated rows: each counts in the statistics; answers are k distinct doc_ids, one of several texts by its best, a
+query of several texts by the smallest. Null doc_id: counted in the statistics, neither query nor answer. Very
+long texts: whole. Extra columns are left out. Empty table: no rows.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from kinweave.llm.common import blocks, bloom_has, bloom_of, materialize, small_batches, table
+from kinweave.llm.common import blocks, materialize, shared_dir, small_batches, table
 
 K1, B = 1.2, 0.75
-TOP_K, QUERIES, SHARD, BLOCK = 10, 1024, 8192, 64
+TOP_K, QUERIES, TERMS = 10, 8192, 4_000_000
+#: Documents and postings of a shard, documents of a block; one shard in SAMPLED gives the first least scores.
+SHARD, POSTINGS, BLOCK, SAMPLED = 8192, 3_000_000, 64, 16
 #: Scores are compared rounded to 6 digits: one that is lower by less than this may round to the same.
 SLACK = 1e-6
 _U = np.uint64
+INDEX = "shard long, names binary, first binary, doc binary, tf binary, words binary, ids array<long>"
 
 
 def term_counts(texts):
@@ -43,145 +58,278 @@ def term_counts(texts):
             yield names, n, b - a
 
 
+def _spans(first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All places from each first to its end."""
+    n = end - first
+    return np.repeat(first - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+
+
+def build_shard(ids: list, docs: list[tuple]) -> dict[str, object]:
+    """The columns of a shard; docs as from term_counts."""
+    n = len(docs)
+    size = np.array([len(d[0]) for d in docs], np.int64)
+    doc = np.repeat(np.arange(n), size)
+    name, tf = np.concatenate([d[0] for d in docs]), np.concatenate([d[1] for d in docs])
+    names, term, df = np.unique(name, return_inverse=True, return_counts=True)
+    words = np.array([d[2] for d in docs], np.int64)
+    # Documents that hold the same frequent terms stand together, by length, so that block maxima are close to what their documents reach.
+    often = np.flatnonzero(df <= 0.7 * n)
+    often = often[np.argsort(-df[often], kind="stable")[:24]]
+    rank = np.full(len(names), -1)
+    rank[often] = np.arange(len(often))
+    mine = rank[term] >= 0
+    code = np.bincount(doc[mine], 2.0 ** (len(often) - 1 - rank[term[mine]]), n)
+    order = np.lexsort((words, code))
+    place = np.empty(n, np.int64)
+    place[order] = np.arange(n)
+    doc = place[doc]
+    by_term = np.lexsort((doc, term))
+    return {
+        "names": names.tobytes(), "first": np.concatenate([[0], np.cumsum(df)]).astype("<u4").tobytes(), "doc": doc[by_term].astype("<u4").tobytes(),
+        "tf": tf[by_term].astype("<u4").tobytes(), "words": words[order].astype("<u4").tobytes(), "ids": [ids[i] for i in order.tolist()],
+    }
+
+
+def build_index(docs: DataFrame) -> DataFrame:
+    """INDEX rows, one a shard."""
+
+    def run(batches):
+        at, made = TaskContext.get().partitionId() << 24, 0
+        ids, held, many = [], [], 0
+
+        def flush():
+            return pa.RecordBatch.from_pylist([{"shard": at + made} | build_shard(ids, held)], schema)
+
+        schema = pa.schema([("shard", pa.int64()), *((c, pa.binary()) for c in ("names", "first", "doc", "tf", "words")), ("ids", pa.list_(pa.int64()))])
+        for batch in batches:
+            for i, d in zip(batch.column(0).to_pylist(), term_counts(batch.column(1)), strict=True):
+                if held and (len(held) == SHARD or many + len(d[0]) > POSTINGS):
+                    yield flush()
+                    made += 1
+                    ids, held, many = [], [], 0
+                ids.append(i)
+                held.append(d)
+                many += len(d[0])
+        if held:
+            yield flush()
+
+    return docs.select("doc_id", "text").mapInArrow(run, INDEX)
+
+
 class Shard:
-    def __init__(self, ids: list[int], docs: list[tuple], terms: np.ndarray, idf: np.ndarray, mean: float):
-        """terms: the sorted terms of the queries; docs as from term_counts."""
-        self.ids = np.array(ids, np.int64)
-        name = np.concatenate([d[0] for d in docs]) if docs else np.empty(0, _U)
-        doc = np.repeat(np.arange(len(docs)), [len(d[0]) for d in docs])
-        tf = np.concatenate([d[1] for d in docs]).astype(float) if docs else np.empty(0)
-        length = np.array([d[2] for d in docs], float)
-        at = np.minimum(np.searchsorted(terms, name), max(0, len(terms) - 1))
-        ok = terms[at] == name if len(terms) else np.zeros(len(name), bool)
-        term, doc, tf = at[ok], doc[ok], tf[ok]
-        order = np.lexsort((doc, term))
-        term, self.doc, tf = term[order], doc[order].astype(np.int64), tf[order]
-        norm = K1 * (1 - B + B * length / mean)
-        self.score = idf[term] * tf * (K1 + 1) / (tf + norm[self.doc])
-        self.first = np.searchsorted(term, np.arange(len(terms) + 1))
-        # Block maxima, as runs of (term, block) in the order of the postings.
-        n_blocks = -(-len(docs) // BLOCK)
-        cell = term * n_blocks + self.doc // BLOCK
-        begin = np.flatnonzero(np.diff(cell, prepend=-1)) if len(cell) else np.empty(0, np.int64)
-        self.n_blocks, self.cell_block = n_blocks, self.doc[begin] // BLOCK
-        self.cell_max = np.maximum.reduceat(self.score, begin) if len(begin) else np.empty(0)
-        self.cell_first = np.searchsorted(begin, self.first)
-        self.bound = np.zeros(len(terms))
-        np.maximum.at(self.bound, term, self.score)
-
-    def _spans(self, first: np.ndarray, terms: np.ndarray) -> np.ndarray:
-        n = first[terms + 1] - first[terms]
-        return np.repeat(first[terms] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
-
-    def search(self, terms: np.ndarray, k: int, least: float) -> tuple[np.ndarray, np.ndarray]:
-        """(documents, scores) that can be among the k best and reach `least`, more than k only before the cut."""
-        least = max(0.0, least - SLACK)  # what only the tail's terms reach stays below the rounded bound
-        terms = terms[self.bound[terms] > 0]
-        terms = terms[np.argsort(-self.bound[terms], kind="stable")]
-        left = np.cumsum(self.bound[terms][::-1])[::-1]  # bounds of a term and all after it
-        split = int(np.searchsorted(-left, -least)) if least > 0 else len(terms)
-        head, tail = terms[:split], terms[split:]
-        at = self._spans(self.first, head)
-        total = np.bincount(self.doc[at], self.score[at], len(self.ids)).astype(float)  # of no postings it counts integers
-        if len(tail):
-            cells = self._spans(self.cell_first, tail)
-            room = np.bincount(self.cell_block[cells], self.cell_max[cells], self.n_blocks)
-            found = np.flatnonzero(total + np.repeat(room, BLOCK)[: len(total)] >= least - 1e-9)
-            found = found[total[found] > 0] if least > 0 else found
-            for t in tail.tolist():
-                mine = self.doc[self.first[t] : self.first[t + 1]]
-                p = np.minimum(np.searchsorted(mine, found), len(mine) - 1)
-                total[found] += np.where(mine[p] == found, self.score[self.first[t] + p], 0.0)
-        else:
-            found = np.flatnonzero(total > 0)
-        found = found[total[found] >= least - 1e-9]
-        if len(found) > 4 * k:
-            cut = np.partition(total[found], -2 * k)[-2 * k]
-            found = found[total[found] >= cut - SLACK]
-        return found, total[found]
+    """One shard, scored by the global mean length; a term's idf is the query's."""
 
+    def __init__(self, names, first, doc, tf, words, ids, mean: float, block: int = BLOCK):
+        self.block = block
+        self.names, self.first = np.frombuffer(names, _U), np.frombuffer(first, "<u4").astype(np.int64)
+        self.doc, tf = np.frombuffer(doc, "<u4").astype(np.int64), np.frombuffer(tf, "<u4").astype(float)
+        self.words = np.frombuffer(words, "<u4").astype(float)
+        self.known = np.array([x is not None for x in ids], bool)
+        self.ids = np.array([0 if x is None else x for x in ids], np.int64)
+        n = len(self.ids)
+        self.gain = tf * (K1 + 1) / (tf + K1 * (1 - B + B * self.words / mean)[self.doc])
+        # Blocks of lists, in the order of the postings: (list, block) with the largest gain.
+        term = np.repeat(np.arange(len(self.names)), np.diff(self.first))
+        self.n_blocks = -(-n // block)
+        cell = term * self.n_blocks + self.doc // block
+        self.cell_at = np.append(np.flatnonzero(np.diff(cell, prepend=-1)), len(cell))
+        self.cell_block = self.doc[self.cell_at[:-1]] // block
+        self.cell_max = np.maximum.reduceat(self.gain, self.cell_at[:-1]) if len(cell) else np.empty(0)
+        self.cell_first = np.searchsorted(self.cell_at[:-1], self.first)
+        self.most = np.maximum.reduceat(self.gain, self.first[:-1]) if len(cell) else np.empty(0)
+        # The documents' own terms, in the order of the terms' names in every shard.
+        self.by_doc = np.argsort(self.doc.astype(np.uint16 if n < 1 << 16 else np.uint32), kind="stable")
+        self.own_term = term[self.by_doc]
+        self.doc_at = np.searchsorted(self.doc[self.by_doc], np.arange(n + 1))
+        self.weight = np.zeros(len(self.names))  # idf of the query's terms, else 0
 
-def search(docs: DataFrame, k: int = TOP_K, every: int = 50) -> DataFrame:
-    """(query_id, rank, doc_id, score): for each row whose doc_id is divisible by `every`, the k best others."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    docs = docs.select("doc_id", "text").where("doc_id is not null")
+    def search(self, term: np.ndarray, idf: np.ndarray, k: int, least: float, but: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, scores rounded) of the documents that may be among the k best distinct ids and reach `least`; never the id `but`. term: places in names."""
+        least = max(0.0, least - SLACK)  # what rounds to the same score isn't lost
+        none = np.empty(0, np.int64), np.empty(0)
+        if not len(term):
+            return none
+        bound = idf * self.most[term]
+        order = np.argsort(-bound, kind="stable")
+        term, idf, bound = term[order], idf[order], bound[order]
+        after = np.cumsum(bound[::-1])[::-1] + 1e-9  # bounds of a list and all that follow
+        pivot = int(np.searchsorted(-after, -least)) if least > 0 else len(term)
+        if not pivot:
+            return none
+        # Blocks that can reach the least score; the others are skipped by all lists.
+        at, end = self.cell_first[term], self.cell_first[term + 1]
+        many = end - at
+        cells = _spans(at, end)
+        room = np.repeat(idf, many) * self.cell_max[cells]
+        block = self.cell_block[cells]
+        alive = np.bincount(block, room, self.n_blocks) + 1e-9 >= least
+        head = int(many[:pivot].sum())
+        rest = np.bincount(block[head:], room[head:], self.n_blocks) + 1e-9
+        read = np.flatnonzero(alive[block[:head]])
+        if not len(read):
+            return none
+        first, end = self.cell_at[cells[read]], self.cell_at[cells[read] + 1]
+        postings = _spans(first, end)
+        has = np.bincount(self.doc[postings], self.gain[postings] * np.repeat(np.repeat(idf, many)[read], end - first), len(self.ids))
+        found = np.flatnonzero((has > 0) & self.known)
+        if but is not None:
+            found = found[self.ids[found] != but]
+        # The k-th best of distinct ids by what they have already is a least score as well.
+        least = max(least, self._reached(found, has, k) - SLACK)
+        found = found[has[found] + rest[found // self.block] >= least]
+        if not len(found):
+            return none
+        self.weight[term] = idf
+        own = _spans(self.doc_at[found], self.doc_at[found + 1])
+        gains = self.gain[self.by_doc[own]] * self.weight[self.own_term[own]]
+        self.weight[term] = 0
+        begin = np.cumsum(self.doc_at[found + 1] - self.doc_at[found])
+        score = np.add.reduceat(gains, np.concatenate([[0], begin[:-1]]))
+        ok = score >= least
+        return self.ids[found[ok]], np.round(score[ok], 6)
+
+    def _reached(self, found: np.ndarray, has: np.ndarray, k: int) -> float:
+        """The k-th largest of `has` over distinct ids; 0 if there are fewer."""
+        many = 2 * k
+        while len(found) >= k:
+            some = found if len(found) <= many else found[np.argpartition(-has[found], many - 1)[:many]]
+            some = some[np.argsort(-has[some], kind="stable")]
+            _, once = np.unique(self.ids[some], return_index=True)
+            if len(once) >= k:
+                return float(has[some[np.sort(once)[k - 1]]])
+            if len(some) == len(found):
+                break
+            many *= 4
+        return 0.0
+
+
+def best_of(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best distinct ids: by score, then by id."""
+    order = np.lexsort((ids, -scores))
+    ids, scores = ids[order], scores[order]
+    _, once = np.unique(ids, return_index=True)
+    keep = np.sort(once)[:k]
+    return ids[keep], scores[keep]
 
-    def terms_of(batches):
+
+class Asked:
+    """A block of queries: the terms of all, with their idf, and each query's as places among them."""
+
+    def __init__(self, rows: list, n: int):
+        self.ids = [r["doc_id"] for r in rows]
+        terms = [np.array(r["terms"], np.int64).view(_U) for r in rows]
+        df = np.concatenate([np.array(r["dfs"], float) for r in rows]) if rows else np.empty(0)
+        self.names, first, at = np.unique(np.concatenate(terms) if terms else np.empty(0, _U), return_index=True, return_inverse=True)
+        self.idf = np.log1p((n - df[first] + 0.5) / (df[first] + 0.5))
+        self.at = at.astype(np.int32)
+        self.first = np.concatenate([[0], np.cumsum([len(x) for x in terms])]).astype(np.int64)
+
+
+def answer(index: DataFrame, asked: Asked, mean: float, k: int, least: np.ndarray) -> DataFrame:
+    """(query_id, doc_id, score): the k best of each task's shards, for the queries of a block."""
+    sent = index.sparkSession.sparkContext.broadcast((asked, least))
+
+    def run(batches):
+        asked, least = sent.value
+        least, best = least.copy(), {}
+        for batch in batches:
+            for row in range(batch.num_rows):
+                names, first, doc, tf, words, ids = (batch.column(c)[row].as_py() for c in range(1, 7))
+                shard = Shard(names, first, doc, tf, words, ids, mean, BLOCK)
+                place = np.minimum(np.searchsorted(shard.names, asked.names), len(shard.names) - 1) if len(shard.names) else np.zeros(len(asked.names), np.int64)
+                place[shard.names[place] != asked.names if len(shard.names) else slice(None)] = -1
+                for q, query in enumerate(asked.ids):
+                    mine = asked.at[asked.first[q] : asked.first[q + 1]]
+                    here = place[mine]
+                    mine, here = mine[here >= 0], here[here >= 0]
+                    found, score = shard.search(here, asked.idf[mine], k, float(least[q]), query)
+                    if len(found):
+                        if q in best:
+                            found, score = np.concatenate([best[q][0], found]), np.concatenate([best[q][1], score])
+                        best[q] = found, score = best_of(found, score, k)
+                        if len(found) == k:
+                            least[q] = max(least[q], score[-1])
+        of = [np.full(len(x[0]), asked.ids[q], np.int64) for q, x in best.items()]
+        parts = [np.concatenate(x) if x else np.empty(0, t) for x, t in ((of, np.int64), ([x[0] for x in best.values()], np.int64), ([x[1] for x in best.values()], float))]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in parts], ["query_id", "doc_id", "score"])
+
+    return index.mapInArrow(run, "query_id long, doc_id long, score double")
+
+
+def merged(found: DataFrame, k: int) -> DataFrame:
+    """(query_id, rank, doc_id, score)."""
+    once = found.groupBy("query_id", "doc_id").agg(F.max("score").alias("score"))
+    first = W.partitionBy("query_id").orderBy(F.col("score").desc(), "doc_id")
+    return once.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
+
+
+def _terms(queries: DataFrame) -> DataFrame:
+    def run(batches):
         for batch in batches:
             out = [x[0].view(np.int64) for x in term_counts(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int64()))], ["doc_id", "terms"])
 
-    queries = materialize(docs.where(F.col("doc_id") % every == 0).dropDuplicates(["doc_id"]).mapInArrow(terms_of, "doc_id long, terms array<long>"))
-    seen = spark.sparkContext.broadcast(bloom_of(queries.select(F.explode("terms").alias("t")).distinct(), "t"))
+    return queries.mapInArrow(run, "doc_id long, terms array<long>").where("size(terms) > 0")
 
-    def frequencies(batches):
-        n = words = 0
+
+def _frequencies(index: DataFrame) -> DataFrame:
+    """(term, df) over the index."""
+
+    def run(batches):
         for batch in batches:
-            held = list(term_counts(batch.column(0)))
-            n, words = n + len(held), words + sum(x[2] for x in held)
-            names, df = np.unique(np.concatenate([x[0] for x in held]) if held else np.empty(0, _U), return_counts=True)
-            ok = bloom_has(seen.value, names)
-            yield pa.RecordBatch.from_arrays([pa.array(names[ok].view(np.int64)), pa.array(df[ok])], ["term", "df"])
-        # The task's documents and words travel under two names that no query has.
-        yield pa.RecordBatch.from_arrays([pa.array([None, None], pa.int64()), pa.array([-n - 1, words], pa.int64())], ["term", "df"])
-
-    counted = materialize(docs.select("text").mapInArrow(frequencies, "term long, df long").groupBy("term", (F.col("df") < 0).alias("docs")).agg(F.sum(F.when(F.col("df") < 0, F.col("df") + 1).otherwise(F.col("df"))).alias("df")))
-    totals = {r["docs"]: r["df"] for r in counted.where("term is null").collect()}
-    n, words = -totals.get(True, 0), totals.get(False, 0)
-    if not n or not words:
-        return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
-    parts = max(1, -(-queries.count() // QUERIES))
-    dealt = queries.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(parts)))
-    results = [_answer(docs, dealt.where(F.col("part") == p).drop("part"), counted, n, words / n, k) for p in range(parts)]
-    out = results[0]
-    for x in results[1:]:
-        out = out.union(x)
-    return out
+            for names, first in zip(batch.column(0), batch.column(1), strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(names.as_py(), np.int64)), pa.array(np.diff(np.frombuffer(first.as_py(), "<u4").astype(np.int64)))], ["term", "df"])
 
+    return index.select("names", "first").mapInArrow(run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
 
-def _answer(docs: DataFrame, queries: DataFrame, counted: DataFrame, n: int, mean: float, k: int) -> DataFrame:
-    """One block of queries against all shards."""
-    spark = docs.sparkSession
-    of = queries.select(F.explode("terms").alias("term")).distinct().join(counted.where("term is not null").select("term", "df"), "term").toPandas()
-    names = of["term"].to_numpy(np.int64).view(_U)
-    order = np.argsort(names)
-    names, df = names[order], of["df"].to_numpy(float)[order]
-    idf = np.log1p((n - df + 0.5) / (df + 0.5))
-    asked = [(r["doc_id"], np.searchsorted(names, np.array(r["terms"], np.int64).view(_U)).astype(np.int32)) for r in queries.collect() if r["terms"]]
-    sent = spark.sparkContext.broadcast((names, idf, asked))
 
+def _totals(index: DataFrame) -> tuple[int, int]:
     def run(batches):
-        names, idf, asked = sent.value
-        best: dict[int, list] = {}
-
-        def flush(ids, held):
-            shard = Shard(ids, held, names, idf, mean)
-            for q, terms in asked:
-                have = best.get(q, [])
-                found, score = shard.search(terms.astype(np.int64), k, have[-1][0] if len(have) == k else 0.0)
-                rows = {d: s for s, d in have}
-                for i, s in zip(shard.ids[found].tolist(), np.round(score, 6).tolist(), strict=True):
-                    if i != q:
-                        rows[i] = max(s, rows.get(i, 0.0))
-                best[q] = sorted(((s, d) for d, s in rows.items()), key=lambda x: (-x[0], x[1]))[:k]
-
-        ids, held = [], []
+        n = words = 0
         for batch in batches:
-            ids += batch.column(0).to_pylist()
-            held += term_counts(batch.column(1))
-            if len(ids) >= SHARD:
-                flush(ids, held)
-                ids, held = [], []
-        if ids:
-            flush(ids, held)
-        rows = [(q, d, s) for q, found in best.items() for s, d in found]
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.float64())], ["query_id", "doc_id", "score"])
-
-    found = docs.mapInArrow(run, "query_id long, doc_id long, score double")
-    once = found.groupBy("query_id", "doc_id").agg(F.max("score").alias("score"))
-    first = W.partitionBy("query_id").orderBy(F.col("score").desc(), "doc_id")
-    return once.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
+            for x in batch.column(0):
+                x = np.frombuffer(x.as_py(), "<u4")
+                n, words = n + len(x), words + int(x.sum(dtype=np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([words])], ["n", "words"])
+
+    r = index.select("words").mapInArrow(run, "n long, words long").agg(F.sum("n").alias("n"), F.sum("words").alias("words")).first()
+    return r["n"] or 0, r["words"] or 0
+
+
+def search(docs: DataFrame, k: int = TOP_K, every: int = 50) -> DataFrame:
+    """(query_id, rank, doc_id, score): for each row whose doc_id is divisible by `every`, the k best others."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    docs = docs.select("doc_id", "text")
+    index = materialize(build_index(docs))
+    n, words = _totals(index)
+    chosen = docs.where(F.col("doc_id") % every == 0).groupBy("doc_id").agg(F.min("text").alias("text"))
+    queries = materialize(_terms(chosen))
+    many, terms = queries.agg(F.count("*"), F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()
+    if not words or not many:
+        return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
+    parts = max(1, -(-many // QUERIES), -(-terms // TERMS))
+    # A block's distinct terms meet their frequencies once, so a frequent term is a row a block.
+    dealt = queries.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int"))
+    vocabulary = dealt.select("part", F.explode("terms").alias("term")).distinct().join(_frequencies(index), "term")
+    vocabulary, dealt = (materialize(x.repartition("part") if parts > 1 else x) for x in (vocabulary, dealt))
+    out = f"{shared_dir(spark)}/kinweave/{uuid.uuid4().hex}"
+    sample = index.where(F.pmod(F.xxhash64("shard"), F.lit(SAMPLED)) == 0)
+    for part in range(parts):
+        asked = _asked(dealt, vocabulary, part, n)
+        first = merged(answer(sample, asked, words / n, k, np.zeros(len(asked.ids))), k)
+        reached = {r["query_id"]: r["least"] for r in first.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("least")).where(F.col("n") == k).collect()}
+        least = np.array([reached.get(q, 0.0) for q in asked.ids])
+        merged(answer(index, asked, words / n, k, least), k).write.mode("append").parquet(out)
+    return spark.read.parquet(out)
+
+
+def _asked(dealt: DataFrame, vocabulary: DataFrame, part: int, n: int) -> Asked:
+    """A block of queries on the driver, of about QUERIES queries and TERMS terms at most."""
+    words = vocabulary.where(F.col("part") == part).select("term", "df").toPandas()
+    df = dict(zip(words["term"].tolist(), words["df"].tolist(), strict=True))
+    rows = dealt.where(F.col("part") == part).select("doc_id", "terms").orderBy("doc_id").collect()
+    return Asked([{"doc_id": r["doc_id"], "terms": r["terms"], "dfs": [df[t] for t in r["terms"]]} for r in rows], n)
 
 
 def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:

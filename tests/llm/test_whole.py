@@ -49,14 +49,62 @@ def test_search_ties_across_shards(spark, monkeypatch):
 
 
 def test_search_without_heads():
-    """Terms that all stay below the bound are no error."""
+    """Terms that all stay below the least score are no error."""
     import numpy as np
 
     from kinweave.llm import search
 
-    docs = [(np.array([5], np.uint64), np.array([1]), 1)]
-    shard = search.Shard([7], docs, np.array([5], np.uint64), np.array([1.0]), 1.0)
-    assert len(shard.search(np.array([0]), 5, 100.0)[0]) == 0
+    made = search.build_shard([7], [(np.array([5], np.uint64), np.array([1]), 1)])
+    shard = search.Shard(*made.values(), 1.0)
+    assert len(shard.search(np.array([0]), np.array([1.0]), 5, 100.0)[0]) == 0
+    assert shard.search(np.array([0]), np.array([1.0]), 5, 0.0)[0].tolist() == [7]
+
+
+def test_search_repeated_ids_and_nulls(spark, monkeypatch):
+    """60 rows of one id are one answer; rows without an id count, but are no answer."""
+    from kinweave.llm import search
+
+    monkeypatch.setattr(search, "SHARD", 16)
+    monkeypatch.setattr(search, "BLOCK", 4)
+    rows = [(1000, "alpha beta")] + [(7, "alpha beta")] * 60 + [(100 + i, f"alpha x{i}") for i in range(20)] + [(None, "alpha beta")] * 20
+    docs = spark.createDataFrame(rows, SCHEMA).coalesce(2)
+    got = search.search(docs, k=10, every=1000).orderBy("rank").collect()
+    assert [r["doc_id"] for r in got] == [7, *range(100, 109)]
+
+
+def test_search_blocks_of_random_texts(spark, monkeypatch):
+    """Against brute force, over several shards, blocks of documents and blocks of queries."""
+    import math
+    import random
+    from collections import Counter
+
+    from kinweave.llm import search
+
+    monkeypatch.setattr(search, "SHARD", 50)
+    monkeypatch.setattr(search, "BLOCK", 8)
+    monkeypatch.setattr(search, "QUERIES", 4)
+    monkeypatch.setattr(search, "SAMPLED", 2)
+    rng = random.Random(9)
+    voc = [f"w{i}" for i in range(200)]
+    texts = [" ".join(rng.choices(voc, [1 / (i + 1) for i in range(200)], k=rng.randint(1, 60))) for _ in range(600)]
+    bags = [Counter(t.split()) for t in texts]
+    mean, df = sum(map(lambda b: b.total(), bags)) / 600, Counter(w for b in bags for w in b)
+
+    def brute(q):
+        out = []
+        for d, b in enumerate(bags):
+            s = sum(math.log1p((600 - df[t] + 0.5) / (df[t] + 0.5)) * b[t] * 2.2 / (b[t] + 1.2 * (0.25 + 0.75 * b.total() / mean)) for t in bags[q] if t in b)
+            if d != q and s > 0:
+                out.append((-round(s, 6), d))
+        return [(d, -s) for s, d in sorted(out)[:10]]
+
+    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA).repartition(3)
+    got = {}
+    for r in search.search(docs).orderBy("rank").collect():
+        got.setdefault(r["query_id"], []).append((r["doc_id"], r["score"]))
+    for q in range(0, 600, 50):
+        assert [d for d, _ in got[q]] == [d for d, _ in brute(q)]
+        assert all(abs(a[1] - b[1]) < 3e-6 for a, b in zip(got[q], brute(q), strict=True))
 
 
 def test_toxicity_of_rare_insults():
