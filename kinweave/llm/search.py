@@ -40,7 +40,7 @@ from kinweave.llm.common import blocks, materialize, shared_dir, small_batches,
 K1, B = 1.2, 0.75
 TOP_K, QUERIES, TERMS = 10, 8192, 4_000_000
 #: Documents and postings of a shard, documents of a block; one shard in SAMPLED gives the first least scores.
-SHARD, POSTINGS, BLOCK, SAMPLED = 8192, 3_000_000, 64, 16
+SHARD, POSTINGS, BLOCK, SAMPLED = 8192, 2_000_000, 128, 16
 #: Scores are compared rounded to 6 digits: one that is lower by less than this may round to the same.
 SLACK = 1e-6
 _U = np.uint64
@@ -67,10 +67,9 @@ def _spans(first: np.ndarray, end: np.ndarray) -> np.ndarray:
 def build_shard(ids: list, docs: list[tuple]) -> dict[str, object]:
     """The columns of a shard; docs as from term_counts."""
     n = len(docs)
-    size = np.array([len(d[0]) for d in docs], np.int64)
-    doc = np.repeat(np.arange(n), size)
-    name, tf = np.concatenate([d[0] for d in docs]), np.concatenate([d[1] for d in docs])
-    names, term, df = np.unique(name, return_inverse=True, return_counts=True)
+    doc = np.repeat(np.arange(n, dtype=np.int32), [len(d[0]) for d in docs])
+    names, term, df = np.unique(np.concatenate([d[0] for d in docs]), return_inverse=True, return_counts=True)
+    term, tf = term.astype(np.int32), np.concatenate([d[1] for d in docs])
     words = np.array([d[2] for d in docs], np.int64)
     # Documents that hold the same frequent terms stand together, by length, so that block maxima are close to what their documents reach.
     often = np.flatnonzero(df <= 0.7 * n)
@@ -80,12 +79,12 @@ def build_shard(ids: list, docs: list[tuple]) -> dict[str, object]:
     mine = rank[term] >= 0
     code = np.bincount(doc[mine], 2.0 ** (len(often) - 1 - rank[term[mine]]), n)
     order = np.lexsort((words, code))
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
+    place = np.empty(n, np.int32)
+    place[order] = np.arange(n, dtype=np.int32)
     doc = place[doc]
     by_term = np.lexsort((doc, term))
     return {
-        "names": names.tobytes(), "first": np.concatenate([[0], np.cumsum(df)]).astype("<u4").tobytes(), "doc": doc[by_term].astype("<u4").tobytes(),
+        "names": names.tobytes(), "first": np.concatenate([[0], np.cumsum(df)]).astype("<u4").tobytes(), "doc": doc[by_term].astype("<i4").tobytes(),
         "tf": tf[by_term].astype("<u4").tobytes(), "words": words[order].astype("<u4").tobytes(), "ids": [ids[i] for i in order.tolist()],
     }
 
@@ -122,25 +121,32 @@ class Shard:
     def __init__(self, names, first, doc, tf, words, ids, mean: float, block: int = BLOCK):
         self.block = block
         self.names, self.first = np.frombuffer(names, _U), np.frombuffer(first, "<u4").astype(np.int64)
-        self.doc, tf = np.frombuffer(doc, "<u4").astype(np.int64), np.frombuffer(tf, "<u4").astype(float)
+        self.doc, tf = np.frombuffer(doc, "<i4"), np.frombuffer(tf, "<u4").astype(float)
         self.words = np.frombuffer(words, "<u4").astype(float)
         self.known = np.array([x is not None for x in ids], bool)
         self.ids = np.array([0 if x is None else x for x in ids], np.int64)
         n = len(self.ids)
-        self.gain = tf * (K1 + 1) / (tf + K1 * (1 - B + B * self.words / mean)[self.doc])
+        norm = (K1 * (1 - B + B * self.words / mean))[self.doc]
+        self.gain = tf * (K1 + 1)
+        norm += tf
+        self.gain /= norm
+        del tf, norm
         # Blocks of lists, in the order of the postings: (list, block) with the largest gain.
-        term = np.repeat(np.arange(len(self.names)), np.diff(self.first))
+        term = np.repeat(np.arange(len(self.names), dtype=np.int32), np.diff(self.first))
+        in_block = self.doc // np.int32(block)
+        new = np.ones(len(term), bool)
+        new[1:] = (term[1:] != term[:-1]) | (in_block[1:] != in_block[:-1])
+        self.cell_at = np.append(np.flatnonzero(new), len(term)).astype(np.int32)
+        self.cell_block = in_block[self.cell_at[:-1]]
+        del in_block, new
         self.n_blocks = -(-n // block)
-        cell = term * self.n_blocks + self.doc // block
-        self.cell_at = np.append(np.flatnonzero(np.diff(cell, prepend=-1)), len(cell))
-        self.cell_block = self.doc[self.cell_at[:-1]] // block
-        self.cell_max = np.maximum.reduceat(self.gain, self.cell_at[:-1]) if len(cell) else np.empty(0)
+        self.cell_max = np.maximum.reduceat(self.gain, self.cell_at[:-1]) if len(term) else np.empty(0)
         self.cell_first = np.searchsorted(self.cell_at[:-1], self.first)
-        self.most = np.maximum.reduceat(self.gain, self.first[:-1]) if len(cell) else np.empty(0)
+        self.most = np.maximum.reduceat(self.gain, self.first[:-1]) if len(term) else np.empty(0)
         # The documents' own terms, in the order of the terms' names in every shard.
-        self.by_doc = np.argsort(self.doc.astype(np.uint16 if n < 1 << 16 else np.uint32), kind="stable")
+        self.by_doc = np.argsort(self.doc.astype(np.uint16 if n < 1 << 16 else np.uint32), kind="stable").astype(np.int32)
         self.own_term = term[self.by_doc]
-        self.doc_at = np.searchsorted(self.doc[self.by_doc], np.arange(n + 1))
+        self.doc_at = np.concatenate([[0], np.cumsum(np.bincount(self.doc, minlength=n))])
         self.weight = np.zeros(len(self.names))  # idf of the query's terms, else 0
 
     def search(self, term: np.ndarray, idf: np.ndarray, k: int, least: float, but: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -165,18 +171,24 @@ class Shard:
         alive = np.bincount(block, room, self.n_blocks) + 1e-9 >= least
         head = int(many[:pivot].sum())
         rest = np.bincount(block[head:], room[head:], self.n_blocks) + 1e-9
+        weight = np.repeat(idf, many)
         read = np.flatnonzero(alive[block[:head]])
         if not len(read):
             return none
-        first, end = self.cell_at[cells[read]], self.cell_at[cells[read] + 1]
-        postings = _spans(first, end)
-        has = np.bincount(self.doc[postings], self.gain[postings] * np.repeat(np.repeat(idf, many)[read], end - first), len(self.ids))
+        has = self._read(cells[read], weight[read])
         found = np.flatnonzero((has > 0) & self.known)
         if but is not None:
             found = found[self.ids[found] != but]
         # The k-th best of distinct ids by what they have already is a least score as well.
         least = max(least, self._reached(found, has, k) - SLACK)
         found = found[has[found] + rest[found // self.block] >= least]
+        if len(found) > 4 * k and head < len(cells):
+            # Many are left: the other lists are read in the blocks that hold them, and the documents' own terms only for those that then reach the least score.
+            alive = np.bincount(found // self.block, minlength=self.n_blocks) > 0
+            read = head + np.flatnonzero(alive[block[head:]])
+            has += self._read(cells[read], weight[read])
+            least = max(least, self._reached(found, has, k) - SLACK)
+            found = found[has[found] + 1e-9 >= least]
         if not len(found):
             return none
         self.weight[term] = idf
@@ -188,6 +200,12 @@ class Shard:
         ok = score >= least
         return self.ids[found[ok]], np.round(score[ok], 6)
 
+    def _read(self, cells: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """What the postings of some blocks of lists give each document."""
+        first, end = self.cell_at[cells], self.cell_at[cells + 1]
+        postings = _spans(first, end)
+        return np.bincount(self.doc[postings], self.gain[postings] * np.repeat(weight, end - first), len(self.ids))
+
     def _reached(self, found: np.ndarray, has: np.ndarray, k: int) -> float:
         """The k-th largest of `has` over distinct ids; 0 if there are fewer."""
         many = 2 * k
@@ -302,11 +320,13 @@ def search(docs: DataFrame, k: int = TOP_K, every: int = 50) -> DataFrame:
     small_batches(spark)
     docs = docs.select("doc_id", "text")
     index = materialize(build_index(docs))
-    n, words = _totals(index)
     chosen = docs.where(F.col("doc_id") % every == 0).groupBy("doc_id").agg(F.min("text").alias("text"))
     queries = materialize(_terms(chosen))
+    n, words = _totals(index)
+    small_batches(spark, 1)  # a row is a shard
     many, terms = queries.agg(F.count("*"), F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()
     if not words or not many:
+        small_batches(spark)
         return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
     parts = max(1, -(-many // QUERIES), -(-terms // TERMS))
     # A block's distinct terms meet their frequencies once, so a frequent term is a row a block.
@@ -314,13 +334,15 @@ def search(docs: DataFrame, k: int = TOP_K, every: int = 50) -> DataFrame:
     vocabulary = dealt.select("part", F.explode("terms").alias("term")).distinct().join(_frequencies(index), "term")
     vocabulary, dealt = (materialize(x.repartition("part") if parts > 1 else x) for x in (vocabulary, dealt))
     out = f"{shared_dir(spark)}/kinweave/{uuid.uuid4().hex}"
-    sample = index.where(F.pmod(F.xxhash64("shard"), F.lit(SAMPLED)) == 0)
+    least_shard = index.agg(F.min("shard")).first()[0]
+    sample = index.where((F.pmod(F.xxhash64("shard"), F.lit(SAMPLED)) == 0) | (F.col("shard") == least_shard))
     for part in range(parts):
         asked = _asked(dealt, vocabulary, part, n)
         first = merged(answer(sample, asked, words / n, k, np.zeros(len(asked.ids))), k)
         reached = {r["query_id"]: r["least"] for r in first.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("least")).where(F.col("n") == k).collect()}
         least = np.array([reached.get(q, 0.0) for q in asked.ids])
         merged(answer(index, asked, words / n, k, least), k).write.mode("append").parquet(out)
+    small_batches(spark)
     return spark.read.parquet(out)
 
 
