@@ -323,7 +323,7 @@ def search(docs: DataFrame, k: int = TOP_K, every: int = 50) -> DataFrame:
     chosen = docs.where(F.col("doc_id") % every == 0).groupBy("doc_id").agg(F.min("text").alias("text"))
     queries = materialize(_terms(chosen))
     n, words = _totals(index)
-    small_batches(spark, 1)  # a row is a shard
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")  # a row is a shard
     many, terms = queries.agg(F.count("*"), F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()
     if not words or not many:
         small_batches(spark)
