@@ -42,26 +42,40 @@ def _folds() -> tuple[dict[str, str], dict[str, str]]:
     return one, many
 
 
-def _java_class(chars) -> str:
-    return "[" + "".join(f"\\x{{{ord(c):x}}}" for c in chars) + "]"
+def _let(value: Column, body) -> Column:
+    """Bind value once for body."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _in_ascii(text: Column) -> Column:
+    """text with each of its characters beyond ASCII as the ASCII characters of its NFKD form. Only the distinct ones are looked up, each replaced at once."""
+    one, many = _folds()
+    table = one | many
+    names = "".join(table)
+    values = F.array(*map(F.lit, table.values()))
+    # A character's place in `names` is its place in `values`; without a place it has no ASCII form, and goes with the rest.
+    place = lambda x: F.instr(F.lit(names), x)
+    found = F.filter(F.array_distinct(F.regexp_extract_all(text, F.lit(r"[^\x00-\x7F]"), F.lit(0))), lambda x: place(x) > 0)
+    spelled = F.aggregate(found, text, lambda out, x: F.replace(out, x, F.get(values, place(x) - 1)))
+    return F.regexp_replace(spelled, r"[^\x00-\x7F]+", "")
 
 
 def fold_ascii(c: Column) -> Column:
     """NFKD without what isn't ASCII; text of which nothing but white space would be left stays as it is."""
-    one, many = _folds()
-    table = F.from_json(F.lit(json.dumps(many)), "map<string,string>")
-    spelled = F.array_join(F.transform(F.split(c, ""), lambda x: F.coalesce(F.element_at(table, x), x)), "")
-    wide = F.when(c.rlike(_java_class(many)), spelled).otherwise(c)
-    folded = F.regexp_replace(F.translate(wide, "".join(one), "".join(one.values())), r"[^\x00-\x7F]", "")
-    return F.when(c.rlike(r"[^\x00-\x7F]"), F.when(folded.rlike(r"[^\t-\r \x1c-\x1f]"), folded).otherwise(c)).otherwise(c)
+    return F.when(c.rlike(r"[^\x00-\x7F]"), _let(_in_ascii(c), lambda x: F.when(x.rlike(r"[^\t-\r \x1c-\x1f]"), x).otherwise(c))).otherwise(c)
+
+
+def _written_out(text: Column, words: dict[str, str]) -> Column:
+    """text with abbreviations written out; only those it holds are replaced. No full form holds an abbreviation, so their order doesn't matter."""
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(rf"\b({'|'.join(words)})\b"), F.lit(1)))
+    full = F.create_map(*(F.lit(x) for pair in words.items() for x in pair))
+    step = lambda out, x: F.regexp_replace(out, F.concat(F.lit(r"\b"), x, F.lit(r"\b")), F.element_at(full, x))
+    return F.aggregate(found, text, step)
 
 
 def clean_vectorized(c: Column, words: dict[str, str]) -> Column:
-    out = F.lower(fold_ascii(F.coalesce(c, F.lit(""))))
-    for short, full in words.items():
-        out = F.regexp_replace(out, rf"\b{short}\b", full)
-    out = F.regexp_replace(out, PUNCTUATION, " ")
-    return F.trim(F.regexp_replace(out, f"{SPACES}+", " "))
+    out = _let(F.lower(fold_ascii(F.coalesce(c, F.lit("")))), lambda x: _written_out(x, words))
+    return F.trim(F.regexp_replace(F.regexp_replace(out, PUNCTUATION, " "), f"{SPACES}+", " "))
 
 
 def clean_scalar_text(text: str | None, words: dict[str, str]) -> str:
