@@ -41,6 +41,8 @@ K1, B = 1.2, 0.75
 TOP_K, QUERIES, TERMS = 10, 8192, 4_000_000
 #: Documents and postings of a shard, documents of a block; one shard in SAMPLED gives the first least scores.
 SHARD, POSTINGS, BLOCK, SAMPLED = 8192, 2_000_000, 128, 16
+#: A list of one in LONG of a shard's documents or more stands in the table as well; so many queries meet it at a time.
+LONG, TOGETHER = 24, 64
 #: Scores are compared rounded to 6 digits: one that is lower by less than this may round to the same.
 SLACK = 1e-6
 _U = np.uint64
@@ -144,57 +146,90 @@ class Shard:
         self.cell_first = np.searchsorted(self.cell_at[:-1], self.first)
         self.most = np.maximum.reduceat(self.gain, self.first[:-1]) if len(term) else np.empty(0)
         # The documents' own terms, in the order of the terms' names in every shard.
-        self.by_doc = np.argsort(self.doc.astype(np.uint16 if n < 1 << 16 else np.uint32), kind="stable").astype(np.int32)
-        self.own_term = term[self.by_doc]
+        by_doc = np.argsort(self.doc.astype(np.uint16 if n < 1 << 16 else np.uint32), kind="stable")
+        self.own_term, self.own_gain = term[by_doc], self.gain[by_doc]
+        del by_doc, term
         self.doc_at = np.concatenate([[0], np.cumsum(np.bincount(self.doc, minlength=n))])
         self.weight = np.zeros(len(self.names))  # idf of the query's terms, else 0
-
-    def search(self, term: np.ndarray, idf: np.ndarray, k: int, least: float, but: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores rounded) of the documents that may be among the k best distinct ids and reach `least`; never the id `but`. term: places in names."""
+        # Lists of many of the documents stand as rows of a table, too.
+        often = np.flatnonzero(np.diff(self.first) * LONG >= max(n, 64))
+        self.row = np.full(len(self.names), -1, np.int32)
+        self.row[often] = np.arange(len(often), dtype=np.int32)
+        self.table = np.zeros((len(often), self.n_blocks * block), np.float32)
+        for r, t in enumerate(often.tolist()):
+            mine = slice(self.first[t], self.first[t + 1])
+            self.table[r, self.doc[mine]] = self.gain[mine]
+        self.error = (len(often) + 2) * 2.0**-22  # of a sum of single floats, as a share of it
+
+    def long_lists(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """What the lists in the table give each document, for some queries (term, idf)."""
+        weight = np.zeros((len(queries), len(self.table)), np.float32)
+        for q, (term, idf) in enumerate(queries):
+            row = self.row[term]
+            weight[q, row[row >= 0]] = idf[row >= 0]
+        return weight @ self.table
+
+    def search(self, term: np.ndarray, idf: np.ndarray, k: int, least: float, but: int | None = None, long: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, scores rounded) of the documents that may be among the k best distinct ids and reach `least`; never the id `but`. term: places in names; long: the query's row of long_lists."""
         least = max(0.0, least - SLACK)  # what rounds to the same score isn't lost
         none = np.empty(0, np.int64), np.empty(0)
         if not len(term):
             return none
+        n = len(self.ids)
+        long = self.long_lists([(term, idf)])[0] if long is None else long
+        high = long * (1 + self.error) + 1e-9  # no less than the sums
+        of_block = high.reshape(self.n_blocks, self.block).max(1)
+        whole, every = term, idf
+        short = self.row[term] < 0
+        term, idf = term[short], idf[short]
         bound = idf * self.most[term]
         order = np.argsort(-bound, kind="stable")
         term, idf, bound = term[order], idf[order], bound[order]
-        after = np.cumsum(bound[::-1])[::-1] + 1e-9  # bounds of a list and all that follow
-        pivot = int(np.searchsorted(-after, -least)) if least > 0 else len(term)
-        if not pivot:
+        # The pivot: what is in none of the lists before it, but in all after it and the table's, stays below the least score.
+        after = float(of_block.max()) + np.append(np.cumsum(bound[::-1])[::-1], 0.0) + 1e-9
+        if after[0] < least:
             return none
+        pivot = int(np.searchsorted(-after, -least, "right")) if least > 0 else len(term) + 1
+        others = pivot > len(term)  # even with the table's lists alone
         # Blocks that can reach the least score; the others are skipped by all lists.
         at, end = self.cell_first[term], self.cell_first[term + 1]
         many = end - at
         cells = _spans(at, end)
         room = np.repeat(idf, many) * self.cell_max[cells]
         block = self.cell_block[cells]
-        alive = np.bincount(block, room, self.n_blocks) + 1e-9 >= least
+        alive = np.bincount(block, room, self.n_blocks) + of_block >= least
+        if not alive.any():
+            return none
         head = int(many[:pivot].sum())
-        rest = np.bincount(block[head:], room[head:], self.n_blocks) + 1e-9
         weight = np.repeat(idf, many)
         read = np.flatnonzero(alive[block[:head]])
-        if not len(read):
-            return none
         has = self._read(cells[read], weight[read])
-        found = np.flatnonzero((has > 0) & self.known)
+        reach = high[:n] + has
+        if head < len(cells):
+            reach += np.repeat(np.bincount(block[head:], room[head:], self.n_blocks), self.block)[:n]
+        near = reach >= least
+        near &= (has > 0) | (long[:n] > 0) if others else has > 0
+        found = np.flatnonzero(near & self.known)
+        found = found[alive[found // self.block]]
         if but is not None:
             found = found[self.ids[found] != but]
         # The k-th best of distinct ids by what they have already is a least score as well.
+        has += long[:n] * (1 - self.error)
         least = max(least, self._reached(found, has, k) - SLACK)
-        found = found[has[found] + rest[found // self.block] >= least]
+        found = found[reach[found] >= least]
         if len(found) > 4 * k and head < len(cells):
             # Many are left: the other lists are read in the blocks that hold them, and the documents' own terms only for those that then reach the least score.
             alive = np.bincount(found // self.block, minlength=self.n_blocks) > 0
             read = head + np.flatnonzero(alive[block[head:]])
             has += self._read(cells[read], weight[read])
             least = max(least, self._reached(found, has, k) - SLACK)
-            found = found[has[found] + 1e-9 >= least]
+            found = found[has[found] + 2 * self.error * long[found] + 1e-9 >= least]
         if not len(found):
             return none
-        self.weight[term] = idf
+        self.weight[whole] = every
         own = _spans(self.doc_at[found], self.doc_at[found + 1])
-        gains = self.gain[self.by_doc[own]] * self.weight[self.own_term[own]]
-        self.weight[term] = 0
+        gains = self.own_gain[own] * self.weight[self.own_term[own]]
+        self.weight[whole] = 0
         begin = np.cumsum(self.doc_at[found + 1] - self.doc_at[found])
         score = np.add.reduceat(gains, np.concatenate([[0], begin[:-1]]))
         ok = score >= least
@@ -204,7 +239,7 @@ class Shard:
         """What the postings of some blocks of lists give each document."""
         first, end = self.cell_at[cells], self.cell_at[cells + 1]
         postings = _spans(first, end)
-        return np.bincount(self.doc[postings], self.gain[postings] * np.repeat(weight, end - first), len(self.ids))
+        return np.bincount(self.doc[postings], self.gain[postings] * np.repeat(weight, end - first), len(self.ids)).astype(float)  # of no postings it counts integers
 
     def _reached(self, found: np.ndarray, has: np.ndarray, k: int) -> float:
         """The k-th largest of `has` over distinct ids; 0 if there are fewer."""
@@ -256,17 +291,18 @@ def answer(index: DataFrame, asked: Asked, mean: float, k: int, least: np.ndarra
                 shard = Shard(names, first, doc, tf, words, ids, mean, BLOCK)
                 place = np.minimum(np.searchsorted(shard.names, asked.names), len(shard.names) - 1) if len(shard.names) else np.zeros(len(asked.names), np.int64)
                 place[shard.names[place] != asked.names if len(shard.names) else slice(None)] = -1
-                for q, query in enumerate(asked.ids):
-                    mine = asked.at[asked.first[q] : asked.first[q + 1]]
-                    here = place[mine]
-                    mine, here = mine[here >= 0], here[here >= 0]
-                    found, score = shard.search(here, asked.idf[mine], k, float(least[q]), query)
-                    if len(found):
-                        if q in best:
-                            found, score = np.concatenate([best[q][0], found]), np.concatenate([best[q][1], score])
-                        best[q] = found, score = best_of(found, score, k)
-                        if len(found) == k:
-                            least[q] = max(least[q], score[-1])
+                for begin in range(0, len(asked.ids), TOGETHER):
+                    some = range(begin, min(begin + TOGETHER, len(asked.ids)))
+                    mine = [asked.at[asked.first[q] : asked.first[q + 1]] for q in some]
+                    mine = [(place[x][place[x] >= 0], asked.idf[x][place[x] >= 0]) for x in mine]
+                    for q, (term, idf), long in zip(some, mine, shard.long_lists(mine), strict=True):
+                        found, score = shard.search(term, idf, k, float(least[q]), asked.ids[q], long)
+                        if len(found):
+                            if q in best:
+                                found, score = np.concatenate([best[q][0], found]), np.concatenate([best[q][1], score])
+                            best[q] = found, score = best_of(found, score, k)
+                            if len(found) == k:
+                                least[q] = max(least[q], score[-1])
         of = [np.full(len(x[0]), asked.ids[q], np.int64) for q, x in best.items()]
         parts = [np.concatenate(x) if x else np.empty(0, t) for x, t in ((of, np.int64), ([x[0] for x in best.values()], np.int64), ([x[1] for x in best.values()], float))]
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in parts], ["query_id", "doc_id", "score"])
