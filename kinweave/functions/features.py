@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinweave.functions.keys import tokens
-from kinweave.functions.similarity import similarities_udf
+from kinweave.functions.similarity import name_similarities_udf, similarities_udf
 
 #: Feature names in model order.
 FEATURES = (
@@ -91,7 +91,7 @@ def native_features(pairs: DataFrame) -> DataFrame:
 def pair_features(pairs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """(s1_id, cand_id, extra columns, 47 floats). Thresholds are taken before the cast to float."""
     c = F.col
-    out = native_features(pairs).withColumns({"_n": similarities_udf("s1_name", "cand_name"), "_a": similarities_udf("s1_addr", "cand_addr")})
+    out = native_features(pairs).withColumns({"_n": name_similarities_udf("s1_name", "cand_name"), "_a": similarities_udf("s1_addr", "cand_addr")})
     out = out.withColumns({f"{side}_{f}": c(f"_{side[0]}.{k}") for side in ("name", "addr") for f, k in (("jw", "w"), ("ratio", "ratio"), ("token_sort", "token_sort"), ("token_set", "token_set"))} | {"name_partial": c("_n.partial")})
     n, a = c("name_jw"), c("addr_jw")
     same = c("country_exact") == 1

@@ -20,6 +20,18 @@ def union_sources(*sources: DataFrame) -> DataFrame:
     return out
 
 
+def load_lookup(*sources: DataFrame) -> DataFrame:
+    """The other sources as one, each id once: its last row in the last source that has it."""
+    return dedupe_last(union_sources(*sources), "entity_id", "src_ord", "row_ord")
+
+
+def last_wins(entities: DataFrame) -> DataFrame:
+    """Entities with each id once on either side, the last row of it: ids of the first source, and those of the others together."""
+    side = F.when(F.col("src_ord") == 0, 0).otherwise(1)
+    last = W.partitionBy("entity_id", side).orderBy(F.col("src_ord").desc(), F.col("row_ord").desc())
+    return entities.withColumn("_rn", F.row_number().over(last)).where("_rn = 1").drop("_rn")
+
+
 def id_list(ids: Column) -> Column:
     """A comma list, each id once, sorted."""
     return F.array_join(F.array_sort(F.collect_set(ids)), ",")
@@ -32,6 +44,7 @@ def per_entity(s1: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
 
 
 def complete_submission(ids: DataFrame, predicted: DataFrame) -> DataFrame:
-    """predicted (s1_id, matched, row_ord) for all ids: of an entity's rows the last holds, none is an empty cell."""
+    """predicted (s1_id, matched, row_ord) for all ids, by id: of an entity's rows the last holds, none is an empty cell."""
     last = dedupe_last(predicted, "s1_id", "row_ord").select("s1_id", "matched")
-    return ids.select("s1_id").distinct().join(last, "s1_id", "full_outer").select("s1_id", F.coalesce("matched", F.lit("")).alias("matched"))
+    full = ids.select("s1_id").distinct().join(last, "s1_id", "full_outer").select("s1_id", F.coalesce("matched", F.lit("")).alias("matched"))
+    return full.orderBy("s1_id")

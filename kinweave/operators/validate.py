@@ -2,13 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinweave.sources.io import header
+
 #: Cells that stand for nothing but aren't empty.
 BLANKS = ("None", "null", "NaN", "[]", '""', "nan")
 
 
+#: The columns of the files of a submission.
+COLUMNS = {"matches": ("source1_entity_id", "matched_entity_ids"), "candidates": ("source1_entity_id", "candidate_entity_ids")}
+
+
+def validate_files(spark: SparkSession, paths: Mapping[str, str], columns: Mapping[str, Sequence[str]] = COLUMNS) -> list[tuple[str, str, str]]:
+    """(rule, "", detail) of files that are missing (V1) or have other columns (V2)."""
+    out = []
+    for name, path in paths.items():
+        found = header(spark, path)
+        if found is None:
+            out.append((f"V1 no file {name}", "", path))
+        elif tuple(found) != tuple(columns[name]):
+            out.append((f"V2 columns {name}", "", ",".join(found)))
+    return out
+
+
 def _rows(df: DataFrame, rule: str, s1, detail) -> DataFrame:
     return df.select(F.lit(rule).alias("rule"), s1.cast("string").alias("s1_id"), detail.cast("string").alias("detail"))
 

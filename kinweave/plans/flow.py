@@ -1,28 +1,48 @@
-"""The stages end to end, and their command line: python -m kinweave.plans.flow --root DIR --stage blocking --split train."""
+"""The stages end to end, and their command line: python -m kinweave.plans.flow --root DIR --out DIR --stage blocking --split train.
+
+all: load_data, blocking (train), train, evaluate. predict and validate work on the test split. rank:
+--mode train ranks the candidates that blocking wrote, test blocks and ranks the test split, both does both.
+submit completes the matches that are there to all entities of the candidate file, by id. demo prints five
+records before and after normalisation.
+"""
 
 from __future__ import annotations
 
 import argparse
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweave.functions.features import pair_features, pair_table
+from kinweave.functions.features import FEATURES, pair_features, pair_table
 from kinweave.functions.keys import blocking_keys
 from kinweave.functions.normalize import normalize_entities
 from kinweave.operators import blocking, labels, lookup, metrics, rank, validate
+from kinweave.operators.labels import group_split
 from kinweave.plans import model as models
 from kinweave.sources import io
+from kinweave.sources.schema import CANDIDATES, TRUTH
+
+STAGES = ("all", "load_data", "blocking", "train", "evaluate", "predict", "validate", "rank", "submit", "demo")
+
+
+def held(df: DataFrame) -> DataFrame:
+    """df made once: in spark.checkpoint.dir if the session names one, else in the executors' memory and disks."""
+    if df.sparkSession.conf.get("spark.checkpoint.dir", None):
+        return df.checkpoint()
+    return df.persist()
 
-STAGES = ("all", "load_data", "blocking", "train", "evaluate", "predict", "validate", "rank")
+
+def first_entities(entities: DataFrame, sample_n: int | None) -> DataFrame:
+    """Source 1, of which the first sample_n rows by row_ord if given."""
+    s1 = entities.where("src_ord = 0")
+    return s1 if sample_n is None else s1.where(F.col("row_ord") < sample_n)
 
 
 def block(entities: DataFrame, sample_n: int | None = None, phonetic: bool = True) -> DataFrame:
     """(s1_id, cand_id) for the entities of source 1 (its first sample_n by row_ord) against the whole of the others."""
     keys = blocking_keys(entities, phonetic)
-    s1 = keys.where("src_ord = 0")
-    if sample_n is not None:
-        s1 = s1.where(F.col("row_ord") < sample_n)
+    s1 = first_entities(keys, sample_n)
     return blocking.candidate_pairs(s1, blocking.inverted_index(keys.where("src_ord > 0"), s1))
 
 
@@ -30,9 +50,19 @@ def block_and_rank(entities: DataFrame, k: int = rank.TOP_K, threshold: float =
     keys = blocking_keys(entities)
     s1 = keys.where("src_ord = 0")
     pairs = blocking.all_pairs(s1, blocking.inverted_index(keys.where("src_ord > 0"), s1))
+    return rank_pairs(entities, pairs, k, threshold)
+
+
+def rank_pairs(entities: DataFrame, pairs: DataFrame, k: int = rank.TOP_K, threshold: float = rank.THRESHOLD) -> DataFrame:
     return rank.rank_candidates(rank.score_pairs(pairs, entities.where("src_ord = 0"), entities.where("src_ord > 0")), k, threshold)
 
 
+def sampled_features(features: DataFrame, truth: DataFrame) -> DataFrame:
+    """Of the features of all pairs those that are drawn for training, with their label."""
+    drawn = labels.sample_pairs(labels.label_pairs(features.select("s1_id", "cand_id"), truth))
+    return features.join(drawn, ["s1_id", "cand_id"])
+
+
 def training_rows(entities: DataFrame, pairs: DataFrame, truth: DataFrame, n_cands_from: str = "full") -> DataFrame:
     """Sampled, labelled pairs with features. n_cands_from 'sampled' counts an entity's sampled candidates only, 'full' all of them, as predictions do."""
     drawn = labels.sample_pairs(labels.label_pairs(pairs, truth))
@@ -44,65 +74,159 @@ def all_features(entities: DataFrame, pairs: DataFrame) -> DataFrame:
     return pair_features(pair_table(pairs, entities.where("src_ord = 0"), entities.where("src_ord > 0")))
 
 
+class Flow:
+    """The stages over the files of a catalogue; outputs are below `out`."""
+
+    def __init__(self, spark: SparkSession, catalogue: io.Catalogue, out: str):
+        self.spark, self.data, self.out = spark, io.read_all(spark, catalogue), out
+
+    def raw(self, split: str) -> DataFrame:
+        """The three sources of a split; of an id that comes again the last row holds, on either side."""
+        return lookup.last_wins(lookup.union_sources(*(self.data[f"{split}_source{i}"] for i in (1, 2, 3))))
+
+    def entities(self, split: str, variant: str = "vectorized") -> DataFrame:
+        return normalize_entities(self.raw(split), variant)
+
+    def s1(self, split: str) -> DataFrame:
+        return self.data[f"{split}_source1"].withColumn("s1_id", F.col("entity_id"))
+
+    def path(self, name: str) -> str:
+        return f"{self.out}/{name}"
+
+    def write_lists(self, lists: DataFrame, column: str, name: str, s1: DataFrame) -> None:
+        """A TSV of an entity's list in the order of s1, under the fixed column names."""
+        rows = lists.join(s1.select("s1_id", "row_ord"), "s1_id").select(F.col("s1_id").alias("source1_entity_id"), F.col(column).alias(f"{'candidate' if 'cand' in column else 'matched'}_entity_ids"), "row_ord")
+        io.write_tsv(rows, self.path(name), "row_ord")
+        print(f"{self.path(name)}: {io.size_of(self.spark, self.path(name))} bytes")
+
+    def pairs(self, split: str) -> DataFrame:
+        return self.spark.read.parquet(self.path(f"candidates-{split}"))
+
+    def load_data(self) -> None:
+        for split in ("train", "test"):
+            self.raw(split).groupBy("src_ord", "country").count().orderBy(F.desc("count")).show()
+        metrics.match_buckets(self.data["train_truth"]).show()
+
+    def blocking(self, split: str, sample_n: int | None = None) -> None:
+        entities = self.entities(split)
+        block(entities, sample_n).write.mode("overwrite").parquet(self.path(f"candidates-{split}"))
+        done, s1 = self.pairs(split), first_entities(entities, sample_n)
+        self.write_lists(lookup.per_entity(s1, done, "candidates"), "candidates", f"candidate_pairs-{split}{'' if sample_n is None else '-sample'}.tsv", self.s1(split))
+        metrics.candidate_stats(s1, done).show()
+        if split == "train":
+            metrics.blocking_recall(s1, done, labels.explode_truth(self.data["train_truth"], trim=False)).show()
+
+    def train(self) -> dict:
+        truth = self.data["train_truth"]
+        rows = held(training_rows(self.entities("train"), self.pairs("train"), truth))
+        split = group_split(rows)
+        counts, of_train = metrics.label_counts(rows).first(), metrics.label_counts(split.where("not is_val")).first()
+        made = models.train(rows)
+        made.write().overwrite().save(self.path("model"))
+        models.train(rows, "logistic").write().overwrite().save(self.path("baseline_model"))
+        best, f05, sweep = models.choose_threshold(made, rows, labels.explode_truth(truth))
+        meta = {
+            "model": type(made.stages[-1]).__name__, "threshold": best, "val_macro_f05": f05, "feature_names": list(FEATURES), "n_train_pairs": of_train["positive"] + of_train["negative"],
+            "n_val_pairs": counts["positive"] + counts["negative"] - of_train["positive"] - of_train["negative"], "pos_rate_train": of_train["positive_rate"], "best_iteration": models.best_round(made), "seed": 42,
+        }
+        for name, value in (("model_config", meta), ("validation_summary", meta), ("selected_threshold", {"threshold": best}), ("feature_columns", list(FEATURES))):
+            io.write_json(value, self.path(f"{name}.json"), self.spark)
+        importance = models.feature_importance(made)
+        for name, df in (("threshold_results", sweep.orderBy("threshold")), ("feature_importance", importance.orderBy(F.desc("importance"), "feature"))):
+            df.coalesce(1).write.mode("overwrite").option("header", True).csv(self.path(f"{name}.csv"))
+        print(f"{counts['positive']} positive and {counts['negative']} negative pairs; macro F0.5 {f05:.4f} at {best:.2f}")
+        importance.orderBy(F.desc("importance"), "feature").limit(10).show(truncate=False)
+        return meta
+
+    def model(self) -> tuple:
+        return models.PipelineModel.load(self.path("model")), io.read_json(self.spark, self.path("model_config.json"))["threshold"]
+
+    def evaluate(self) -> dict:
+        made, best = self.model()
+        truth, pairs = self.data["train_truth"], self.pairs("train")
+        ids = truth.select(F.col("source1_entity_id").alias("s1_id")).distinct()
+        out = models.evaluate(made, all_features(self.entities("train"), pairs), pairs, labels.explode_truth(truth), ids, best).first().asDict()
+        io.write_json(out, self.path("full_eval_metrics.json"), self.spark)
+        print(json.dumps(out, indent=2))
+        return out
+
+    def predict(self) -> None:
+        made, best = self.model()
+        entities = self.entities("test")
+        found = models.predict(made, all_features(entities, self.pairs("test"))).where(F.col("score") >= best)
+        lists = held(lookup.per_entity(entities.where("src_ord = 0"), found, "matched"))
+        self.write_lists(lists, "matched", "matches.tsv", self.s1("test"))
+        metrics.prediction_counts(lists).show()
+
+    def rank(self, mode: str, k: int, threshold: float) -> None:
+        for split in ("train", "test") if mode == "both" else (mode,):
+            entities = self.entities(split, "scalar")
+            ranked = rank_pairs(entities, self.pairs(split), k, threshold) if split == "train" else block_and_rank(entities, k, threshold)
+            lists = held(rank.ranked_lists(entities.where("src_ord = 0"), ranked))
+            self.write_lists(lists, "matched", f"ranked_matches-{split}.tsv", self.s1(split))
+            self.write_lists(lists, "candidates", f"reduced_candidates-{split}.tsv", self.s1(split))
+            metrics.prediction_counts(lists).show()
+
+    def read_lists(self, name: str, column: str) -> DataFrame:
+        return io.with_row_ord(io.read_tsv(self.spark, self.path(name), TRUTH if column == "matched" else CANDIDATES)).toDF("s1_id", column, "row_ord")
+
+    def validate(self) -> list[tuple]:
+        """The first faults, none if the submission is right."""
+        paths = {"matches": self.path("matches.tsv"), "candidates": self.path("candidate_pairs-test.tsv")}
+        faults = validate.validate_files(self.spark, paths)
+        if not faults:
+            entities = self.raw("test")
+            matches = self.read_lists("matches.tsv", "matched")
+            found = validate.validate_submission(matches, self.read_lists("candidate_pairs-test.tsv", "candidates"), entities.where("src_ord = 0"), entities.where("src_ord > 0"))
+            faults = [tuple(r) for r in found.orderBy("rule", "s1_id", "detail").limit(10).collect()]
+            if not faults:
+                validate.submission_stats(matches).show()
+        return faults
+
+    def submit(self) -> int:
+        """Writes all entities of the candidate file and of the matches, by id, with the matches that are there; returns how many."""
+        matches = self.read_lists("matches.tsv", "matched")
+        ids = self.read_lists("candidate_pairs-test.tsv", "candidates").select("s1_id")
+        done = held(lookup.complete_submission(ids, matches))
+        io.write_tsv(done.select(F.col("s1_id").alias("source1_entity_id"), F.col("matched").alias("matched_entity_ids")), self.path("matches_complete.tsv"), "source1_entity_id", keep=True)
+        print(f"{done.count()} entities, {matches.select('s1_id').distinct().count()} with a row before")
+        return done.count()
+
+    def demo(self) -> DataFrame:
+        drawn = rank.sample_rows(self.data["train_source1"])
+        return normalize_entities(drawn).select("business_name", "name_clean", "business_address", "address_clean", "country", "country_clean")
+
+
 def main(argv: list[str] | None = None) -> None:
-    p = argparse.ArgumentParser(description=__doc__)
+    p = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     p.add_argument("--root", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--stage", choices=STAGES, default="all")
     p.add_argument("--split", choices=("train", "test"), default="train")
+    p.add_argument("--mode", choices=("train", "test", "both"), default="test")
     p.add_argument("--sample", type=int)
     p.add_argument("--top-k", type=int, default=rank.TOP_K)
     p.add_argument("--threshold", type=float, default=rank.THRESHOLD)
     a, _ = p.parse_known_args(argv)
     spark = SparkSession.builder.appName("kinweave").getOrCreate()
-    data = io.read_all(spark, io.Catalogue(a.root))
-    raw = lookup.union_sources(*(data[f"{a.split}_source{i}"] for i in (1, 2, 3)))
-    entities, truth = normalize_entities(raw), data["train_truth"]
-    s1, others = entities.where("src_ord = 0"), entities.where("src_ord > 0")
-    runs = lambda *names: a.stage == "all" and a.split == "train" and "predict" not in names or a.stage in names
-    pairs_at, model_at = f"{a.out}/candidates-{a.split}", f"{a.out}/model"
-    if runs("load_data"):
-        raw.groupBy("src_ord", "country").count().orderBy(F.desc("count")).show()
-        metrics.match_buckets(truth).show()
-    if runs("blocking"):
-        block(entities, a.sample).write.mode("overwrite").parquet(pairs_at)
-        done = spark.read.parquet(pairs_at)
-        io.write_tsv(lookup.per_entity(s1, done, "candidate_entity_ids"), f"{a.out}/candidate_pairs-{a.split}.tsv")
-        metrics.candidate_stats(s1, done).show()
-        if a.split == "train":
-            metrics.blocking_recall(s1, done, labels.explode_truth(truth, trim=False)).show()
-    if runs("train"):
-        rows = training_rows(entities, spark.read.parquet(pairs_at), truth).persist()
-        made = models.train(rows)
-        made.write().overwrite().save(model_at)
-        best, sweep = models.choose_threshold(made, rows, labels.explode_truth(truth))
-        io.write_json({"threshold": best}, f"{a.out}/selected_threshold.json", spark)
-        sweep.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{a.out}/threshold_results.csv")
-        models.feature_importance(made).coalesce(1).write.mode("overwrite").option("header", True).csv(f"{a.out}/feature_importance.csv")
-    if runs("evaluate", "predict"):
-        import json
-
-        made = models.PipelineModel.load(model_at)
-        best = json.loads("".join(r[0] for r in spark.read.text(f"{a.out}/selected_threshold.json", wholetext=True).collect()))["threshold"]
-        rows = all_features(entities, spark.read.parquet(pairs_at))
-        if a.stage == "predict":
-            found = models.predict(made, rows).where(F.col("score") >= best)
-            lists = lookup.per_entity(s1, found, "matched_entity_ids").join(s1.select(F.col("entity_id").alias("s1_id"), "row_ord"), "s1_id")
-            io.write_tsv(lists, f"{a.out}/matches.tsv", "row_ord")
-        else:
-            ids = truth.select(F.col("source1_entity_id").alias("s1_id"))
-            io.write_json(models.evaluate(made, rows, labels.explode_truth(truth), ids, best).first().asDict(), f"{a.out}/full_eval_metrics.json", spark)
-    if a.stage == "rank":
-        scalar = normalize_entities(raw, "scalar")
-        lists = rank.ranked_lists(s1, block_and_rank(scalar, a.top_k, a.threshold)).persist()
-        io.write_tsv(lists.select("s1_id", "matched"), f"{a.out}/matches.tsv")
-        io.write_tsv(lists.select("s1_id", "candidates"), f"{a.out}/reduced_candidates.tsv")
-    if a.stage == "validate":
-        read = lambda name, col: io.read_tsv(spark, f"{a.out}/{name}", io.CANDIDATES).toDF("s1_id", col)
-        faults = validate.validate_submission(read("matches.tsv", "matched"), read("candidate_pairs-test.tsv", "candidates"), s1, others)
-        first = faults.orderBy("rule", "s1_id").first()
-        if first:
-            raise SystemExit(f"invalid: {first['rule']} {first['s1_id']} {first['detail']}")
+    flow = Flow(spark, io.Catalogue(a.root), a.out)
+    if a.stage == "all":
+        flow.load_data()
+        flow.blocking("train", a.sample)
+        flow.train()
+        flow.evaluate()
+    elif a.stage == "blocking":
+        flow.blocking(a.split, a.sample)
+    elif a.stage == "rank":
+        flow.rank(a.mode, a.top_k, a.threshold)
+    elif a.stage == "demo":
+        flow.demo().show(truncate=False, vertical=True)
+    elif a.stage == "validate":
+        if faults := flow.validate():
+            raise SystemExit("invalid: " + " ".join(faults[0]))
+        print("valid")
+    else:
+        getattr(flow, a.stage)()
 
 
 if __name__ == "__main__":

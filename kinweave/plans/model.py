@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from kinweave.functions.features import FEATURES
 from kinweave.operators.labels import group_split
-from kinweave.operators.metrics import best_threshold, macro_f05, threshold_sweep
+from kinweave.operators.metrics import best_threshold, full_evaluation, threshold_sweep
 
 
 def train(rows: DataFrame, kind: str = "gbt", rounds: int = 20, depth: int = 5, step: float = 0.1) -> PipelineModel:
@@ -31,6 +31,11 @@ def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return model.transform(rows).select("s1_id", "cand_id", vector_to_array("probability")[1].alias("score"))
 
 
+def best_round(model: PipelineModel) -> int:
+    """The number of trees that the held-out entities left, 0 for a model without trees."""
+    return getattr(model.stages[-1], "getNumTrees", 0)
+
+
 def feature_importance(model: PipelineModel) -> DataFrame:
     from pyspark.sql import SparkSession
 
@@ -38,13 +43,13 @@ def feature_importance(model: PipelineModel) -> DataFrame:
     return SparkSession.active().createDataFrame(sorted(zip(FEATURES, values, strict=True), key=lambda x: (-x[1], x[0])), "feature string, importance double")
 
 
-def choose_threshold(model: PipelineModel, rows: DataFrame, true: DataFrame) -> tuple[float, DataFrame]:
-    """(threshold, sweep) on the held-out entities."""
+def choose_threshold(model: PipelineModel, rows: DataFrame, true: DataFrame) -> tuple[float, float, DataFrame]:
+    """(threshold, its macro_f05, sweep) on the held-out entities."""
     held = group_split(rows).where("is_val")
     ids = held.select("s1_id").distinct()
     sweep = threshold_sweep(ids, predict(model, held), true.join(ids, "s1_id", "left_semi")).persist()
-    return best_threshold(sweep)[0], sweep
+    return *best_threshold(sweep), sweep
 
 
-def evaluate(model: PipelineModel, rows: DataFrame, true: DataFrame, entities: DataFrame, threshold: float) -> DataFrame:
-    return macro_f05(entities, predict(model, rows).where(F.col("score") >= threshold), true)
+def evaluate(model: PipelineModel, rows: DataFrame, pairs: DataFrame, true: DataFrame, entities: DataFrame, threshold: float) -> DataFrame:
+    return full_evaluation(entities, predict(model, rows).where(F.col("score") >= threshold), pairs, true, threshold)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinweave.functions.features import native_features, pair_features, pair_table
 from kinweave.functions.keys import blocking_keys, tokens
-from kinweave.functions.normalize import normalize_entities
+from kinweave.functions.normalize import ADDRESS_WORDS, clean_country, clean_vectorized, normalize_entities
+from kinweave.functions.similarity import similarities_udf
 from kinweave.operators import blocking, labels, lookup, metrics, rank, validate
 from kinweave.plans import flow, model
 from kinweave.sources import fixtures
@@ -26,18 +29,54 @@ def rounded(df: DataFrame) -> DataFrame:
 
 
 class Data:
-    """The relations that several queries use."""
+    """The relations that several queries use; each is a plan, made when it is asked for."""
 
     def __init__(self, spark, sf_dir, make=fixtures.document_entities, variant="vectorized", phonetic=True):
-        self.raw = make(spark, sf_dir)
-        self.ents = normalize_entities(self.raw, variant)
-        self.s1, self.others = self.ents.where("src_ord = 0"), self.ents.where("src_ord > 0")
-        self.keys = blocking_keys(self.ents, phonetic).persist()  # read three times: as probe, as index, and for its probe keys
-        self.s1_keys, self.other_keys = self.keys.where("src_ord = 0"), self.keys.where("src_ord > 0")
-        self.index = blocking.inverted_index(self.other_keys, self.s1_keys)
-        self.pairs = blocking.candidate_pairs(self.s1_keys, self.index)
-        self.gt = fixtures.truth(self.raw)
-        self.truth = labels.explode_truth(self.gt)
+        self.raw, self.variant, self.phonetic = make(spark, sf_dir), variant, phonetic
+
+    @functools.cached_property
+    def ents(self):
+        return normalize_entities(self.raw, self.variant)
+
+    @functools.cached_property
+    def s1(self):
+        return self.ents.where("src_ord = 0")
+
+    @functools.cached_property
+    def others(self):
+        return self.ents.where("src_ord > 0")
+
+    @functools.cached_property
+    def keys(self):
+        return blocking_keys(self.ents, self.phonetic)
+
+    @functools.cached_property
+    def s1_keys(self):
+        return self.keys.where("src_ord = 0")
+
+    @functools.cached_property
+    def other_keys(self):
+        return self.keys.where("src_ord > 0")
+
+    @functools.cached_property
+    def index(self):
+        return blocking.inverted_index(self.other_keys)
+
+    @functools.cached_property
+    def pairs(self):
+        return blocking.candidate_pairs(self.s1_keys, blocking.inverted_index(self.other_keys, self.s1_keys))
+
+    @functools.cached_property
+    def gt(self):
+        return fixtures.truth(self.raw)
+
+    @functools.cached_property
+    def truth(self):
+        return labels.explode_truth(self.gt)
+
+    @functools.cached_property
+    def ids(self):
+        return self.s1.select(F.col("entity_id").alias("s1_id"))
 
     def overlap(self) -> DataFrame:
         """(s1_id, cand_id, score): Jaccard of the names' words, a score that SQL has as well."""
@@ -145,7 +184,27 @@ def block_and_rank_native(spark, d):
 
 @query
 def block_and_rank(spark, d):
-    return flow.block_and_rank(Data(spark, d, fixtures.part_entities, "scalar").ents)
+    return rounded(flow.block_and_rank(Data(spark, d, fixtures.part_entities, "scalar").ents).select("s1_id", "cand_id", "score", "rn", "matched"))
+
+
+@query
+def rank_score(spark, d):
+    x = Data(spark, d, fixtures.part_entities, "scalar")
+    return rounded(rank.score_pairs(x.pairs, x.s1, x.others))
+
+
+@query
+def topk_rank(spark, d):
+    x = Data(spark, d, fixtures.part_entities, "scalar")
+    return rounded(rank.rank_candidates(rank.score_pairs(x.pairs, x.s1, x.others)).select("s1_id", "cand_id", "rn", "score", "matched"))
+
+
+@query
+def pair_ratios(spark, d):
+    """The ratios of names and addresses, as they stand and with their words sorted, from 0 to 1."""
+    x = Data(spark, d, fixtures.part_entities)
+    both = pair_table(x.pairs, x.s1, x.others).withColumns({"n": similarities_udf("s1_name", "cand_name"), "a": similarities_udf("s1_addr", "cand_addr")})
+    return rounded(both.select("s1_id", "cand_id", *(F.col(f"{k[0]}.{f}").alias(f"{k}_{f}") for k in ("name", "addr") for f in ("ratio", "token_sort"))))
 
 
 @query
@@ -189,13 +248,57 @@ def blocking_recall(spark, d):
 @query
 def macro_f05(spark, d):
     x = Data(spark, d)
-    return rounded(metrics.macro_f05(x.s1.select(F.col("entity_id").alias("s1_id")), x.overlap().where("score >= 0.5"), x.truth))
+    return rounded(metrics.macro_f05(x.ids, x.overlap().where("score >= 0.5"), x.truth))
 
 
 @query
 def threshold_sweep(spark, d):
     x = Data(spark, d)
-    return rounded(metrics.threshold_sweep(x.s1.select(F.col("entity_id").alias("s1_id")), x.overlap(), x.truth))
+    return rounded(metrics.threshold_sweep(x.ids, x.overlap(), x.truth))
+
+
+@query
+def recall_ceiling(spark, d):
+    x = Data(spark, d)
+    return rounded(metrics.recall_ceiling(x.pairs, x.truth))
+
+
+@query
+def full_evaluation(spark, d):
+    """With the overlap of words as the score, which SQL has as well."""
+    x = Data(spark, d)
+    return rounded(metrics.full_evaluation(x.ids, x.overlap().where("score >= 0.5"), x.pairs, x.truth, 0.5))
+
+
+@query
+def label_counts(spark, d):
+    x = Data(spark, d)
+    return rounded(metrics.label_counts(labels.label_pairs(x.pairs, x.gt)))
+
+
+@query
+def prediction_counts(spark, d):
+    return metrics.prediction_counts(Data(spark, d).submission())
+
+
+@query
+def candidate_lookup(spark, d):
+    """The other sources with planted repeats of ids, of which the last holds."""
+    raw = Data(spark, d).raw.select("entity_id", "country", "src_ord", "row_ord")
+    again = raw.where("src_ord = 2 and row_ord % 5 = 0").select(F.concat(F.lit("S2-"), F.lpad((F.col("row_ord") - 1).cast("string"), 9, "0")).alias("entity_id"), F.lit("again").alias("country"), "src_ord", "row_ord")
+    return lookup.load_lookup(raw.where("src_ord = 1"), raw.where("src_ord = 2"), again)
+
+
+@query
+def normalize_country(spark, d):
+    return Data(spark, d).raw.select("entity_id", clean_country(F.concat(F.lit("\t "), F.upper("country"), F.lit(" \n"))).alias("country_clean"))
+
+
+@query
+def normalize_vectorized(spark, d):
+    """The whole text as an address."""
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    return docs.select("doc_id", clean_vectorized(F.col("text"), ADDRESS_WORDS).alias("clean"))
 
 
 @query
@@ -206,7 +309,7 @@ def submission_stats(spark, d):
 @query
 def complete_submission(spark, d):
     x = Data(spark, d)
-    return lookup.complete_submission(x.s1.select(F.col("entity_id").alias("s1_id")), x.submission().where("matched <> ''").withColumn("row_ord", F.lit(0)))
+    return lookup.complete_submission(x.ids, x.submission().where("matched <> ''").withColumn("row_ord", F.lit(0)))
 
 
 @query
@@ -230,7 +333,8 @@ def dedupe_last(spark, d):
 
 @query
 def predict_links(spark, d):
-    """Trains on the sampled pairs and scores all candidates."""
+    """Trains on the sampled pairs and scores all candidates; their features are made once."""
     x = Data(spark, d)
-    made = model.train(flow.training_rows(x.ents, x.pairs, x.gt).persist())
-    return model.predict(made, flow.all_features(x.ents, x.pairs))
+    rows = flow.held(flow.all_features(x.ents, x.pairs))
+    made = model.train(flow.sampled_features(rows, x.gt))
+    return model.predict(made, rows)

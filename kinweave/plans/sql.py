@@ -112,7 +112,30 @@ def _f05(entities: str, pred: str, by: str = "") -> str:
   left join (select s1_id, count(*) as nt from truth group by 1) n on n.s1_id = e.s1_id) {group}"""
 
 
+def _ratio(a: str, b: str) -> str:
+    """200 times the longest common subsequence over both lengths, 100 for two empty texts; a of 126 characters at most. The subsequence's length: a bit a character of a, a step a character of b."""
+    masks = f"list_transform(string_split({b}, ''), lambda c: list_sum(list_transform(range(length({a})), lambda i: case when substr({a}, i::bigint + 1, 1) = c then 1::hugeint << i::int else 0::hugeint end))::hugeint)"
+    full = f"((1::hugeint << length({a})::int) - 1)"
+    v = f"list_reduce(list_concat([{full}], {masks}), lambda v, m: ((v + (v & m)) | (v - (v & m))) & {full})"
+    lcs = f"case when {a} = '' or {b} = '' then 0 else length({a}) - bit_count({v}) end"
+    return f"case when {a} = '' and {b} = '' then 100.0::double else 200.0::double * ({lcs}) / (length({a}) + length({b})) end"
+
+
+def _sorted(c: str) -> str:
+    return f"array_to_string(list_sort(list_filter(string_split({c}, ' '), lambda t: t <> '')), ' ')"
+
+
+def _sides(pairs: str) -> str:
+    return f", sides as (select p.s1_id, p.cand_id, a.name_clean as an, a.address_clean as aa, b.name_clean as bn, b.address_clean as ba from ({pairs}) p join s1 a on a.entity_id = s1_id join others b on b.entity_id = cand_id)"
+
+
+def _ranked(pairs: str) -> str:
+    part = lambda a, b: f"case when {a} = '' or {b} = '' then 0.0::double else {_ratio(a, b)} end"
+    return base(PARTS, scalar=True) + _sides(pairs) + f", names as (select an, bn, {part('an', 'bn')} as r from (select distinct an, bn from sides)), streets as (select aa, ba, {part('aa', 'ba')} as r from (select distinct aa, ba from sides)), scored as (select s1_id, cand_id, 0.7::double * n.r + 0.3::double * t.r as score from sides join names n using (an, bn) join streets t using (aa, ba)), ranked as (select s1_id, cand_id, row_number() over (partition by s1_id order by score desc, cand_id desc)::int as rn, score, score >= 50 as matched from scored qualify rn <= 5) "
+
+
 B, BP = base(), base(phonetic=False)
+_ALL = "select s1_id, cand_id from hit where cand_id <> s1_id"
 _SUB = "sub as (select s.entity_id as s1_id, coalesce(string_agg(j.cand_id, ',' order by j.cand_id), '') as matched from s1 s left join jac j on j.s1_id = s.entity_id and j.score >= 0.5 group by 1)"
 
 ORACLES = {
@@ -125,8 +148,8 @@ ORACLES = {
     "blocking_keys": BP + "select entity_id, ord, key from keys",
     "blocking_keys_phonetic": B + "select entity_id, ord, key from keys",
     "blocking_keys_weak": base(WEAK) + "select entity_id, ord, key from keys",
-    "inverted_index": B + "select key, cand_id from idx where key in (select key from keys where src_ord = 0)",
-    "inverted_index_hot": base(CUSTOMERS) + "select key, cand_id from idx where key in (select key from keys where src_ord = 0)",
+    "inverted_index": B + "select key, cand_id from idx",
+    "inverted_index_hot": base(CUSTOMERS) + "select key, cand_id from idx",
     "index_size": B + "select count(distinct key) as n_keys from keys where src_ord > 0",
     "candidate_pairs": B + "select * from pairs",
     "candidate_pairs_hot": base(CUSTOMERS) + "select * from pairs",
@@ -140,6 +163,18 @@ ORACLES = {
     "group_split": B + "select s1_id, cand_id, ('0x' || substr(md5(s1_id || '42'), 1, 8))::bigint % 100 < 20 as is_val from pairs",
     "pair_features_native": base(PARTS) + f", both_sides as (select p.*, a.name_clean as an, a.address_clean as aa, a.country_clean as ac, b.name_clean as bn, b.address_clean as ba, b.country_clean as bc from pairs p join s1 a on a.entity_id = s1_id join others b on b.entity_id = cand_id) select s1_id, cand_id, {native_features()} from both_sides",
     "block_and_rank_native": base(PARTS) + "select s1_id, cand_id, rn::int as rn, round(score, 6) as score from (select *, row_number() over (partition by s1_id order by score desc, cand_id desc) as rn from jac) where rn <= 5",
+    "rank_score": _ranked("select * from pairs") + "select s1_id, cand_id, round(score, 6) as score from scored",
+    "topk_rank": _ranked("select * from pairs") + "select s1_id, cand_id, rn, round(score, 6) as score, matched from ranked",
+    "block_and_rank": _ranked(_ALL) + "select s1_id, cand_id, round(score, 6) as score, rn, matched from ranked",
+    "rank_summary": _ranked(_ALL) + "select entity_id as s1_id, coalesce(string_agg(cand_id, ',' order by rn) filter (matched), '') as matched, coalesce(string_agg(cand_id, ',' order by rn), '') as candidates from s1 left join ranked on s1_id = entity_id group by 1",
+    "pair_ratios": base(PARTS) + _sides("select * from pairs") + "select s1_id, cand_id, " + ", ".join(f"round(({_ratio(*(f(c) for c in x))}) / 100, 6) as {k}_{n}" for k, x in (("name", ("an", "bn")), ("addr", ("aa", "ba"))) for n, f in (("ratio", str), ("token_sort", _sorted))) + " from sides",
+    "recall_ceiling": B + "select count(p.cand_id) as hits, count(*) as total, round(case when count(*) > 0 then count(p.cand_id) / count(*) else 0 end, 6) as recall_ceiling from truth t left join pairs p using (s1_id, cand_id)",
+    "full_evaluation": B + f", f as ({_f05('select entity_id as s1_id from s1', 'select * from jac where score >= 0.5')}) select f.*, (select round(count(p.cand_id) / count(*), 6) from truth t left join pairs p using (s1_id, cand_id)) as blocking_recall_ceiling, 0.5::double as threshold from f",
+    "label_counts": B + "select count(t.s1_id) as positive, count(*) - count(t.s1_id) as negative, round(count(t.s1_id) / count(*), 6) as positive_rate from pairs p left join truth t using (s1_id, cand_id)",
+    "prediction_counts": B + f", {_SUB}, n as (select case when matched = '' then 0 else len(string_split(matched, ',')) end as n from sub) select count(*) filter (n > 0) as entities_with_match, sum(n)::bigint as links from n",
+    "candidate_lookup": B + ", others2 as (select entity_id, country, src_ord, row_ord, 0 as again from ent where src_ord > 0 union all select 'S2-' || lpad((row_ord - 1)::varchar, 9, '0'), 'again', src_ord, row_ord, 1 from ent where src_ord = 2 and row_ord % 5 = 0) select entity_id, country, src_ord, row_ord from others2 qualify row_number() over (partition by entity_id order by src_ord desc, row_ord desc, again desc) = 1",
+    "normalize_country": "select 'S' || (doc_id % 3 + 1) || '-' || lpad(doc_id::varchar, 9, '0') as entity_id, lower(trim(coalesce(lang, ''))) as country_clean from documents",
+    "normalize_vectorized": f"select doc_id, {clean('t', ADDRESS_WORDS)} as clean from (select doc_id, coalesce(text, '') as t from documents)",
     "eda_shape": B + "select src_ord, count(*) as n_rows from ent group by 1",
     "eda_country_counts": B + "select src_ord, country, count(*) as n from ent group by 1, 2",
     "eda_country_nunique": B + "select src_ord, count(distinct country) as n from ent group by 1",
