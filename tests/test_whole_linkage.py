@@ -7,10 +7,10 @@ def test_predict_links_trains_as_the_operator_does(monkeypatch):
     from kinweave.plans import queries
 
     seen = []
-    rows = SimpleNamespace(persist=lambda: "rows")
     monkeypatch.setattr(queries, "Data", lambda spark, d: SimpleNamespace(ents=None, pairs=None, gt=None))
-    monkeypatch.setattr(queries.flow, "training_rows", lambda *a: rows)
-    monkeypatch.setattr(queries.flow, "all_features", lambda *a: None)
+    monkeypatch.setattr(queries.flow, "all_features", lambda *a: "all")
+    monkeypatch.setattr(queries.flow, "held", lambda df: df)
+    monkeypatch.setattr(queries.flow, "sampled_features", lambda *a: "rows")
     monkeypatch.setattr(queries.model, "train", lambda *a, **k: seen.append((a, k)))
     monkeypatch.setattr(queries.model, "predict", lambda *a: None)
     queries.Q["predict_links"](None, None)
