@@ -206,7 +206,7 @@ def test_url_filter(spark):
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
     judge = lambda most: {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in urlfilter.filter_urls(pages, urlfilter.stand_in_list(F.col("key")), most_bits=most).collect()}
     got = judge(urlfilter.MOST_BITS)
-    assert got == judge(8)  # beyond the bound, by a join
+    assert got == judge(8)  # beyond the bound, by shards
     assert got[0] == got[1] == got[2] == ("", "", None, got[0][3])
     assert got[3] == ("a.example.org", "/es/x", "example.org/es/", "block") and got[5][2:] == ("example.org/en/1", "block")
     assert got[4][2] is None and got[6][2:] == ("com/fr/", "allow") and got[7][2:] == ("com/de/", "block") and got[11][2:] == ("org/", "allow")
