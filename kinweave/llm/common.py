@@ -52,7 +52,8 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Keep the Arrow batches small, since a document may be long."""
+    """Keep the Arrow batches small, since a document may be long, and a worker's linear algebra to its own core: a task has one."""
+    spark.sparkContext.environment["OPENBLAS_NUM_THREADS"] = "1"
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
