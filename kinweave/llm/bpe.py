@@ -1,16 +1,20 @@
 """Byte-level BPE encoding and decoding with reuse of content-defined chunks.
 
 A rolling hash cuts each text into chunks of about 1 KB, at the same places wherever the same passage
-stands. Chunk hashes are counted over the whole corpus; the shared chunks that save most are encoded
-once and travel to all tasks as a dictionary of a fixed size. Every text is then put together from
-reused chunks, newly encoded ones and the joins between them.
-
-Exactness. A place where white space follows a character that is not white space is always a border
-between pre-tokens, whatever stands around it. So of a chunk only what lies between its first and its
+stands. Chunk hashes are counted over the whole corpus, and every chunk that stands twice or more is
+reused: those that save most are encoded once, on an executor, and travel to all tasks as a dictionary
+of a bounded size; a Bloom filter over the hashes of all shared chunks tells a task which others to keep
+when it meets them first, so they are encoded once a task while it holds them (HELD of them). Every text is
+then put together from reused chunks, newly encoded ones and the joins between them.
+
+Exactness. A place where white space follows a character that is not white space is a border between
+pre-tokens, whatever stands around it. So of a chunk only what lies between its first and its
 last such place is reused, and what lies between two chunks' reused parts is the join: it is encoded
 anew from a border in the left chunk, over as many chunks as it takes, up to the first border in the
-right one, where both encodings agree. What is not in the dictionary is split at all such borders and
-each distinct piece of a block of text is encoded once.
+right one. Then the two pieces on either side of each seam are encoded together: they must give what
+they give alone. Where a seam doesn't agree, the encoding is repeated over the whole text, which has no
+seam. What isn't reused is split at all such borders and each distinct piece of a block of text is
+encoded once.
 
 Null text: as an empty one, no tokens. Very long texts: whole, in memory one at a time. Repeated rows
 are each encoded. Extra columns pass through encode_documents. Empty table: no rows. A text that holds
@@ -32,12 +36,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweave.llm.common import _BASE, _BYTE, _SPACE, Block, blocks, mix, powers, small_batches, table
+from kinweave.llm.common import _BASE, _BYTE, _SPACE, Block, blocks, bloom_bits, bloom_has, bloom_of, materialize, mix, powers, small_batches, table
 
 #: Cuts where the low bits of the hash of 16 bytes are 0; sizes in bytes.
 WINDOW, MASK, LEAST, MOST = 16, (1 << 10) - 1, 256, 8192
 #: The dictionary of shared chunks: its most bytes of text, and its most entries.
 DICT_BYTES, DICT_ENTRIES = 8 << 20, 16384
+#: Further shared chunks that a task holds at a time.
+HELD = 4096
 _GEAR = np.random.Generator(np.random.PCG64(7)).integers(1, 1 << 63, 256, dtype=np.uint64)
 #: Bytes of pieces that go to the library itself: control characters and what lies beyond Latin letters.
 _RARE = np.zeros(256, bool)
@@ -144,10 +150,14 @@ def _chunk_rows(batches) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(count), pa.int64()), pa.array([x[0] for x in count.values()], pa.int64()), pa.array([x[1] for x in count.values()], pa.int64())], ["h", "n_bytes", "n"])
 
 
-def shared_chunks(docs: DataFrame) -> list[int]:
-    """Hashes of the shared chunks that save most, as many as the dictionary's bounds allow."""
+def shared_chunks(docs: DataFrame) -> DataFrame:
+    """(h, n_bytes, n): the chunks that stand twice or more."""
     rows = docs.select("text").mapInArrow(_chunk_rows, "h long, n_bytes long, n long")
-    often = rows.groupBy("h").agg(F.first("n_bytes").alias("n_bytes"), F.sum("n").alias("n")).where("n > 1")
+    return rows.groupBy("h").agg(F.first("n_bytes").alias("n_bytes"), F.sum("n").alias("n")).where("n > 1")
+
+
+def most_saving(often: DataFrame) -> list[int]:
+    """Hashes of the shared chunks that save most, as many as the dictionary's bounds allow."""
     top = often.orderBy(((F.col("n") - 1) * F.col("n_bytes")).desc(), "h").limit(DICT_ENTRIES).collect()
     out, room = [], DICT_BYTES
     for r in top:
@@ -158,11 +168,51 @@ def shared_chunks(docs: DataFrame) -> list[int]:
     return out
 
 
-def build_dictionary(docs: DataFrame, path: str) -> dict[int, tuple[int, int, list[int]]]:
-    """hash -> (first border, last border, ids between them): each shared chunk is encoded once, on an executor."""
-    hashes = shared_chunks(docs)
+def encode_chunk(path: str, chunk: bytes) -> tuple[int, int, list[int]]:
+    """(first border, last border, ids between them)."""
+    data = np.frombuffer(chunk, np.uint8)
+    at = borders(Block(data, np.array([0, len(data)])))[1:-1]
+    first, last = (int(at[0]), int(at[-1])) if len(at) > 1 else (0, 0)
+    return first, last, plain_ids(path, chunk[first:last]) if last > first else []
+
+
+class Reuse:
+    """The shared chunks as a task sees them: the dictionary, and those that it has met itself."""
+
+    def __init__(self, path: str, dictionary: dict[int, tuple], shared: np.ndarray):
+        self.path, self.dictionary, self.shared = path, dictionary, shared
+        self.held: dict[int, tuple] = {}
+
+    def __getstate__(self):
+        return self.path, self.dictionary, self.shared
+
+    def __setstate__(self, state):
+        self.__init__(*state)
+
+    def find(self, hashes: list[int], chunks: list[bytes]) -> list[tuple | None]:
+        """Of each chunk (first border, last border, ids), or None if it isn't shared or has nothing between borders."""
+        if not hashes:
+            return []
+        known = bloom_has(self.shared, np.array(hashes, np.int64).view(np.uint64)).tolist()
+        out = []
+        for h, chunk, ok in zip(hashes, chunks, known, strict=True):
+            got = self.dictionary.get(h) or self.held.get(h) if ok else None
+            if ok and got is None:
+                got = encode_chunk(self.path, chunk)
+                if len(self.held) >= HELD:
+                    del self.held[next(iter(self.held))]
+                self.held[h] = got
+            out.append(got if got and got[2] else None)
+        return out
+
+
+def build_reuse(docs: DataFrame, path: str) -> Reuse:
+    """The dictionary's chunks are each encoded once, on an executor."""
+    often = materialize(shared_chunks(docs))
+    shared = bloom_of(often, "h", bloom_bits(often.count()))
+    hashes = most_saving(often)
     if not hashes:
-        return {}
+        return Reuse(path, {}, shared)
     wanted = docs.sparkSession.sparkContext.broadcast(frozenset(hashes))
 
     def texts(batches):
@@ -185,16 +235,11 @@ def build_dictionary(docs: DataFrame, path: str) -> dict[int, tuple[int, int, li
 
     def encode(batches):
         for batch in batches:
-            out = []
-            for chunk in batch.column(1).to_pylist():
-                data = np.frombuffer(chunk, np.uint8)
-                at = borders(Block(data, np.array([0, len(data)])))[1:-1]
-                first, last = (int(at[0]), int(at[-1])) if len(at) > 1 else (0, 0)
-                out.append((first, last, plain_ids(path, chunk[first:last]) if last > first else []))
+            out = [encode_chunk(path, chunk) for chunk in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int32()), pa.array([x[2] for x in out], pa.list_(pa.int32()))], ["h", "first", "last", "ids"])
 
     rows = docs.select("text").mapInArrow(texts, "h long, chunk binary").dropDuplicates(["h"]).mapInArrow(encode, "h long, first int, last int, ids array<int>")
-    return {r["h"]: (r["first"], r["last"], r["ids"]) for r in rows.collect() if r["ids"]}
+    return Reuse(path, {r["h"]: (r["first"], r["last"], r["ids"]) for r in rows.collect()}, shared)
 
 
 def plain_ids(path: str, text: bytes) -> list[int]:
@@ -204,6 +249,12 @@ def plain_ids(path: str, text: bytes) -> list[int]:
     return library.encode(text.decode(), add_special_tokens=False).ids
 
 
+@functools.lru_cache(1 << 15)
+def agrees(path: str, left: bytes, right: bytes) -> bool:
+    """Whether two neighbouring pieces give together what they give alone."""
+    return plain_ids(path, left + right) == plain_ids(path, left) + plain_ids(path, right)
+
+
 # ---- whole texts ------------------------------------------------------------------------------------
 
 
@@ -245,65 +296,72 @@ def _sizes(path: str) -> np.ndarray:
     return np.array([len(x) for x in vocabulary(path)[2]], np.int64)
 
 
-def encode_block(path: str, block: Block, dictionary: dict) -> Iterator[list]:
-    """For each text of the block, a list of ids, whose items are lists of ids of parts that follow each other.
-
-    Yields (parts, names): names say which parts are equal, so that what is made of a part can be kept.
-    """
+def encode_block(path: str, block: Block, reuse: Reuse | None) -> Iterator[tuple]:
+    """For each text of the block (parts, names): lists of ids that follow each other, and names that say which parts are equal, so that what is made of a part can be kept."""
     at = borders(block)
     raw = block.raw.tobytes()
     n_pieces = len(at) - 1
     wanted = np.ones(max(0, n_pieces), bool)
-    reused: list[list[tuple[int, int, int]]] = []  # of each text: (first piece, piece after the last, chunk)
-    where = {}
-    if dictionary:
+    reused: list[list[tuple]] = [[] for _ in range(len(block.at) - 1)]  # of each text: (first piece, piece after the last, chunk, ids)
+    if reuse is not None:
+        met = []
         for i, ends in enumerate(chunk_ends(block)):
-            a, mine = int(block.at[i]), []
+            a = int(block.at[i])
             for b in ends:
-                if b - a >= LEAST and (h := xxhash.xxh3_64_intdigest(raw[a:b]) - 2**63) in dictionary:
-                    first, last, _ = dictionary[h]
-                    x, y = int(np.searchsorted(at, a + first)), int(np.searchsorted(at, a + last))
-                    wanted[x:y] = False
-                    mine.append((x, y, h))
+                if b - a >= LEAST:
+                    met.append((i, a, xxhash.xxh3_64_intdigest(raw[a:b]) - 2**63, b))
                 a = b
-            reused.append(mine)
+        for (i, a, h, _), got in zip(met, reuse.find([x[2] for x in met], [raw[x[1] : x[3]] for x in met]), strict=True):
+            if got:
+                x, y = int(np.searchsorted(at, a + got[0])), int(np.searchsorted(at, a + got[1]))
+                reused[i].append((x, y, h, got[2]))
     special = vocabulary(path)[3]
+    text_at = np.searchsorted(at, block.at).tolist()
+    place = at.tolist()
+    whole = []
+    for i, mine in enumerate(reused):
+        a, b = int(block.at[i]), int(block.at[i + 1])
+        piece = lambda k: raw[place[k] : place[k + 1]]  # noqa: E731, B023
+        seams = {k for x, y, _, _ in mine for k in (x, y) if text_at[i] < k < text_at[i + 1]}
+        whole.append(any(s in raw[a:b] for s in special) or not all(agrees(path, piece(k - 1), piece(k)) for k in seams))
+        for x, y, _, _ in () if whole[i] else mine:
+            wanted[x:y] = False
     held = Pieces(path, block, at, wanted) if wanted.any() else None
     nth = np.cumsum(wanted) - wanted  # among the wanted ones
     which = held.which.tolist() if held else []
-    text_at = np.searchsorted(at, block.at).tolist()
-    for i in range(len(block.at) - 1):
-        text = raw[int(block.at[i]) : int(block.at[i + 1])]
-        if any(s in text for s in special):
-            yield [plain_ids(path, text)], [None], held
+    for i, mine in enumerate(reused):
+        if whole[i]:
+            yield [plain_ids(path, raw[int(block.at[i]) : int(block.at[i + 1])])], [None]
             continue
         parts, names, p = [], [], text_at[i]
-        for x, y, h in [*(reused[i] if dictionary else []), (text_at[i + 1], text_at[i + 1], None)]:
+        for x, y, h, ids in [*mine, (text_at[i + 1], text_at[i + 1], None, None)]:
             if x > p:
-                mine = which[int(nth[p]) : int(nth[p]) + x - p]
-                parts += [held.ids[k] for k in mine]
-                names += mine
+                between = which[int(nth[p]) : int(nth[p]) + x - p]
+                parts += [held.ids[k] for k in between]
+                names += between
             if h is not None:
-                parts.append(dictionary[h][2])
+                parts.append(ids)
                 names.append(("chunk", h))
             p = y
-        yield parts, names, held
+        yield parts, names
 
 
-def encoder(path: str, dictionary, digest: bool):
+def encoder(path: str, reuse, digest: bool):
     """A function for mapInArrow: the batch's other columns, then ids and n_tokens, or the digests."""
 
     def run(batches):
-        shared = dictionary.value if dictionary is not None else {}
+        shared = reuse.value if reuse is not None else None
         bytes_of = vocabulary(path)[2]
         text_of = [str(i) for i in range(len(bytes_of))]
-        made: dict = {}  # of dictionary chunks
+        made: dict = {}  # of reused chunks
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text"))
             n_tokens, ids, ids_sha, decoded_sha = [], [], [], []
             for _, _, block in blocks(texts, most=1 << 21):
                 kept: dict = {}
-                for parts, names, _ in encode_block(path, block, shared):
+                if len(made) > 4 * HELD:
+                    made.clear()
+                for parts, names in encode_block(path, block, shared):
                     n_tokens.append(sum(map(len, parts)))
                     if not digest:
                         ids.append([x for part in parts for x in part])
@@ -336,7 +394,7 @@ def _schema(df: DataFrame, drop: tuple[str, ...], more: str) -> str:
 
 
 def _shared(docs: DataFrame, path: str, reuse: bool):
-    return docs.sparkSession.sparkContext.broadcast(build_dictionary(docs, path)) if reuse else None
+    return docs.sparkSession.sparkContext.broadcast(build_reuse(docs, path)) if reuse else None
 
 
 def encode_documents(docs: DataFrame, path: str | None = None, reuse: bool = True) -> DataFrame:

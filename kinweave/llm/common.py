@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -21,24 +20,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_LOCAL: dict[str, str] = {}
+_MARKED: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where the session names none (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        app = spark.sparkContext.applicationId
-        if app not in _LOCAL:
-            _LOCAL[app] = f"file://{tempfile.mkdtemp(prefix='kinweave-')}"
-        found = _LOCAL[app]
-    return found
+    """A folder of this application that driver and executors share: below spark.checkpoint.dir, or the warehouse where that is unset. It goes when the application ends."""
+    above = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{above}/kinweave-{spark.sparkContext.applicationId}"
+    if path not in _MARKED:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(at)
+        fs.deleteOnExit(at)
+        _MARKED.add(path)
+    return path
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """Write df once as Parquet in the shared folder and read it back, which also cuts its lineage."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/kinweave/{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -188,22 +189,33 @@ def gather_blocks(rows: DataFrame, dtype: str, cells: int) -> np.ndarray:
 
 
 def bloom_cells(values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two bit places of each 64-bit value."""
+    """Two bit places of each 64-bit value; bits: a power of two."""
     v = mix(values.astype(np.uint64) + _U(0x632BE59BD9B4E019))
     return v % _U(bits), (v >> _U(32) | v << _U(32)) * _U(0x9E3779B97F4A7C15) >> _U(20) & _U(bits - 1)
 
 
-def bloom_of(df: DataFrame, column: str, bits: int = 1 << 25) -> np.ndarray:
-    """A Bloom filter of a fixed size (4 MB here) over a long column. A false positive costs work later, never a wrong row: exact joins follow."""
+#: Least and most bits of a Bloom filter: 1 and 64 MB.
+BLOOM_LEAST, BLOOM_MOST = 1 << 23, 1 << 29
+
+
+def bloom_bits(n: int) -> int:
+    """Bits for n values: 16 for each, within the bounds."""
+    bits = BLOOM_LEAST
+    while bits < 16 * n and bits < BLOOM_MOST:
+        bits *= 2
+    return bits
+
+
+def bloom_of(df: DataFrame, column: str, bits: int) -> np.ndarray:
+    """A Bloom filter over a long column, as bytes; 64 MB at most. A false positive costs work later, never a wrong row: exact joins follow."""
     width = bits // 8 // SKETCH_BLOCKS
 
     def run(batches):
-        flat = np.zeros(bits, bool)
+        packed = np.zeros(bits // 8, np.uint8)
         for batch in batches:
             v = batch.column(0).to_numpy(zero_copy_only=False)
             for x in bloom_cells(v, bits):
-                flat[x.astype(np.int64)] = True
-        packed = np.packbits(flat, bitorder="little")
+                np.bitwise_or.at(packed, (x >> _U(3)).astype(np.int64), np.left_shift(1, (x & _U(7)).astype(np.uint8), dtype=np.uint8))
         for k in range(SKETCH_BLOCKS):
             part = packed[k * width : (k + 1) * width]
             if part.any():
@@ -224,19 +236,27 @@ def bloom_has(cells: np.ndarray, values: np.ndarray) -> np.ndarray:
 # ---- connected components -----------------------------------------------------------------------
 
 
+#: Labels meet their nodes in so many parts, so that a component of a third of all nodes isn't one key.
+LABEL_SALTS = 32
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): label is the smallest node reachable over edges (a, b).
 
-    Rounds of taking the neighbours' least label, then the label's label, until nothing changes.
-    Each round is two joins and a partial aggregate, so a hub with many neighbours is no hot task.
+    Rounds of taking the neighbours' least label, then the label's label, until nothing changes. A node with
+    many neighbours is split by Spark's skewed joins and aggregated in part first; labels are dealt to
+    LABEL_SALTS parts of their nodes.
     """
     both = materialize(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("label")))
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        step = labels.join(near, "node").select("node", F.col("label").alias("was"), F.least("label", "near").alias("label"))
-        up = step.select(F.col("node").alias("label"), F.col("label").alias("top"))
-        labels = materialize(step.join(up, "label", "left").select("node", "was", F.coalesce("top", "label").alias("label")))
+        step = materialize(labels.join(near, "node").select("node", F.col("label").alias("was"), F.least("label", "near").alias("label")))
+        used = step.select("label").distinct()
+        up = used.join(step.select(F.col("node").alias("label"), F.col("label").alias("top")), "label")
+        up = up.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(LABEL_SALTS - 1))))
+        dealt = step.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(LABEL_SALTS)).cast("int"))
+        labels = materialize(dealt.join(up, ["label", "salt"], "left").select("node", "was", F.coalesce("top", "label").alias("label")))
         if labels.where("label <> was").isEmpty():
             return labels.select("node", "label")
         labels = labels.select("node", "label")

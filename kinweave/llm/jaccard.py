@@ -4,21 +4,25 @@ Two sets of sizes a and b that are similar enough share a token among the first
 n - ceil(t * n) + 1 of either, under any one order of all tokens. The first order is by frequency in
 the corpus, rare first, from a counting sketch of a fixed size filled over all documents (any order is
 valid, so the sketch's error costs work and no link); its prefix tokens are the keys that bring
-documents together. Pairs found so must also share a prefix token under two further orders, by two
-hashes of the token, before the whole sets are compared. Whole sets travel only for pairs whose bit
-maps, one parity bit a token, don't already show more differences than a link allows.
+documents together. Two further orders are by hashes of the token. The pairs found must share a prefix
+token under each of them as well: prefixes are compared, and the pairs of all filters intersected, before
+whole sets are sent. Sets are made only for pairs whose bit maps, one parity bit a token, don't already
+show more differences than a link allows.
 
 Links are wanted as components, so a group of documents that share a key isn't expanded into its
 pairs. Equal sets are one entity. Each group first compares its members with one hub, the member with
 the smallest share of rare tokens, which in a group of near copies is the one closest to all others;
 groups of frequent keys are split by a hash of the member, with a hub each, and the hubs compared
-again. Only groups that then still hold members of different
-components compare the members pairwise across components, within the bounds on sizes and positions,
-so no link between different components is lost.
+again. Only groups that then still hold members of different components compare members across
+components, within the bounds on sizes and positions, so no link between different components is lost.
+There the members outside of a group's largest component meet all others, both sides in parts of PART
+members, so a large group is many small ones.
 
 Null or empty text, or no words: the empty set, linked with nothing, its own component. Fewer words
-than a shingle: the whole sequence is the one shingle. Repeated rows and ties: equal sets are linked.
-Very long texts: whole. Extra columns are left out. Null doc_id: dropped. Empty table: no rows.
+than a shingle: the whole sequence is the one shingle. Repeated rows and ties: equal sets are linked, and
+so are the rows of one doc_id if their texts are, and only then. Very long texts: whole. Null doc_id: a
+document like others, which gives its component no id; component_id is null where no document has one.
+Extra columns are left out. Empty table: no rows.
 """
 
 from __future__ import annotations
@@ -29,14 +33,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from kinweave.llm.common import SKETCH_BLOCKS, blocks, bloom_has, bloom_of, components, fold_blocks, gather_blocks, materialize, mix, rolling, small_batches, table
+from kinweave.llm.common import SKETCH_BLOCKS, blocks, bloom_bits, bloom_has, bloom_of, components, fold_blocks, fresh, gather_blocks, materialize, mix, rolling, small_batches, table
 
 WORDS = 5
 #: Similarity as a fraction.
 NUM, DEN = 3, 4
 CELLS = 1 << 22
-#: Keys in so many documents more than the sketch's mean are split over SALTS hubs.
-HOT, SALTS = 2000, 64
+#: Keys in so many documents more than the sketch's mean are split over SALTS hubs; members that meet across components, on either side of a part.
+HOT, SALTS, PART = 2000, 1024, 512
 _U = np.uint64
 _ORDERS = (_U(0x51ED270B7A1F3C4D), _U(0xA24BAED4963EE407))
 
@@ -70,18 +74,28 @@ def prefix(h: np.ndarray, order: int) -> np.ndarray:
     return h[np.argpartition(mix(h ^ _ORDERS[order]), p - 1)[:p]]
 
 
-def alike(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two sets pass the filters of the further orders and then link."""
+def links(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sets, sorted, link."""
     small, large = sorted((len(a), len(b)))
     if not small or DEN * small < NUM * large:
         return False
-    for order in range(len(_ORDERS)):
-        if not np.isin(prefix(a, order), prefix(b, order)).any():
-            return False
     both = len(np.intersect1d(a, b, assume_unique=True))
     return DEN * both >= NUM * (len(a) + len(b) - both)
 
 
+def short_prefix(h: np.ndarray, order: int) -> np.ndarray:
+    """The prefix under a further order as sorted 32-bit names: equal tokens have equal ones."""
+    return np.sort((prefix(h, order) >> _U(32)).astype(np.uint32))
+
+
+def share(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sorted arrays have a value in common."""
+    if not len(a) or not len(b):
+        return False
+    at = np.searchsorted(b, a)
+    return bool((b[np.minimum(at, len(b) - 1)] == a).any())
+
+
 def parity(h: np.ndarray) -> bytes:
     """A bit map with the parity of the set's tokens in each place: a power of two of places, one or more a token and 512 at least."""
     size = 512
@@ -123,11 +137,11 @@ def _print(h: np.ndarray) -> tuple[int, int]:
 
 
 def first_pass(docs: DataFrame) -> DataFrame:
-    """FIRST rows: of each document its set's size and 128 bits of it; of each task its counts of documents per cell of the tokens' hashes. A task's counts stop at 255, which only the order of frequent tokens feels."""
+    """FIRST rows: of each document its set's size and 128 bits of it; of each task its counts of documents per cell of the tokens' hashes."""
     width = CELLS // SKETCH_BLOCKS
 
     def run(batches):
-        cells = np.zeros(CELLS, np.uint32)
+        cells = np.zeros(CELLS, "<u4")
         for batch in batches:
             ids, texts = _ids(batch)
             held = list(shingle_sets(texts))
@@ -136,9 +150,8 @@ def first_pass(docs: DataFrame) -> DataFrame:
             prints = [_print(h) for h in held]
             none = pa.nulls(len(ids), pa.int32())
             yield pa.RecordBatch.from_arrays([none, pa.nulls(len(ids), pa.binary()), pa.array(ids, pa.int64()), pa.array([len(h) for h in held], pa.int32()), pa.array([x[0] for x in prints], pa.int64()), pa.array([x[1] for x in prints], pa.int64())], ["block", "cells", "doc_id", "n", "fp1", "fp2"])
-        small = np.minimum(cells, 255).astype("<u2")
         for k in range(SKETCH_BLOCKS):
-            part = small[k * width : (k + 1) * width]
+            part = cells[k * width : (k + 1) * width]
             if part.any():
                 none = pa.nulls(1, pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part.tobytes()], pa.binary()), none, pa.nulls(1, pa.int32()), none, none], ["block", "cells", "doc_id", "n", "fp1", "fp2"])
@@ -147,16 +160,17 @@ def first_pass(docs: DataFrame) -> DataFrame:
 
 
 def frequency_sketch(first: DataFrame) -> np.ndarray:
+    """Documents per cell; a cell stops at 2 ** 32 - 1 of them."""
     rows = first.where("block is not null").select("block", "cells")
-    total = fold_blocks(rows, "<u2", lambda a, b: np.minimum(a.astype(np.uint32) + b, 65535).astype("<u2"))
-    return gather_blocks(total, "<u2", CELLS)
+    total = fold_blocks(rows, "<u4", lambda a, b: np.minimum(a.astype(np.uint64) + b, 2**32 - 1).astype("<u4"))
+    return gather_blocks(total, "<u4", CELLS)
 
 
 def fingerprints(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
     """(doc_id, n, fp1, fp2, tokens, cold, rare, bits, map8): set sizes, 128 bits of the set, its prefix in the first order, how many of the prefix are not frequent, how many thousandths of the set are rare, its bit map, and that folded to eight longs."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
     mean = float(sketch.mean())
-    hot, few = mean + HOT, mean + 4 * mean**0.5 + 2
+    hot, few = mean + max(HOT, 6 * mean**0.5), mean + 4 * mean**0.5 + 2  # what other tokens of the cell add varies by the root of their number
 
     def run(batches):
         for batch in batches:
@@ -185,7 +199,12 @@ def sizes_fit(a: str, b: str):
 
 
 def verify(pairs: DataFrame, docs: DataFrame, members: DataFrame) -> DataFrame:
-    """Of (a, b) the pairs that link. The documents are read again for the sets of those in a pair that the bit maps let through; a Bloom filter of a fixed size keeps the rest from being sent."""
+    """Of (a, b) the pairs that link.
+
+    The documents are read again for the sets of those in a pair that the bit maps let through; a Bloom
+    filter over the doc_ids of their first documents keeps the rest from being read. The prefixes under
+    the further orders meet first, then the whole sets of the pairs that share tokens in both.
+    """
 
     def by_bits(batches):
         for batch in batches:
@@ -196,40 +215,74 @@ def verify(pairs: DataFrame, docs: DataFrame, members: DataFrame) -> DataFrame:
     maps = members.select(F.col("ent").alias("a"), F.col("bits").alias("p"), "n")
     mapped = pairs.join(maps, "a").join(maps.toDF("b", "q", "m"), "b").select("a", "b", "p", "n", "q", "m")
     pairs = materialize(mapped.mapInArrow(by_bits, "a long, b long"))
-    seen = bloom_of(pairs.select(F.explode(F.array("a", "b")).alias("v")), "v")
-    wanted = docs.sparkSession.sparkContext.broadcast(seen)
+    wanted = materialize(members.join(pairs.select(F.explode(F.array("a", "b")).alias("ent")).distinct(), "ent", "left_semi").select("ent", "rep", "fp1", "fp2"))
+    seen = docs.sparkSession.sparkContext.broadcast(bloom_of(wanted, "rep", bloom_bits(wanted.count())))
 
     def sets(batches):
         for batch in batches:
-            ids, texts = _ids(batch)
-            has = bloom_has(wanted.value, np.array(ids, np.int64).view(_U)) if len(ids) else []
-            keep = pa.array(has, pa.bool_())
-            ids, texts = [x for x, y in zip(ids, has, strict=True) if y], texts.filter(keep)
-            out = [h.tobytes() for h in shingle_sets(texts)]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary())], ["id", "s"])
-
-    held = docs.select("doc_id", "text").mapInArrow(sets, "id long, s binary")
-    held = held.join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi").dropDuplicates(["id"])
-    held = materialize(held)
-    left = pairs.join(held.select(F.col("id").alias("b"), F.col("s").alias("t")), "b")
-    both = left.join(held.select(F.col("id").alias("a"), "s"), "a").select("a", "b", "s", "t")
+            ids, texts = batch.column(0), batch.column(1)
+            # Documents without an id aren't in the filter.
+            has = bloom_has(seen.value, ids.fill_null(0).to_numpy(zero_copy_only=False).view(_U)) | ids.is_null().to_numpy(zero_copy_only=False) if len(ids) else np.empty(0, bool)
+            out = list(shingle_sets(texts.filter(pa.array(has, pa.bool_()))))
+            prints = [_print(h) for h in out]
+            columns = [pa.array([x[0] for x in prints], pa.int64()), pa.array([x[1] for x in prints], pa.int64()), pa.array([h.tobytes() for h in out], pa.binary())]
+            columns += [pa.array([short_prefix(h, k).tobytes() for h in out], pa.binary()) for k in range(len(_ORDERS))]
+            yield pa.RecordBatch.from_arrays(columns, ["fp1", "fp2", "s", "o0", "o1"])
+
+    held = docs.select("doc_id", "text").mapInArrow(sets, "fp1 long, fp2 long, s binary, o0 binary, o1 binary")
+    held = materialize(held.join(wanted.select("fp1", "fp2", "ent"), ["fp1", "fp2"]).dropDuplicates(["ent"]).select("ent", "s", "o0", "o1"))
+
+    def by_orders(batches):
+        for batch in batches:
+            x = [c.to_pylist() for c in batch.columns[2:]]
+            ok = [all(share(np.frombuffer(y[k], np.uint32), np.frombuffer(y[2 + k], np.uint32)) for k in range(2)) for y in zip(*x, strict=True)]
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok, pa.bool_())) for c in batch.columns[:2]], ["a", "b"])
+
+    orders = held.select(F.col("ent").alias("a"), "o0", "o1")
+    pairs = pairs.join(orders, "a").join(orders.toDF("b", "q0", "q1"), "b").select("a", "b", "o0", "o1", "q0", "q1").mapInArrow(by_orders, "a long, b long")
+    left = pairs.join(held.select(F.col("ent").alias("b"), F.col("s").alias("t")), "b")
+    both = left.join(held.select(F.col("ent").alias("a"), "s"), "a").select("a", "b", "s", "t")
 
     def compare(batches):
         for batch in batches:
             s, t = batch.column(2), batch.column(3)
-            ok = [alike(np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U)) for x, y in zip(s, t, strict=True)]
+            ok = [links(np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U)) for x, y in zip(s, t, strict=True)]
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok, pa.bool_())) for c in batch.columns[:2]], ["a", "b"])
 
     return both.mapInArrow(compare, "a long, b long")
 
 
-def similar_components(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every document: the components of all links."""
+def _across(known: DataFrame, members: DataFrame) -> DataFrame:
+    """(a, b) of different components that share a key and may link. known: (token, ent, n, pos, label)."""
+    by_label = known.groupBy("token", "label").agg(F.count("*").alias("c"))
+    groups = by_label.groupBy("token").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.sum("c").alias("all"), F.max("c").alias("of_main"), F.count("*").alias("labels"))
+    groups = groups.where("labels > 1").select("token", "main", F.ceil(F.col("all") / PART).cast("int").alias("parts"), F.ceil((F.col("all") - F.col("of_main")) / PART).cast("int").alias("few"))
+    eight = members.select("ent", *(F.col("map8")[k].alias(f"m{k}") for k in range(8)))
+    rest = known.join(groups, "token").join(eight, "ent")
+    # Members outside of the largest component, in `few` parts, meet all members, in `parts` parts.
+    own = lambda n: F.pmod(F.xxhash64("ent"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    x = rest.where("label <> main").withColumn("i", own("few")).withColumn("j", each("parts")).alias("x")
+    y = rest.withColumn("j", own("parts")).withColumn("i", each("few")).alias("y")
+    # At the first key that two documents share, no more than what follows it in both can be common.
+    room = 7 * F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) >= 3 * (F.col("x.n") + F.col("y.n"))
+    differ = sum((F.bit_count(F.col(f"x.m{k}").bitwiseXOR(F.col(f"y.m{k}"))) for k in range(8)), F.lit(0))
+    room = room & (7 * differ <= F.col("x.n") + F.col("y.n"))
+    once = (F.col("y.label") == F.col("y.main")) | (F.col("x.ent") < F.col("y.ent"))
+    same = (F.col("x.token") == F.col("y.token")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j"))
+    met = x.join(y, same & (F.col("x.label") != F.col("y.label")) & once & sizes_fit("x.n", "y.n") & room)
+    return met.select(F.least("x.ent", "y.ent").alias("a"), F.greatest("x.ent", "y.ent").alias("b")).distinct()
+
+
+def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, sets): a row (doc_id, n, fp1, fp2) for every document, and of each set that isn't empty (fp1, fp2, label): the component of all links that it is in."""
     small_batches(docs.sparkSession)
-    docs = docs.select("doc_id", "text").where("doc_id is not null")
+    docs = docs.select("doc_id", "text")
     first = materialize(first_pass(docs))
     prints = fingerprints(docs, frequency_sketch(first))
-    members = materialize(prints.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("ent"), F.first("n").alias("n"), F.first("tokens").alias("tokens"), *(F.first(x).alias(x) for x in ("cold", "rare", "bits", "map8"))).where("n > 0"))
+    # An entity's number is its own, whatever doc_ids its documents have; rep is the least of them.
+    once = prints.where("n > 0").groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("tokens").alias("tokens"), *(F.first(x).alias(x) for x in ("cold", "rare", "bits", "map8")))
+    members = materialize(once.withColumn("ent", F.monotonically_increasing_id()))
     keys = members.select("ent", "n", "cold", "rare", F.posexplode("tokens").alias("pos", "token"))
     keys = keys.withColumn("salt", F.when(F.col("pos") >= F.col("cold"), 1 + F.pmod(F.hash("ent"), F.lit(SALTS))).otherwise(0)).drop("cold")
     group = W.partitionBy("token", "salt")
@@ -242,34 +295,54 @@ def similar_components(docs: DataFrame) -> DataFrame:
     tried = met.select("hub", "hub_n", "ent", "n").union(split.select("hub", "hub_n", "ent", "n")).where("hub <> ent")
     tried = tried.where(sizes_fit("n", "hub_n")).select(F.least("hub", "ent").alias("a"), F.greatest("hub", "ent").alias("b")).distinct()
     tried = materialize(tried)
-    links = materialize(verify(tried, docs, members))
-    labels = components(links)
+    found = materialize(verify(tried, docs, members))
+    labels = components(found)
 
     # What the hubs didn't settle: keys whose documents are in different components.
     known = met.select("token", "ent", "n", "pos").join(labels.withColumnRenamed("node", "ent"), "ent", "left").withColumn("label", F.coalesce("label", "ent"))
-    known = materialize(known)
-    open_keys = known.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token")
-    eight = members.select("ent", *(F.col("map8")[k].alias(f"m{k}") for k in range(8)))
-    rest = known.join(open_keys, "token", "left_semi").join(eight, "ent")
-    x, y = rest.alias("x"), rest.alias("y")
-    # At the first key that two documents share, no more than what follows it in both can be common.
-    room = 7 * F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) >= 3 * (F.col("x.n") + F.col("y.n"))
-    differ = sum((F.bit_count(F.col(f"x.m{k}").bitwiseXOR(F.col(f"y.m{k}"))) for k in range(8)), F.lit(0))
-    room = room & (7 * differ <= F.col("x.n") + F.col("y.n"))
-    across = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.ent") < F.col("y.ent")) & (F.col("x.label") != F.col("y.label")) & sizes_fit("x.n", "y.n") & room)
-    across = across.select(F.col("x.ent").alias("a"), F.col("y.ent").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    across = materialize(across)
+    across = materialize(_across(materialize(known), members).join(tried, ["a", "b"], "left_anti"))
     if not across.isEmpty():
         more = materialize(verify(across, docs, members))
         if not more.isEmpty():
-            labels = components(links.union(more))
+            labels = components(found.union(more))
 
     label = labels.select(F.col("node").alias("ent"), "label")
-    by_print = members.select("fp1", "fp2", "ent").join(label, "ent", "left").select("fp1", "fp2", F.coalesce("label", "ent").alias("component_id"))
-    every = first.where("block is null").select("doc_id", "n", "fp1", "fp2")
-    out = every.join(by_print, ["fp1", "fp2"], "left")
+    sets = members.select("fp1", "fp2", "ent").join(label, "ent", "left").select("fp1", "fp2", F.coalesce("label", "ent").alias("label"))
+    return first.where("block is null").select("doc_id", "n", "fp1", "fp2"), sets
+
+
+def similar_components(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every document: the components of all links."""
+    rows, sets = groups(docs)
+    once = rows.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep")).join(sets, ["fp1", "fp2"])
+    sets = once.join(once.groupBy("label").agg(F.min("rep").alias("component_id")), "label").select("fp1", "fp2", "component_id")
+    out = rows.join(sets, ["fp1", "fp2"], "left")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def drop_similar(docs: DataFrame) -> DataFrame:
+    """docs, all columns, with one document of each component: the one of the smallest doc_id (null last), of several rows of it the smallest text. Documents without words all stay."""
+    rows, sets = groups(docs)
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "fp1", "fp2")).alias("x")
+    by_set = rows.groupBy("fp1", "fp2").agg(F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id")).alias("m"))
+    kept = by_set.select("fp1", "fp2", "m.doc_id").join(sets, ["fp1", "fp2"]).groupBy("label").agg(least).select("x.fp1", "x.fp2", "x.doc_id")
+    size, one, two, of, rn = (fresh(docs, c) for c in ("set_size", "set_print1", "set_print2", "kept_id", "row_of_id"))
+    own = [f for f in docs.schema]
+
+    def run(batches):
+        for batch in batches:
+            held = list(shingle_sets(batch.column(batch.schema.get_field_index("text"))))
+            prints = [_print(h) for h in held]
+            more = [pa.array([len(h) for h in held], pa.int32()), pa.array([x[0] for x in prints], pa.int64()), pa.array([x[1] for x in prints], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, size, one, two])
+
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in own] + [f"{size} int", f"{one} long", f"{two} long"])
+    marked = docs.mapInArrow(run, schema)
+    met = marked.where(F.col(size) > 0).join(kept.toDF(one, two, of), [one, two]).where(F.col("doc_id").eqNullSafe(F.col(of)))
+    first = met.withColumn(rn, F.row_number().over(W.partitionBy(one, two).orderBy("text"))).where(F.col(rn) == 1)
+    columns = [F.col(f"`{f.name}`") for f in own]
+    return first.select(*columns).unionByName(marked.where(F.col(size) == 0).select(*columns))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_components(table(spark, sf_dir, "documents"))

@@ -14,16 +14,16 @@ replaced. One learned language: always that one. No labelled text: und for all.
 
 from __future__ import annotations
 
-import functools
 import itertools
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from kinweave.llm.common import blocks, small_batches, table
+from kinweave.llm.common import blocks, fresh, small_batches, table
 from kinweave.llm.toxicity import svm
 
 #: Labelled texts of each language, buckets of hashed runs of letters.
@@ -149,26 +149,33 @@ def features(texts: pa.Array) -> np.ndarray:
     return out
 
 
-def training_rows(docs: DataFrame, sample: int = SAMPLE) -> list[tuple[str, str]]:
-    """(text, lang), at most `sample` of each language, outside the held-out fold, of a text with a letter."""
+def training_rows(docs: DataFrame, sample: int = SAMPLE) -> list[tuple[np.ndarray, str]]:
+    """(features, lang), at most `sample` of each language, outside the held-out fold, of a text with a letter.
+
+    The features are made on the executors, so the driver gets a row of BUCKETS numbers for each, however long the texts are.
+    """
+    small_batches(docs.sparkSession)
     ok = (F.crc32(F.col("doc_id").cast("string")) % 3 != 1) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
-    order = F.xxhash64("doc_id", F.lit(3))
-    ids = docs.where(ok).select("doc_id", "lang", order.alias("o"))
-    langs = [r["lang"] for r in ids.select("lang").distinct().collect()]
-    picked = [ids.where(F.col("lang") == x).orderBy("o", "doc_id").limit(sample).select("doc_id") for x in sorted(langs)]
-    if not picked:
-        return []
-    chosen = functools.reduce(DataFrame.union, picked).distinct()
-    rows = docs.where(ok).join(F.broadcast(chosen), "doc_id", "left_semi").dropDuplicates(["doc_id", "lang"]).collect()
-    return [x[1:] for x in sorted((r["doc_id"], r["text"], r["lang"]) for r in rows)]
-
-
-def train(rows: list[tuple[str, str]]) -> Model:
+    known = docs.where(ok).select("doc_id", "text", "lang")
+    first = W.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id")
+    ids = known.select("doc_id", "lang").distinct().withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= sample).select("doc_id", "lang")
+    rows = known.join(F.broadcast(ids), ["doc_id", "lang"], "left_semi")  # `sample` of each language
+
+    def run(batches):
+        for batch in batches:
+            x = features(batch.column(1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([r.tobytes() for r in x], pa.binary())], ["doc_id", "lang", "x"])
+
+    found = rows.select("doc_id", "text", "lang").mapInArrow(run, "doc_id long, lang string, x binary").groupBy("doc_id", "lang").agg(F.min("x").alias("x"))
+    return [(np.frombuffer(x, np.float32), lang) for _, lang, x in sorted((r["doc_id"], r["lang"], bytes(r["x"])) for r in found.collect())]
+
+
+def train(rows: list[tuple[np.ndarray, str]]) -> Model:
     languages = sorted({lang for _, lang in rows})
     model = Model(languages)
     if len(languages) < 2:
         return model
-    x = features(pa.array([t for t, _ in rows], pa.string()))
+    x = np.stack([v for v, _ in rows])
     lang = np.array([y for _, y in rows])
     fam = np.array([family(y) for y in lang])
     scale = 1 / np.maximum(np.sqrt((x**2).mean(0)), 1e-3)  # of each bucket
@@ -187,20 +194,21 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """docs, all columns, with lang_pred and score."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    own = [f for f in docs.schema if f.name not in ("lang_pred", "score", "_letter")]
+    own = [f for f in docs.schema if f.name not in ("lang_pred", "score")]
+    has_letter = fresh(docs, "has_letter")
 
     def run(batches):
         m = shared.value
         for batch in batches:
             column = lambda name: batch.column(batch.schema.get_field_index(name))  # noqa: E731, B023
-            letter = column("_letter").to_pylist()
+            letter = column(has_letter).to_pylist()
             names, scores = (["und"] * len(letter), np.zeros(len(letter))) if not m.languages else m.predict(column("text").fill_null(""))
             names = [x if ok else "und" for x, ok in zip(names, letter, strict=True)]
             columns = {f.name: column(f.name) for f in own} | {"lang_pred": pa.array(names, pa.string()), "score": pa.array(np.where(letter, scores, 0.0) if letter else scores)}
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in own] + ["lang_pred string", "score double"])
-    return docs.withColumn("_letter", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))).mapInArrow(run, schema)
+    return docs.withColumn(has_letter, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))).mapInArrow(run, schema)
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinweave.llm.common import WORD, materialize, table
@@ -73,18 +73,24 @@ def pack(sizes: Sequence[int], lengths: Sequence[int] = LENGTHS, overhead: int =
     return bins, offsets, [final[b] for b in bins]
 
 
-def pieces(docs: DataFrame, most: int) -> DataFrame:
-    """(doc_id, piece, start, length): every word of every document in one piece."""
-    n = F.size(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0)))
-    counted = docs.select("doc_id", n.alias("n")).where("n > 0")
+def word_count() -> Column:
+    return F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD))
+
+
+def pieces(docs: DataFrame, most: int, size: Column | None = None) -> DataFrame:
+    """(doc_id, piece, start, length): every place of every document in one piece; size: a document's places, its words if not given."""
+    counted = docs.select("doc_id", (word_count() if size is None else size).cast("long").alias("n")).where("n > 0")
     cut = counted.select("doc_id", "n", F.explode(F.sequence(F.lit(0), ((F.col("n") - 1) / most).cast("int"))).alias("piece"))
     start = F.col("piece") * most
-    return cut.select("doc_id", "piece", start.alias("start"), F.least(F.lit(most), F.col("n") - start).alias("length"))
+    return cut.select("doc_id", "piece", start.cast("int").alias("start"), F.least(F.lit(most), F.col("n") - start).cast("int").alias("length"))
+
 
+def pack_documents(docs: DataFrame, lengths: Sequence[int] = LENGTHS, overhead: int = OVERHEAD, group: int = GROUP, size: Column | None = None) -> DataFrame:
+    """(bin, bin_length, offset, doc_id, piece, start, length): where each piece of each document goes.
 
-def pack_documents(docs: DataFrame, lengths: Sequence[int] = LENGTHS, overhead: int = OVERHEAD, group: int = GROUP) -> DataFrame:
-    """(bin, bin_length, offset, doc_id, piece, start, length): where each piece of each document goes; start and length in words."""
-    cut = materialize(pieces(docs, max(lengths)))
+    start and length are in words, or in the unit of `size`: with F.col("n_tokens") of encode_documents, in tokens.
+    """
+    cut = materialize(pieces(docs, max(lengths), size))
     groups = max(1, -(-cut.count() // group))
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -94,7 +100,7 @@ def pack_documents(docs: DataFrame, lengths: Sequence[int] = LENGTHS, overhead:
         rows["offset"], rows["bin_length"] = np.array(offsets, np.int32), np.array(final, np.int32)
         return rows[["bin", "bin_length", "offset", "doc_id", "piece", "start", "length"]]
 
-    dealt = cut.withColumn("g", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)).cast("int"))
+    dealt = cut.withColumn("g", F.pmod(F.xxhash64("doc_id", "piece", "length"), F.lit(groups)).cast("int"))
     return dealt.groupBy("g").applyInPandas(lambda key, rows: run(key, rows.drop(columns="g")), "bin string, bin_length int, offset int, doc_id long, piece int, start int, length int")
 
 

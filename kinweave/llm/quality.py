@@ -6,7 +6,8 @@ document's posterior probability of being good decides, instead of a demand that
 The fit needs only the number of documents of each vote pattern: at most 3 ** len(RULES) rows,
 whatever the input, so it is summed on the executors and fitted on the driver.
 
-Null text: no words, base_failed. Empty text: the same. Repeated rows: each is judged, alike.
+Null text: no words, base_failed. Empty text: the same. Repeated rows: each is judged, alike. Ties at the
+posterior of 0.5: kept. Very long texts: whole, a row at a time. Null doc_id: a document like others.
 Extra columns pass through `judge`; its own columns replace those of the same name.
 Empty table: no pattern, the starting accuracies stay, no rows.
 """
@@ -18,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweave.llm.common import WORD, materialize, table
+from kinweave.llm.common import WORD, fresh, materialize, table
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -52,8 +53,9 @@ def counts(docs: DataFrame) -> DataFrame:
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
     found = let(words, lambda w: F.struct(F.size(w).cast("long").alias("n_words"), F.aggregate(w, F.lit(0).cast("long"), lambda a, x: a + F.length(x)).alias("word_chars"), _repeats(w).alias("n_repeat_words")))
     by_line = let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines")))
-    out = docs.withColumns({"_w": found, "_l": by_line, "n_symbols": F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long"), "n_shouts": F.regexp_count(text, F.lit("!")).cast("long")})
-    return out.withColumns({k: F.col(f"_w.{k}") for k in ("n_words", "word_chars", "n_repeat_words")} | {k: F.col(f"_l.{k}") for k in ("n_lines", "n_dup_lines")}).drop("_w", "_l")
+    of_words, of_lines = fresh(docs, "of_words"), fresh(docs, "of_lines")
+    out = docs.withColumns({of_words: found, of_lines: by_line, "n_symbols": F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long"), "n_shouts": F.regexp_count(text, F.lit("!")).cast("long")})
+    return out.withColumns({k: F.col(of_words)[k] for k in ("n_words", "word_chars", "n_repeat_words")} | {k: F.col(of_lines)[k] for k in ("n_lines", "n_dup_lines")}).drop(of_words, of_lines)
 
 
 def _vote(good: Column, bad: Column) -> Column:

@@ -18,8 +18,8 @@ over the repeated keys keeps all other windows from being sent.
 
 Windows are judged on the input, not on what is left. Null or empty text: no words. Texts shorter than
 a window lose nothing. Repeated rows: each is an occurrence, so long ones are removed whole. Very long
-texts: whole. Extra columns pass through remove_repeats. Null doc_id: a document like others. Empty
-table: no rows.
+texts: whole. Extra columns pass through remove_repeats; own columns named n_words or n_removed are replaced.
+Null or repeated doc_id: each row is a document. Empty table: no rows.
 """
 
 from __future__ import annotations
@@ -29,12 +29,11 @@ import re
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from kinweave.llm.common import _BASE, _BASE2, Block, blocks, bloom_has, bloom_of, mix, powers, small_batches, table
+from kinweave.llm.common import _BASE, _BASE2, blocks, bloom_bits, bloom_has, bloom_of, fresh, materialize, mix, powers, small_batches, table
 
 WIDTH, ROUNDS = 35, 4
 _U = np.uint64
@@ -198,13 +197,8 @@ def parses(texts, width: int, rounds: int):
         yield i, Parse(block.hash_words(), block.first, width, rounds)
 
 
-def _text_hashes(block: Block) -> np.ndarray:
-    raw = block.raw.tobytes()
-    return np.array([xxhash.xxh32_intdigest(raw[a:b]) >> 1 for a, b in zip(block.at[:-1].tolist(), block.at[1:].tolist(), strict=True)], np.int64)
-
-
 def repeated_windows(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS) -> DataFrame:
-    """docs: (id, text). (id, ats): places of the windows that also stand elsewhere, each 32 bits of the text's hash above the window's first word."""
+    """docs: (id, text); rows of one id have equal texts. (id, ats): first words of the windows that also stand elsewhere, each once."""
 
     def send_keys(batches):
         for batch in batches:
@@ -214,40 +208,51 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.minimum(n, 2).astype(np.int32))], ["key", "n"])
 
     keys = docs.select("text").mapInArrow(send_keys, "key long, n int")
-    often = keys.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
-    seen = docs.sparkSession.sparkContext.broadcast(bloom_of(often, "key", 1 << 26))
+    often = materialize(keys.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key"))
+    seen = docs.sparkSession.sparkContext.broadcast(bloom_of(often, "key", bloom_bits(often.count())))
 
     def send_windows(batches):
+        """(w1, w2, n, id, ats): a window that stands once in a batch with its place; of one that stands there more often, the fact
+        alone (n = 2, no place), and its places, which need no other batch, in one row a document under a key of its own (n = 2)."""
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             held = []
-            for i, block in ((i, block) for i, _, block in blocks(batch.column(1))):
-                block.words()
-                p = Parse(block.hash_words(), block.first, width, rounds)
+            for i, p in parses(batch.column(1), width, rounds):
                 which = p.candidates(lambda x: bloom_has(seen.value, x))
                 if len(which):
                     text, start = p.places(which)
-                    held.append((p.windows(which), p.windows(which, _BASE2), ids[i + text], _text_hashes(block)[text] << 32 | start))
-            if held:
-                # Equal windows of a batch go as one row, so that a passage of very many copies is a row a batch.
-                w1, w2, row, at = (np.concatenate(x) for x in zip(*held, strict=True))
-                order = np.lexsort((w2, w1))
-                w1, w2, places = w1[order], w2[order], np.stack([row[order], at[order]], axis=1).astype("<i8")
-                new = np.ones(len(w1), bool)
-                new[1:] = (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])
-                offsets = np.append(np.flatnonzero(new), len(w1)) * 16
-                rows = pa.BinaryArray.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(places.tobytes())])
-                yield pa.RecordBatch.from_arrays([pa.array(w1[new].view(np.int64)), pa.array((w2[new] >> _U(33)).astype(np.int32)), rows], ["w1", "w2", "rows"])
-
-    def places(batches):
-        for batch in batches:
-            x = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<i8").reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(x[:, 0].copy()), pa.array(x[:, 1].copy())], ["id", "at"])
-
-    sent = docs.select("id", "text").mapInArrow(send_windows, "w1 long, w2 int, rows binary")
-    total = sent.withColumn("n", F.sum(F.octet_length("rows")).over(W.partitionBy("w1", "w2")))
-    found = total.where("n > 16").select("rows").mapInArrow(places, "id long, at long")
-    return found.groupBy("id").agg(F.collect_list("at").alias("ats"))
+                    held.append((p.windows(which), p.windows(which, _BASE2) >> _U(33), ids[i + text], start))
+            if not held:
+                continue
+            w1, w2, row, at = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.lexsort((w2, w1))
+            w1, w2, row, at = w1[order], w2[order], row[order], at[order]
+            new = np.ones(len(w1), bool)
+            new[1:] = (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])
+            first = np.flatnonzero(new)
+            many = np.diff(np.append(first, len(w1)))
+            one, more = first[many == 1], first[many > 1]
+            known = np.repeat(many > 1, many)
+            kr, ka = row[known], at[known]
+            by_doc = np.lexsort((ka, kr))
+            kr, ka = kr[by_doc], ka[by_doc]
+            begin = np.flatnonzero(np.diff(kr, prepend=kr[0] - 1 if len(kr) else 0)) if len(kr) else np.empty(0, np.int64)
+            own = kr[begin]
+            lists = np.concatenate([np.arange(len(one)), np.full(len(more), len(one)), len(one) + begin, [len(one) + len(ka)]]).astype(np.int32)
+            columns = [
+                pa.array(np.concatenate([w1[one], w1[more], mix(own.view(np.uint64))]).view(np.int64)),
+                pa.array(np.concatenate([w2[one].astype(np.int32), w2[more].astype(np.int32), np.full(len(own), -1, np.int32)])),
+                pa.array(np.concatenate([np.full(len(one), 1, np.int32), np.full(len(more) + len(own), 2, np.int32)])),
+                pa.array(np.concatenate([row[one], np.zeros(len(more), np.int64), own])),
+                pa.ListArray.from_arrays(pa.array(lists), pa.array(np.concatenate([at[one], ka]).astype(np.int32))),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["w1", "w2", "n", "id", "ats"])
+
+    sent = docs.select("id", "text").mapInArrow(send_windows, "w1 long, w2 int, n int, id long, ats array<int>")
+    total = sent.withColumn("stands", F.sum("n").over(W.partitionBy("w1", "w2")))
+    found = total.where("stands > 1 and size(ats) > 0").select("id", "ats")
+    # Equal rows have equal places; each is kept once, already before the shuffle.
+    return found.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_set("ats"))).alias("ats"))
 
 
 def covered(starts: np.ndarray, n: int, width: int) -> np.ndarray:
@@ -262,12 +267,14 @@ def covered(starts: np.ndarray, n: int, width: int) -> np.ndarray:
 def remove_repeats(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS, digest: bool = False) -> DataFrame:
     """docs, all columns, with text as what is kept (words joined by one space; untouched texts stay as they are), n_words and n_removed.
 
-    digest: in place of the text, kept_sha256 of the kept words, joined.
+    digest: in place of the text, kept_sha256 of the kept words, joined. Places come back to a document by a
+    hash of its doc_id and text, so rows without an id, or of one id, each get their own.
     """
     small_batches(docs.sparkSession)
-    keyed = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))))
-    found = repeated_windows(keyed.select(F.col("_id").alias("id"), "text"), width, rounds)
-    joined = keyed.join(found.withColumnsRenamed({"id": "_id", "ats": "_ats"}), "_id", "left").drop("_id")
+    at, of = fresh(docs, "row_hash"), fresh(docs, "places")
+    keyed = docs.withColumn(at, F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
+    found = repeated_windows(keyed.select(F.col(at).alias("id"), "text"), width, rounds)
+    joined = keyed.join(found.withColumnsRenamed({"id": at, "ats": of}), at, "left").drop(at)
     more = {"n_words": "long", "n_removed": "long"} | ({"kept_sha256": "string"} if digest else {})
     own = [f for f in docs.schema if f.name not in more and not (digest and f.name == "text")]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in own] + [f"{k} {v}" for k, v in more.items()])
@@ -275,23 +282,19 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS, di
     def run(batches):
         for batch in batches:
             column = lambda name: batch.column(batch.schema.get_field_index(name))  # noqa: E731, B023
-            texts, ats = column("text"), column("_ats")
+            texts, places = column("text"), column(of)
             n_words, n_removed, kept = [], [], []
-            for i, _, block in blocks(texts):
-                block.words()
-                own_hash = _text_hashes(block)
-                for k in range(len(own_hash)):
-                    words = _WORD.findall(block.raw[int(block.at[k]) : int(block.at[k + 1])].tobytes())
-                    places, gone = ats[i + k], 0
-                    if places.is_valid:
-                        x = places.values.to_numpy(zero_copy_only=False)
-                        out = covered((x & 0xFFFFFFFF)[x >> 32 == own_hash[k]], len(words), width)
-                        gone = int(out.sum())
-                        words = [w for w, y in zip(words, out.tolist(), strict=True) if not y] if gone else words
-                    n_words.append(len(words) + gone)
-                    n_removed.append(gone)
-                    joined_words = b" ".join(words) if digest or gone else b""
-                    kept.append(hashlib.sha256(joined_words).hexdigest() if digest else joined_words.decode() if gone else texts[i + k].as_py())
+            for text, starts in zip(texts, places, strict=True):
+                raw = (text.as_py() or "").encode()
+                words, gone = _WORD.findall(raw), 0
+                if starts.is_valid:
+                    out = covered(starts.values.to_numpy(zero_copy_only=False), len(words), width)
+                    gone = int(out.sum())
+                    words = [w for w, y in zip(words, out.tolist(), strict=True) if not y] if gone else words
+                n_words.append(len(words) + gone)
+                n_removed.append(gone)
+                joined_words = b" ".join(words) if digest or gone else b""
+                kept.append(hashlib.sha256(joined_words).hexdigest() if digest else joined_words.decode() if gone else text.as_py())
             columns = {f.name: column(f.name) for f in own} | {"n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64())}
             columns["kept_sha256" if digest else "text"] = pa.array(kept, pa.string())
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))

@@ -40,7 +40,7 @@ from kinweave.llm.common import blocks, materialize, shared_dir, small_batches,
 K1, B = 1.2, 0.75
 TOP_K, QUERIES, TERMS = 10, 8192, 4_000_000
 #: Documents and postings of a shard, documents of a block; one shard in SAMPLED gives the first least scores.
-SHARD, POSTINGS, BLOCK, SAMPLED = 8192, 2_000_000, 128, 32
+SHARD, POSTINGS, BLOCK, SAMPLED = 8192, 2_000_000, 128, 16
 #: A list of one in LONG of a shard's documents or more stands in the table as well; so many queries meet it at a time.
 LONG, TOGETHER = 24, 64
 #: Scores are compared rounded to 6 digits: one that is lower by less than this may round to the same.
@@ -369,7 +369,7 @@ def search(docs: DataFrame, k: int = TOP_K, every: int = 50) -> DataFrame:
     dealt = queries.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int"))
     vocabulary = dealt.select("part", F.explode("terms").alias("term")).distinct().join(_frequencies(index), "term")
     vocabulary, dealt = (materialize(x.repartition("part") if parts > 1 else x) for x in (vocabulary, dealt))
-    out = f"{shared_dir(spark)}/kinweave/{uuid.uuid4().hex}"
+    out = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
     least_shard = index.agg(F.min("shard")).first()[0]
     sample = index.where((F.pmod(F.xxhash64("shard"), F.lit(SAMPLED)) == 0) | (F.col("shard") == least_shard))
     for part in range(parts):
