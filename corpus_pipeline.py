@@ -1,7 +1,15 @@
 """The corpus pipeline: quality rules, toxicity, near duplicates, repeated passages, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns the documents that stay, with the columns of
-documents; the last returns where each piece of each document is packed.
+documents; the last returns where each piece of each document is packed. Each is written as Parquet and
+read again as the next one's documents.
+
+Null and empty texts have no words: quality rules reject them; a stage that is given one keeps it as it is,
+and packing has no piece of it. Null doc_id: a document like others in every stage. Repeated rows: each is
+judged by itself, one of them stays after near duplicates. Rows of one doc_id with other texts are documents
+of their own. Ties: of near copies the smallest doc_id stays (null last), of several rows of it the smallest
+text. Very long texts: whole. Columns beyond those of documents pass through all stages but the last, whatever
+their names; n_chars is counted anew where a text has lost words, if there is such a column. Empty table: no rows.
 """
 
 from __future__ import annotations
@@ -10,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinweave.llm.common import materialize, table
-from kinweave.llm.jaccard import similar_components
+from kinweave.llm.jaccard import drop_similar
 from kinweave.llm.packing import pack_documents
 from kinweave.llm.quality import judge
 from kinweave.llm.recompress import remove_repeats
@@ -27,13 +35,14 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest doc_id of each component stays, once."""
-    first = similar_components(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    return drop_similar(docs).select(*docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return remove_repeats(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    out = remove_repeats(docs)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast("long"))
+    return out.select(*docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +56,7 @@ STAGES = [
     ("substring_dedup", substring_dedup),
     ("best_fit_packing", best_fit_packing),
 ]
-#: SQL can't express the fits and the packing; tests hold each stage against a brute-force version.
+#: SQL can't express the fits and the packing; tests/llm/test_pipeline.py holds each stage against a brute-force version.
 ORACLE_SQL = None
 
 
