@@ -4,7 +4,8 @@ A sentence is as toxic as its most toxic word, and a document as its most toxic
 words together (see below), whichever is more. Words are
 compared by their common subsequences of LENGTH letters: each counts DECAY to the power of the
 shortest stretch it takes in either word, so a word with gaps or inserted characters stays close to the insult
-it hides. Runs of single letters count as one word as well. Landmarks are insults found in training
+it hides, and a word with marks within it counts without them, however many they are. Runs of single letters
+count as one word as well. Landmarks are insults found in training
 sentences; the kernel to the landmarks, whitened by the kernel among them, is the feature vector of a
 linear SVM.
 
@@ -18,8 +19,8 @@ second SVM weighs how often a document holds each piece (a word or a beginning o
 those that toxic documents of one kind, mostly a language, hold once, twice or three times more often
 than clean ones of that kind beyond chance; the threshold is taken from documents left out of the fit.
 
-A word is compared only if it has all but one of the letters of some landmark; for others the kernel
-counts as 0, in training and in scoring alike. Null or empty text, or no words: the score of no toxic
+A word is compared only if it has letters enough for a subsequence of some landmark; of others the kernel
+is 0. Null or empty text, or no words: the score of no toxic
 word. Very long texts: whole, a block of text at a time. Repeated rows get the same score. Extra
 columns pass through. Empty table: no rows. No labels of one kind: every score is 0.
 """
@@ -52,10 +53,11 @@ FLOOR = 0.2
 #: Longer words are cut into overlapping stretches of this many letters.
 WIDE = 16
 _STRIP = re.compile(r"^[\W\d_]+|[\W\d_]+$")
+_MARKS = re.compile(r"[\W\d_]+")
 
 
 def units(text: str) -> list[str]:
-    """The words of a text in lower case, without marks at their ends, and runs of single letters joined."""
+    """The words of a text in lower case, without marks at their ends, and runs of single letters joined. A word with marks within it is also one without them."""
     out, run = [], []
     for w in text.lower().split():
         w = w if w.isalpha() else _STRIP.sub("", w)
@@ -67,6 +69,8 @@ def units(text: str) -> list[str]:
         run = []
         if len(w) >= LENGTH:
             out.append(w)
+            if not w.isalpha() and len(bare := _MARKS.sub("", w)) >= LENGTH:
+                out.append(bare)
     if len(run) >= LENGTH:
         out.append("".join(run))
     return out
@@ -121,7 +125,8 @@ class Scorer:
         self.column = np.array([k for x in weights.values() for k in x], np.int64)
         self.value = np.array([v for x in weights.values() for v in x.values()])
         self.bits = letter_bits(landmarks)
-        self.need = np.bitwise_count(self.bits).astype(int) - 1
+        # A word that shares a subsequence with a landmark has its letters: the fewest distinct ones of any of the landmark's.
+        self.need = np.array([min(int(np.bitwise_count(letter_bits(["".join(x)])[0])) for x in itertools.combinations(w, LENGTH)) for w in landmarks], int)
         self.white = np.zeros((0, 0))
         self.weights, self.bias, self.scale, self.shift = np.zeros(0), 0.0, 1.0, 0.0
         self.weigher = Weigher([])
@@ -132,7 +137,7 @@ class Scorer:
             self.weights = np.zeros(self.white.shape[1])
 
     def kernels(self, words: list[str]) -> np.ndarray:
-        """To each landmark; 0 where a word lacks two or more of the landmark's letters."""
+        """To each landmark."""
         n = len(self.landmarks)
         out = np.zeros((len(words), n))
         if not words:
@@ -169,12 +174,10 @@ class Scorer:
                 entry = np.repeat(self.first[row] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
                 cell = np.repeat(w, many) * n + self.column[entry]
                 out[block] += np.bincount(cell, np.repeat(best, many) * self.value[entry], len(block) * n).reshape(-1, n)
-        bits = letter_bits(words)
-        out[np.bitwise_count(bits[:, None] & self.bits[None, :]) < self.need[None, :]] = 0
         return out
 
     def near(self, bits: np.ndarray) -> np.ndarray:
-        """Whether words of these letters are compared with any landmark."""
+        """Whether words of these letters can have a subsequence in common with any landmark."""
         found = np.zeros(len(bits), bool)
         for x, need in zip(self.bits, self.need, strict=True):
             found |= np.bitwise_count(bits & x) >= need
@@ -485,8 +488,21 @@ def weigh(rows: list[tuple[str, int]], folds: int = 3) -> Weigher:
     return made
 
 
+def whole_words(stems: list[str], rows: list[tuple[str, int]]) -> list[str]:
+    """Of each stem the word that most toxic documents hold it in, if clean ones don't: with characters put in, a whole word keeps more of its subsequences than a part of it."""
+    clean = {u for text, y in rows if not y for u in units(text)}
+    holds = collections.Counter(u for text, y in rows if y for u in set(units(text)) if u.isalpha() and len(u) <= WIDE - 2 and u not in clean)
+    out = []
+    for stem in stems:
+        mine = [(n, u) for u, n in holds.items() if stem in u]
+        if mine:
+            out.append(min(mine, key=lambda x: (-x[0], x[1]))[1])
+    return out
+
+
 def train(rows: list[tuple[str, int]]) -> Scorer:
-    landmarks = [x for x, _ in toxic_stems(rows)]
+    stems = [x for x, _ in toxic_stems(rows)]
+    landmarks = list(dict.fromkeys(stems + whole_words(stems, rows)))
     scorer = Scorer(landmarks)
     scorer.weigher = weigh(rows)
     if not landmarks:

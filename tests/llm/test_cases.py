@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import pytest
+from brute import best_fit, brute_components, quality_of, shingles, without_repeats
 from pyspark.sql import functions as F
 
 SCHEMA = "doc_id long, text string"
@@ -132,13 +133,94 @@ def test_license_cases(spark, empty):
     assert licenses.scan(empty).collect() == []
 
 
+# ---- op5 ------------------------------------------------------------------------------------------
+
+
+INSULTS = ("idiot", "stupid", "moron", "worthless", "zwqyxvk")
+
+
+@pytest.fixture(scope="module")
+def scorer():
+    from kinweave.llm import toxicity
+
+    rng = random.Random(3)
+    voc = ["".join(rng.choice("abcdefghiklmnoprstu") for _ in range(rng.randint(4, 9))) for _ in range(6000)]
+    text = lambda *more: " ".join([*rng.choices(voc, k=40), *more, *rng.choices(voc, k=20)]) + "."
+    made = toxicity.train([(text(rng.choice(INSULTS)), 1) for _ in range(400)] + [(text(), 0) for _ in range(400)])
+    made.clean = [text() for _ in range(300)]
+    return made
+
+
+def test_toxicity_of_inserted_characters(scorer):
+    """One mark, two marks and a mark in every place of an insult; one letter within it."""
+    from kinweave.llm import toxicity
+
+    toxic = lambda w: (scorer.score(scorer.margins(toxicity.units(w))) >= toxicity.THRESHOLD).any()
+    assert sum(toxic(t) for t in scorer.clean) <= 3
+    for w in INSULTS:
+        for mark in ".-*_":
+            assert toxic(mark.join(w)) and toxic((2 * mark).join(w))
+            for i in range(1, len(w)):
+                assert toxic(w[:i] + mark + w[i:]) and toxic(w[:i] + 2 * mark + w[i:])
+        assert toxic(" ".join(w)) and toxic(w.upper() + "!!") and toxic(f'"{w}",')
+    letters = [w[:i] + "x" + w[i:] for w in INSULTS for i in range(1, len(w))]
+    assert sum(map(toxic, letters)) >= 0.8 * len(letters)
+
+
+def test_toxicity_kernel_against_plain_sums(scorer):
+    """K(word, landmark): over common subsequences, the best weight in either, over the landmark's norm."""
+    import itertools
+    import math
+
+    from kinweave.llm import toxicity as X
+
+    def weights(w):
+        out = {}
+        for p in itertools.combinations(range(len(w)), X.LENGTH):
+            s = "".join(w[i] for i in p)
+            out[s] = max(out.get(s, 0), X.DECAY ** (p[-1] - p[0] + 1))
+        return out
+
+    rng = random.Random(9)
+    made = ["".join(rng.choice("idotsupmrnwhlezqyxvk") for _ in range(rng.randint(4, 12))) for _ in range(200)] + list(INSULTS)
+    got = scorer.kernels(made)
+    near = scorer.near(X.letter_bits(made))
+    for i, w in enumerate(made):
+        a = weights(w)
+        for k, landmark in enumerate(scorer.landmarks):
+            b = weights(landmark)
+            want = sum(a[s] * b[s] for s in a.keys() & b.keys()) / math.sqrt(sum(x * x for x in b.values()))
+            assert abs(got[i, k] - want) < 1e-9 and (near[i] or want == 0)
+
+
+def test_toxicity_cases(spark, scorer, empty):
+    """Scores row by row against the scorer itself; nulls, empty and very long texts, repeats, ties, clashing names."""
+    import numpy as np
+
+    from kinweave.llm import toxicity as X
+
+    long = " ".join(scorer.clean * 4)
+    rows = [(i, t) for i, t in enumerate(scorer.clean[:20])] + [(100, scorer.clean[0] + " you idiot"), (None, None), (5, ""), (5, " .. "), (None, long), (None, long + " moron"), (100, scorer.clean[0] + " you idiot")]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumns({"score": F.lit("own"), "predicted": F.lit("own"), "seen": F.lit("own")}).repartition(3)
+    got = X.score_documents(docs, scorer).collect()
+
+    def brute(t):
+        units = sorted(set(X.units(t or "")))
+        word = float(scorer.score(np.array([max(scorer.margins(units), default=scorer.bias)]))[0])
+        return max(word, float(scorer.weigher.scores([t], {})[0]))
+
+    want = sorted((str(d), t or "", round(brute(t), 9)) for d, t in rows)
+    assert sorted((str(r["doc_id"]), r["text"] or "", round(r["score"], 9)) for r in got) == want
+    assert all(r["seen"] == "own" and 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= X.THRESHOLD) for r in got)
+    assert {r["predicted"] for r in got if "idiot" in (r["text"] or "") or "moron" in (r["text"] or "")} == {1}
+    assert X.score_documents(empty, scorer).collect() == []
+
+
 # ---- op6 ------------------------------------------------------------------------------------------
 
 
 def test_quality_posterior_against_plain_em(spark, empty):
     """kept and quality against expectation maximisation over documents, one by one."""
-    import math
-
     from kinweave.llm import quality
 
     rng = random.Random(3)
@@ -148,69 +230,16 @@ def test_quality_posterior_against_plain_em(spark, empty):
     got = quality.judge(docs).collect()
     assert len(got) == len(rows) and all(r["of_words"] == r["of_lines"] == r["_w"] == "own" for r in got)
 
-    def votes(r):
-        n = max(r["n_words"], 1)
-        vote = lambda good, bad: -1 if bad else 1 if good else 0
-        lines = r["n_dup_lines"] / max(r["n_lines"], 1)
-        mean = r["word_chars"] / n
-        return (
-            vote(r["n_words"] >= 100, r["n_words"] < 50), vote(3 <= mean <= 10, mean < 2 or mean > 14), vote(r["n_symbols"] / n < 0.05, r["n_symbols"] / n > 0.2),
-            vote(r["n_dup_lines"] == 0, lines > 0.3), vote(r["n_repeat_words"] / n < 0.2, r["n_repeat_words"] / n > 0.4), vote(r["n_shouts"] / n < 0.05, r["n_shouts"] / n > 0.3),
-        )
-
-    seen = [votes(r) for r in got if not r["base_failed"]]
-    start = {1: {1: 0.6, 0: 0.25, -1: 0.15}, 0: {1: 0.15, 0: 0.25, -1: 0.6}}
-    prior, weight = 0.8, max(5.0, 0.01 * len(seen))
-    p = [{y: dict(start[y]) for y in (0, 1)} for _ in range(6)]
-    chance = lambda v: 1 / (1 + (1 - prior) / prior * math.prod(p[k][0][x] / p[k][1][x] for k, x in enumerate(v)))
-    for _ in range(100):
-        q = [chance(v) for v in seen]
-        mass = [{y: {x: weight * start[y][x] + sum((w if y else 1 - w) for v, w in zip(seen, q, strict=True) if v[k] == x) for x in (1, 0, -1)} for y in (0, 1)} for k in range(6)]
-        was, prior = prior, min(0.99, max(0.01, (sum(q) + 0.8 * weight) / (len(seen) + weight)))
-        p = [{y: {x: m / sum(mass[k][y].values()) for x, m in mass[k][y].items()} for y in (0, 1)} for k in range(6)]
-        if abs(was - prior) < 1e-9:
-            break
+    chance = quality_of(got)
     for r in got:
-        assert abs(r["quality"] - chance(votes(r))) < 1e-6
-        assert r["kept"] == (not r["base_failed"] and r["quality"] >= 0.5)
+        assert abs(r["quality"] - chance(r)) < 1e-6
+        assert r["kept"] == (not r["base_failed"] and chance(r) >= 0.5)
     assert quality.judge(empty).collect() == []
 
 
 # ---- op7 ------------------------------------------------------------------------------------------
 
 
-def brute_components(sets):
-    """Least doc_id over rows that links reach; None without one."""
-    label = list(range(len(sets)))
-
-    def find(i):
-        while label[i] != i:
-            i = label[i]
-        return i
-
-    for i, (_, a) in enumerate(sets):
-        for j in range(i):
-            b = sets[j][1]
-            both = len(a & b)
-            if both and 100 * both >= 75 * (len(a) + len(b) - both):
-                x, y = find(i), find(j)
-                label[max(x, y)] = min(x, y)
-    groups = {}
-    for i in range(len(sets)):
-        groups.setdefault(find(i), []).append(i)
-    out = {}
-    for members in groups.values():
-        ids = [sets[i][0] for i in members if sets[i][0] is not None]
-        for i in members:
-            out[i] = min(ids, default=None) if sets[i][1] else sets[i][0]
-    return out, groups
-
-
-def shingles(t):
-    w = (t or "").lower().split()
-    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
-
-
 @pytest.mark.parametrize("part", [512, 4])
 def test_jaccard_repeated_and_null_ids(spark, monkeypatch, part):
     from kinweave.llm import jaccard
@@ -267,27 +296,10 @@ def test_jaccard_orders_never_lose_a_link():
 def test_packing_against_plain_best_fit(spark, empty):
     from kinweave.llm import packing
 
-    def brute(sizes):
-        bins = []  # [capacity, filled, last touched]
-        out = []
-        for t, s in enumerate(sizes):
-            fits = [(c - f, -at, i) for i, (c, f, at) in enumerate(bins) if c - f >= s]
-            if fits:
-                i = min(fits)[2]
-            else:
-                i = len(bins)
-                c = min((c for c in packing.LENGTHS if c >= s), key=lambda c: ((c + packing.OVERHEAD) / (s * (c // s)), c))
-                bins.append([c, 0, t])
-            out.append((i, bins[i][1]))
-            bins[i][1] += s
-            bins[i][2] = t
-        final = [min(c for c in packing.LENGTHS if c >= f) for _, f, _ in bins]
-        return [i for i, _ in out], [o for _, o in out], [final[i] for i, _ in out]
-
     rng = random.Random(8)
     for most in (4096, 700, 40):
         sizes = sorted((rng.randint(1, most) for _ in range(600)), reverse=True)
-        assert packing.pack(sizes) == brute(sizes)
+        assert packing.pack(sizes) == best_fit(sizes)
     rows = [(i, words(rng, rng.randint(0, 3000))) for i in range(40)] + [(None, words(rng, 10)), (None, None), (3, "a b"), (3, "a b"), (4, words(rng, 30_000))]
     docs = spark.createDataFrame(rows, SCHEMA).withColumns({"n": F.lit("own"), "g": F.lit("own"), "bin": F.lit("own")})
     got = packing.pack_documents(docs, group=10_000).collect()
@@ -299,7 +311,7 @@ def test_packing_against_plain_best_fit(spark, empty):
         want[d] += len((t or "").split())
     assert spans == +want
     sizes = sorted((r["length"] for r in got), reverse=True)
-    assert Counter(r["bin_length"] for r in {r["bin"]: r for r in got}.values()) == Counter({i: f for i, f in zip(brute(sizes)[0], brute(sizes)[2], strict=True)}.values())
+    assert Counter(r["bin_length"] for r in {r["bin"]: r for r in got}.values()) == Counter({i: f for i, f in zip(best_fit(sizes)[0], best_fit(sizes)[2], strict=True)}.values())
     tokens = packing.pack_documents(spark.createDataFrame([(1, 5000), (2, 10)], "doc_id long, n_tokens long"), size=F.col("n_tokens"))
     assert sorted((r["doc_id"], r["start"], r["length"]) for r in tokens.collect()) == [(1, 0, 4096), (1, 4096, 904), (2, 0, 10)]
 
@@ -315,12 +327,7 @@ def test_substring_cases(spark, empty):
     rows = [(i, f"{words(rng, rng.randint(0, 80), 5000)} {passage} {words(rng, 5, 5000)}") for i in range(40)]
     rows += [(None, f"a {other}"), (None, f"b {other} c"), (None, None), (5, ""), (5, passage), (5, passage), (6, f"{passage} {passage}"), (77, words(rng, 40_000, 50_000) + " " + passage)]
     docs = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit("own") for c in ("_id", "_ats", "row_hash", "places", "id", "ats")}).repartition(3)
-    w = [(t or "").split() for _, t in rows]
-    seen = Counter(tuple(x[i : i + 35]) for x in w for i in range(len(x) - 34))
-    want = []
-    for (d, t), x in zip(rows, w, strict=True):
-        gone = {j for i in range(len(x) - 34) if seen[tuple(x[i : i + 35])] > 1 for j in range(i, i + 35)}
-        want.append((str(d), len(x), len(gone), " ".join(y for i, y in enumerate(x) if i not in gone) if gone else t))
+    want = [(str(d), *x) for (d, _), x in zip(rows, without_repeats([t for _, t in rows]), strict=True)]
     got = recompress.remove_repeats(docs).collect()
     assert sorted((str(r["doc_id"]), r["n_words"], r["n_removed"], str(r["text"])) for r in got) == sorted((*x[:3], str(x[3])) for x in want)
     assert all(r[c] == "own" for r in got for c in ("_id", "_ats", "row_hash", "places", "id", "ats"))
