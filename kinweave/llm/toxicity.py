@@ -500,14 +500,39 @@ def whole_words(stems: list[str], rows: list[tuple[str, int]]) -> list[str]:
     return out
 
 
+#: Where sentences end, and rounds of picking the words that witness a sentence's label.
+_SENTENCE = re.compile(r"[.!?]+\s|\n+")
+ROUNDS = 3
+
+
+def sentences(text: str) -> list[list[str]]:
+    """The words of each sentence that has any."""
+    return [u for x in _SENTENCE.split(text) if (u := units(x))]
+
+
+def clean_reach(scorer: Scorer, texts: list[set[str]]) -> float:
+    """The margin that all but one clean document in 500 stay below."""
+    good: list[float] = []
+    for i in range(0, len(texts), 100):
+        some = sorted(set().union(*texts[i : i + 100]))
+        seen = dict(zip(some, scorer.margins(some).tolist(), strict=True))
+        good += [max((seen[u] for u in t), default=scorer.bias) for t in texts[i : i + 100]]
+    good.sort()
+    return good[int(0.998 * (len(good) - 1))]
+
+
 def train(rows: list[tuple[str, int]]) -> Scorer:
+    """Sentences have their document's label. Of a clean one all words are negative examples. A toxic document has clean sentences as
+    well; a sentence of it counts as toxic if it has words that hold a whole landmark and are no clean sentence's words, and of these the one
+    of the largest margin is its witness, a positive example. Witnesses are picked, the machine is fitted, and both again, until
+    the witnesses stay."""
     stems = [x for x, _ in toxic_stems(rows)]
     landmarks = list(dict.fromkeys(stems + whole_words(stems, rows)))
     scorer = Scorer(landmarks)
     scorer.weigher = weigh(rows)
     if not landmarks:
         return scorer
-    clean = collections.Counter(u for text, y in rows if not y for u in units(text))
+    clean = collections.Counter(u for text, y in rows if not y for x in sentences(text) for u in x)
     # The clean words nearest to a landmark teach most, with the most frequent ones.
     names = sorted(w for w in clean if len(w) <= WIDE)
     names = [w for w, ok in zip(names, scorer.near(letter_bits(names)), strict=True) if ok]
@@ -515,29 +540,36 @@ def train(rows: list[tuple[str, int]]) -> Scorer:
     hard = [names[i] for i in np.argsort(-raw, kind="stable")[: CLEAN_WORDS // 2]]
     often = [w for w, _ in sorted(clean.items(), key=lambda x: (-x[1], x[0]))[: CLEAN_WORDS // 2] if len(w) <= WIDE]
     negative = sorted({*hard, *often})
+    # Of each toxic sentence the words that can be its witness.
+    held = {u: any(x in u for x in landmarks) for text, y in rows if y for x in sentences(text) for u in x if len(u) <= WIDE - 2 and u not in clean}
+    bad = [(i, mine) for i, (text, y) in enumerate(rows) if y for x in sentences(text) if (mine := sorted({u for u in x if held.get(u)}))]
+    known = sorted({u for _, x in bad for u in x})
+    worth = dict.fromkeys(known, 0.0)
+    holds: collections.Counter = collections.Counter()
     rng = np.random.Generator(np.random.PCG64(11))
-    holds = collections.Counter(u for text, y in rows if y for u in set(units(text)) if len(u) <= WIDE - 2 and u not in clean and any(x in u for x in landmarks))
+    for _ in range(ROUNDS):
+        was, holds = holds, collections.Counter(u for _, u in {(i, max(x, key=lambda u: (worth[u], u))) for i, x in bad})
+        if not holds or holds == was:
+            break
+        whole = sorted(holds)
+        positive = whole + [hidden(w, rng) for w in whole]
+        x = scorer.kernels(positive + negative) @ scorer.white
+        y = np.array([1.0] * len(positive) + [-1.0] * len(negative))
+        # A word counts by the documents that it stands for, so ten frequent insults aren't lost among many rare ones.
+        times = np.array([holds[w] for w in whole] * 2 + [1.0] * len(negative))
+        weight = np.where(y > 0, 0.5 * times / max(1.0, times[y > 0].sum()), 0.5 / max(1, len(negative)))
+        scorer.weights, scorer.bias = svm(x, y, weight)
+        worth = dict(zip(known, scorer.margins(known).tolist(), strict=True))
+    if not holds:
+        return scorer
+    # The score is one half between what clean documents reach and what nearly all witnesses do.
     whole = sorted(holds)
-    positive = whole + [hidden(w, rng) for w in whole]
-    x = scorer.kernels(positive + negative) @ scorer.white
-    y = np.array([1.0] * len(positive) + [-1.0] * len(negative))
-    # A word counts by the documents that hold it, so ten frequent insults aren't lost among many rare ones.
-    often = np.array([holds[w] for w in whole] * 2 + [1.0] * len(negative))
-    weight = np.where(y > 0, 0.5 * often / max(1.0, often[y > 0].sum()), 0.5 / max(1, len(negative)))
-    scorer.weights, scorer.bias = svm(x, y, weight)
-    # The score is one half between what clean documents reach and what nearly all toxic words do.
-    good: list[float] = []
-    texts = [set(units(text)) for text, toxic in rows if not toxic]
-    for i in range(0, len(texts), 100):
-        some = sorted(set().union(*texts[i : i + 100]))
-        seen = dict(zip(some, scorer.margins(some).tolist(), strict=True))
-        good += [max((seen[u] for u in t), default=scorer.bias) for t in texts[i : i + 100]]
-    good.sort()
     reach = scorer.margins(whole)
     order = np.argsort(reach)
-    share = np.cumsum(often[: len(whole)][order]) / often[: len(whole)].sum()
-    # Clean documents are kept rather than toxic ones caught: the threshold is above all but one clean document in 500.
-    low, high = good[int(0.998 * (len(good) - 1))], float(reach[order][np.searchsorted(share, 0.02)])
+    many = np.cumsum(np.array([holds[w] for w in whole], float)[order])
+    # Clean documents are kept rather than toxic ones caught.
+    low = clean_reach(scorer, [set(units(text)) for text, toxic in rows if not toxic])
+    high = float(reach[order][np.searchsorted(many / many[-1], 0.02)])
     at = low + 0.35 * (high - low) if high > low else low + 0.05
     scorer.scale = min(15.0, max(4.0, 4.0 / max(1e-3, abs(high - low))))
     scorer.shift = at - math.log(THRESHOLD / (1 - THRESHOLD)) / scorer.scale
