@@ -39,8 +39,8 @@ WORDS = 5
 #: Similarity as a fraction.
 NUM, DEN = 3, 4
 CELLS = 1 << 22
-#: Keys in so many documents more than the sketch's mean are split over SALTS hubs; members that meet across components, on either side of a part.
-HOT, SALTS, PART = 2000, 1024, 512
+#: Keys in so many documents more than the sketch's mean are split, a hub for about so many of them; members that meet across components, on either side of a part.
+HOT, PART = 2000, 512
 _U = np.uint64
 _ORDERS = (_U(0x51ED270B7A1F3C4D), _U(0xA24BAED4963EE407))
 
@@ -167,7 +167,7 @@ def frequency_sketch(first: DataFrame) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
-    """(doc_id, n, fp1, fp2, tokens, cold, rare, bits, map8): set sizes, 128 bits of the set, its prefix in the first order, how many of the prefix are not frequent, how many thousandths of the set are rare, its bit map, and that folded to eight longs."""
+    """(doc_id, n, fp1, fp2, tokens, salts, rare, bits, map8): set sizes, 128 bits of the set, its prefix in the first order, of the frequent keys at its end over how many hubs each is split, how many thousandths of the set are rare, its bit map, and that folded to eight longs."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
     mean = float(sketch.mean())
     hot, few = mean + max(HOT, 6 * mean**0.5), mean + 4 * mean**0.5 + 2  # what other tokens of the cell add varies by the root of their number
@@ -175,7 +175,7 @@ def fingerprints(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
     def run(batches):
         for batch in batches:
             ids, texts = _ids(batch)
-            n, fp1, fp2, tokens, cold, rare, bits, map8 = [], [], [], [], [], [], [], []
+            n, fp1, fp2, tokens, salts, rare, bits, map8 = [], [], [], [], [], [], [], []
             for h in shingle_sets(texts):
                 n.append(len(h))
                 for out, x in zip((fp1, fp2), _print(h), strict=True):
@@ -183,15 +183,16 @@ def fingerprints(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
                 often = shared.value[(h & _U(CELLS - 1)).astype(np.int64)]
                 order = np.lexsort((h, often))[: prefix_length(len(h))] if len(h) else []
                 tokens.append(h[order].view(np.int64) if len(h) else np.empty(0, np.int64))
-                cold.append(int((often[order] < hot).sum()) if len(h) else 0)
+                many = often[order][often[order] >= hot] if len(h) else np.empty(0)
+                salts.append((1 << np.ceil(np.log2(np.maximum(2.0, (many - mean) / HOT))).astype(np.int64)).astype(np.int32))
                 rare.append(int(1000 * (often < few).mean()) if len(h) else 0)
                 bits.append(parity(h))
                 map8.append(folded(bits[-1]))
             flat = np.concatenate(tokens) if tokens else np.empty(0, np.int64)
             at = np.cumsum([0, *map(len, tokens)])
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int32()), pa.array(fp1, pa.int64()), pa.array(fp2, pa.int64()), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat)), pa.array(cold, pa.int32()), pa.array(rare, pa.int32()), pa.array(bits, pa.binary()), pa.array(map8, pa.list_(pa.int64()))], ["doc_id", "n", "fp1", "fp2", "tokens", "cold", "rare", "bits", "map8"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int32()), pa.array(fp1, pa.int64()), pa.array(fp2, pa.int64()), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat)), pa.array(salts, pa.list_(pa.int32())), pa.array(rare, pa.int32()), pa.array(bits, pa.binary()), pa.array(map8, pa.list_(pa.int64()))], ["doc_id", "n", "fp1", "fp2", "tokens", "salts", "rare", "bits", "map8"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n int, fp1 long, fp2 long, tokens array<long>, cold int, rare int, bits binary, map8 array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n int, fp1 long, fp2 long, tokens array<long>, salts array<int>, rare int, bits binary, map8 array<long>")
 
 
 def sizes_fit(a: str, b: str):
@@ -281,10 +282,11 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     first = materialize(first_pass(docs))
     prints = fingerprints(docs, frequency_sketch(first))
     # An entity's number is its own, whatever doc_ids its documents have; rep is the least of them.
-    once = prints.where("n > 0").groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("tokens").alias("tokens"), *(F.first(x).alias(x) for x in ("cold", "rare", "bits", "map8")))
+    once = prints.where("n > 0").groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("tokens").alias("tokens"), *(F.first(x).alias(x) for x in ("salts", "rare", "bits", "map8")))
     members = materialize(once.withColumn("ent", F.monotonically_increasing_id()))
-    keys = members.select("ent", "n", "cold", "rare", F.posexplode("tokens").alias("pos", "token"))
-    keys = keys.withColumn("salt", F.when(F.col("pos") >= F.col("cold"), 1 + F.pmod(F.hash("ent"), F.lit(SALTS))).otherwise(0)).drop("cold")
+    keys = members.select("ent", "n", "salts", "rare", (F.size("tokens") - F.size("salts")).alias("cold"), F.posexplode("tokens").alias("pos", "token"))
+    own = 1 + F.pmod(F.hash("ent"), F.get("salts", F.col("pos") - F.col("cold")))
+    keys = keys.withColumn("salt", F.when(F.col("pos") >= F.col("cold"), own).otherwise(0)).drop("cold", "salts")
     group = W.partitionBy("token", "salt")
     early = group.orderBy("rare", "ent")
     met = keys.withColumns({"many": F.count("*").over(group), "hub": F.first("ent").over(early), "hub_n": F.first("n").over(early)})
