@@ -139,10 +139,30 @@ def test_sample_rows(spark):
 
 def test_combed_equals_windows():
     rng = random.Random(2)
+    text = lambda low, high: "".join(rng.choice("abc ") for _ in range(rng.randint(low, high)))
+    pairs = []
     for _ in range(200):
-        a = "".join(rng.choice("abc ") for _ in range(rng.randint(1, 60)))
-        b = "".join(rng.choice("abc ") for _ in range(rng.randint(len(a), 120)))
-        assert S.combed(a, b).tolist() == [S.lcs(a, b[max(0, i) : i + len(a)]) for i in range(1 - len(a), len(b))]
+        a = text(1, 60)
+        pairs.append((a, a[:3] + text(len(a), 120)))
+    got = S.combed(pairs)
+    for k, (a, b) in enumerate(pairs):
+        assert S.combed([(a, b)])[:, 0].tolist() == [S.lcs(a, b[max(0, i) : i + len(a)]) for i in range(1 - len(a), len(b))]
+        assert got[: len(a) + len(b) - 1, k].tolist() == S.combed([(a, b)])[:, 0].tolist()
+
+
+def test_partial_ratios_together():
+    rng = random.Random(3)
+    text = lambda: "".join(rng.choice("ab c") for _ in range(rng.randint(0, 40)))
+    pairs = [(text(), text()) for _ in range(300)] + [("", ""), ("a", ""), ("ab", "ba")]
+
+    def brute(a, b):
+        if not a or not b:
+            return 100.0 if a == b else 0.0
+        short, long = sorted((a, b), key=len)
+        both = [(short, long)] + [(long, short)] * (len(a) == len(b))
+        return max(S.ratio(s, t[max(0, i) : i + len(s)]) for s, t in both for i in range(1 - len(s), len(t)))
+
+    assert S.partial_ratios(pairs) == [brute(*x) for x in pairs]
 
 
 def test_features_against_plain_functions(spark):
