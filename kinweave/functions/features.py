@@ -106,7 +106,11 @@ def pair_features(pairs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
 
 
 def pair_table(pairs: DataFrame, s1: DataFrame, lookup: DataFrame) -> DataFrame:
-    """pairs (s1_id, cand_id) with both records' clean texts; n_cands counts an entity's pairs before unknown ids are dropped."""
+    """pairs (s1_id, cand_id) with both records' clean texts; n_cands counts an entity's pairs before unknown ids are dropped.
+
+    The shuffle of the last join has a fixed number of parts: what follows works long on few bytes, so parts aren't to be merged by size.
+    """
+    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = pairs.groupBy("s1_id").agg(F.count("*").alias("n_cands"))
     side = lambda df, k: df.select(F.col("entity_id").alias(f"{k}_id"), F.col("name_clean").alias(f"{k}_name"), F.col("address_clean").alias(f"{k}_addr"), F.col("country_clean").alias(f"{k}_country"))
-    return pairs.join(counts, "s1_id").join(side(s1, "s1"), "s1_id").join(side(lookup, "cand"), "cand_id")
+    return pairs.join(counts, "s1_id").join(side(s1, "s1"), "s1_id").repartition(parts, "cand_id").join(side(lookup, "cand"), "cand_id")

@@ -336,5 +336,5 @@ def predict_links(spark, d):
     """Trains on the sampled pairs and scores all candidates; their features are made once."""
     x = Data(spark, d)
     rows = flow.held(flow.all_features(x.ents, x.pairs))
-    made = model.train(flow.sampled_features(rows, x.gt))
+    made = model.train(flow.held(flow.sampled_features(rows, x.gt)))
     return model.predict(made, rows)
