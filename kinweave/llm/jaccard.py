@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from kinweave.llm.common import SKETCH_BLOCKS, blocks, bloom_bits, bloom_has, bloom_of, components, fold_blocks, fresh, gather_blocks, materialize, mix, rolling, small_batches, table
+from kinweave.llm.common import LABEL_SALTS, SKETCH_BLOCKS, blocks, bloom_bits, bloom_has, bloom_of, components, fold_blocks, fresh, gather_blocks, materialize, mix, rolling, small_batches, table
 
 WORDS = 5
 #: Similarity as a fraction.
@@ -276,7 +276,7 @@ def _across(known: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows, sets): a row (doc_id, n, fp1, fp2) for every document, and of each set that isn't empty (fp1, fp2, label): the component of all links that it is in."""
+    """(rows, sets): a row (doc_id, n, fp1, fp2) for every document, and of each set that isn't empty (fp1, fp2, label, linked): the component of all links that it is in, and whether it has any link."""
     small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     first = materialize(first_pass(docs))
@@ -309,15 +309,18 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             labels = components(found.union(more))
 
     label = labels.select(F.col("node").alias("ent"), "label")
-    sets = members.select("fp1", "fp2", "ent").join(label, "ent", "left").select("fp1", "fp2", F.coalesce("label", "ent").alias("label"))
+    sets = members.select("fp1", "fp2", "ent").join(label, "ent", "left").select("fp1", "fp2", F.coalesce("label", "ent").alias("label"), F.col("label").isNotNull().alias("linked"))
     return first.where("block is null").select("doc_id", "n", "fp1", "fp2"), sets
 
 
 def similar_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every document: the components of all links."""
     rows, sets = groups(docs)
-    once = rows.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep")).join(sets, ["fp1", "fp2"])
-    sets = once.join(once.groupBy("label").agg(F.min("rep").alias("component_id")), "label").select("fp1", "fp2", "component_id")
+    once = materialize(rows.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep")).join(sets, ["fp1", "fp2"]))
+    # A set without links has its own least id; the others meet their component's in parts, as one component may hold most of them.
+    linked = once.where("linked").withColumn("salt", F.pmod(F.xxhash64("fp1"), F.lit(LABEL_SALTS)).cast("int"))
+    least = linked.groupBy("label").agg(F.min("rep").alias("component_id")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(LABEL_SALTS - 1))))
+    sets = linked.join(least, ["label", "salt"]).select("fp1", "fp2", "component_id").union(once.where("not linked").select("fp1", "fp2", "rep"))
     out = rows.join(sets, ["fp1", "fp2"], "left")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
