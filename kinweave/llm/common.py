@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -44,6 +45,18 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that materialize wrote and nothing needs any more, and let Spark delete the shuffles that made them."""
+    spark = tables[0].sparkSession
+    for df in tables:
+        path = df.inputFiles()[0].rsplit("/", 1)[0] if df.inputFiles() else None
+        if path and path.rsplit("/", 2)[-2] == shared_dir(spark).rsplit("/", 1)[-1]:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    gc.collect()
+    spark._jvm.System.gc()  # Spark's cleaner works when plans are collected
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that df doesn't have, in whatever case."""
     have = {c.lower() for c in df.columns}

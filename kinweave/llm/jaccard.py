@@ -29,11 +29,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from kinweave.llm.common import LABEL_SALTS, SKETCH_BLOCKS, blocks, bloom_bits, bloom_has, bloom_of, components, fold_blocks, fresh, gather_blocks, materialize, mix, rolling, small_batches, table
+from kinweave.llm.common import LABEL_SALTS, SKETCH_BLOCKS, blocks, bloom_bits, bloom_has, bloom_of, components, discard, fold_blocks, fresh, gather_blocks, materialize, mix, rolling, small_batches, table
 
 WORDS = 5
 #: Similarity as a fraction.
@@ -302,14 +303,17 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     # What the hubs didn't settle: keys whose documents are in different components.
     known = met.select("token", "ent", "n", "pos").join(labels.withColumnRenamed("node", "ent"), "ent", "left").withColumn("label", F.coalesce("label", "ent"))
-    across = materialize(_across(materialize(known), members).join(tried, ["a", "b"], "left_anti"))
+    known = materialize(known)
+    across = materialize(_across(known, members).join(tried, ["a", "b"], "left_anti"))
+    discard(known, met, tried)
     if not across.isEmpty():
         more = materialize(verify(across, docs, members))
         if not more.isEmpty():
             labels = components(found.union(more))
 
     label = labels.select(F.col("node").alias("ent"), "label")
-    sets = members.select("fp1", "fp2", "ent").join(label, "ent", "left").select("fp1", "fp2", F.coalesce("label", "ent").alias("label"), F.col("label").isNotNull().alias("linked"))
+    sets = materialize(members.select("fp1", "fp2", "ent").join(label, "ent", "left").select("fp1", "fp2", F.coalesce("label", "ent").alias("label"), F.col("label").isNotNull().alias("linked")))
+    discard(members, found, across)
     return first.where("block is null").select("doc_id", "n", "fp1", "fp2"), sets
 
 
@@ -326,27 +330,44 @@ def similar_components(docs: DataFrame) -> DataFrame:
 
 
 def drop_similar(docs: DataFrame) -> DataFrame:
-    """docs, all columns, with one document of each component: the one of the smallest doc_id (null last), of several rows of it the smallest text. Documents without words all stay."""
+    """docs, all columns, with one document of each component: the one of the smallest doc_id (null last), of several rows of it the smallest text. Documents without words all stay.
+
+    Documents whose id no component of several rows holds stay without a shuffle, by a Bloom filter; those that it lets through meet the chosen ones.
+    """
     rows, sets = groups(docs)
-    least = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "fp1", "fp2")).alias("x")
-    by_set = rows.groupBy("fp1", "fp2").agg(F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id")).alias("m"))
-    kept = by_set.select("fp1", "fp2", "m.doc_id").join(sets, ["fp1", "fp2"]).groupBy("label").agg(least).select("x.fp1", "x.fp2", "x.doc_id")
-    size, one, two, of, rn = (fresh(docs, c) for c in ("set_size", "set_print1", "set_print2", "kept_id", "row_of_id"))
-    own = [f for f in docs.schema]
+    order = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id")
+    by_set = rows.where("n > 0").groupBy("fp1", "fp2").agg(F.min(order).alias("m"), F.count("*").alias("c"))
+    labelled = materialize(by_set.select("fp1", "fp2", "m.null", "m.doc_id", "c").join(sets, ["fp1", "fp2"]))
+    kept = labelled.groupBy("label").agg(F.min(F.struct("null", "doc_id", "fp1", "fp2")).alias("x")).select("x.fp1", "x.fp2", "x.doc_id")
+    several = rows.join(labelled.where("linked or c > 1").select("fp1", "fp2"), ["fp1", "fp2"], "left_semi").where("doc_id is not null").select("doc_id").distinct()
+    several = materialize(several)
+    seen = docs.sparkSession.sparkContext.broadcast(bloom_of(several, "doc_id", bloom_bits(several.count())))
+    one, two, of, rn = (fresh(docs, c) for c in ("set_print1", "set_print2", "kept_id", "row_of_id"))
+    own = list(docs.schema)
+
+    def meets(batch) -> np.ndarray:
+        """Whether a row may be one of several: it has a word, and its id may be in the filter or is null."""
+        if not batch.num_rows:
+            return np.empty(0, bool)
+        ids, texts = (batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "text"))
+        words = pc.match_substring_regex(texts, r"[^\x20\x09-\x0D]").fill_null(False).to_numpy(zero_copy_only=False)
+        return words & (bloom_has(seen.value, ids.fill_null(0).to_numpy(zero_copy_only=False).view(_U)) | ids.is_null().to_numpy(zero_copy_only=False))
+
+    def alone(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(~meets(batch), pa.bool_()))
 
-    def run(batches):
+    def marked(batches):
         for batch in batches:
-            held = list(shingle_sets(batch.column(batch.schema.get_field_index("text"))))
-            prints = [_print(h) for h in held]
-            more = [pa.array([len(h) for h in held], pa.int32()), pa.array([x[0] for x in prints], pa.int64()), pa.array([x[1] for x in prints], pa.int64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, size, one, two])
+            batch = batch.filter(pa.array(meets(batch), pa.bool_()))
+            prints = [_print(h) for h in shingle_sets(batch.column(batch.schema.get_field_index("text")))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array([x[k] for x in prints], pa.int64()) for k in (0, 1))], [*batch.schema.names, one, two])
 
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in own] + [f"{size} int", f"{one} long", f"{two} long"])
-    marked = docs.mapInArrow(run, schema)
-    met = marked.where(F.col(size) > 0).join(kept.toDF(one, two, of), [one, two]).where(F.col("doc_id").eqNullSafe(F.col(of)))
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own)
+    asked = docs.mapInArrow(marked, f"{columns}, {one} long, {two} long")
+    met = asked.join(kept.toDF(one, two, of), [one, two]).where(F.col("doc_id").eqNullSafe(F.col(of)))
     first = met.withColumn(rn, F.row_number().over(W.partitionBy(one, two).orderBy("text"))).where(F.col(rn) == 1)
-    columns = [F.col(f"`{f.name}`") for f in own]
-    return first.select(*columns).unionByName(marked.where(F.col(size) == 0).select(*columns))
+    return first.select(*(F.col(f"`{f.name}`") for f in own)).unionByName(docs.mapInArrow(alone, columns))
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
