@@ -157,8 +157,14 @@ def training_rows(docs: DataFrame, sample: int = SAMPLE) -> list[tuple[np.ndarra
     small_batches(docs.sparkSession)
     ok = (F.crc32(F.col("doc_id").cast("string")) % 3 != 1) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
     known = docs.where(ok).select("doc_id", "text", "lang")
-    first = W.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id")
-    ids = known.select("doc_id", "lang").distinct().withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= sample).select("doc_id", "lang")
+    order = F.xxhash64("doc_id", F.lit(3))
+    ids = known.select("doc_id", "lang").distinct().withColumn("o", order)
+    # The least hashes of a language are below a bound by its number of documents: four times the sample stand there, so that a frequent language is no hot key.
+    counts = ids.groupBy("lang").agg(F.count("*").alias("all_of_lang"))
+    bound = (F.least(F.lit(1.0), 4.0 * sample / F.col("all_of_lang")) - 0.5) * 2.0**64
+    near = ids.join(counts, "lang").where((F.col("all_of_lang") <= 4 * sample) | (F.col("o") < bound))
+    first = W.partitionBy("lang").orderBy("o", "doc_id")
+    ids = near.withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= sample).select("doc_id", "lang")
     rows = known.join(F.broadcast(ids), ["doc_id", "lang"], "left_semi")  # `sample` of each language
 
     def run(batches):
