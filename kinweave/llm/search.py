@@ -43,6 +43,8 @@ TOP_K, QUERIES, TERMS = 10, 8192, 4_000_000
 SHARD, POSTINGS, BLOCK, SAMPLED = 8192, 2_000_000, 128, 16
 #: A list of one in LONG of a shard's documents or more stands in the table as well; so many queries meet it at a time.
 LONG, TOGETHER = 24, 64
+#: So many documents are scored whole at once, without a look at the lists after the pivot.
+FEW = 4
 #: Scores are compared rounded to 6 digits: one that is lower by less than this may round to the same.
 SLACK = 1e-6
 _U = np.uint64
@@ -217,7 +219,7 @@ class Shard:
         has += long[:n] * (1 - self.error)
         least = max(least, self._reached(found, has, k) - SLACK)
         found = found[reach[found] >= least]
-        if len(found) > 4 * k and head < len(cells):
+        if len(found) > FEW and head < len(cells):
             # Many are left: the other lists are read in the blocks that hold them, and the documents' own terms only for those that then reach the least score.
             alive = np.bincount(found // self.block, minlength=self.n_blocks) > 0
             read = head + np.flatnonzero(alive[block[head:]])
@@ -294,7 +296,8 @@ def answer(index: DataFrame, asked: Asked, mean: float, k: int, least: np.ndarra
                 for begin in range(0, len(asked.ids), TOGETHER):
                     some = range(begin, min(begin + TOGETHER, len(asked.ids)))
                     mine = [asked.at[asked.first[q] : asked.first[q + 1]] for q in some]
-                    mine = [(place[x][place[x] >= 0], asked.idf[x][place[x] >= 0]) for x in mine]
+                    here = [place[x] for x in mine]
+                    mine = [(h[h >= 0], asked.idf[x[h >= 0]]) for x, h in zip(mine, here, strict=True)]
                     for q, (term, idf), long in zip(some, mine, shard.long_lists(mine), strict=True):
                         found, score = shard.search(term, idf, k, float(least[q]), asked.ids[q], long)
                         if len(found):
