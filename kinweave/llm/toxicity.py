@@ -21,8 +21,8 @@ than clean ones of that kind beyond chance; the threshold is taken from document
 
 A word is compared only if it has letters enough for a subsequence of some landmark; of others the kernel
 is 0. Null or empty text, or no words: the score of no toxic
-word. Very long texts: whole, a block of text at a time. Repeated rows get the same score. Extra
-columns pass through. Empty table: no rows. No labels of one kind: every score is 0.
+word. Very long texts: scored whole. Repeated rows get the same score. Ties at the threshold: toxic. Null doc_id:
+scored like others, never taught. Extra columns pass through. Empty table: no rows. No labels of one kind: every score is 0.
 """
 
 from __future__ import annotations
@@ -45,6 +45,8 @@ from kinweave.llm.common import mix, rolling, small_batches, table
 LENGTH, DECAY = 4, 0.6
 #: Labelled documents of either label, clean words for the SVM.
 SAMPLE, CLEAN_WORDS = 1500, 6000
+#: Longer texts, in characters, teach nothing, so that the sample has a bound in bytes as well; they are scored whole like all others.
+LONGEST_TAUGHT = 100_000
 THRESHOLD = 0.7
 #: Share of clean documents that the pieces may score as toxic.
 FALSE = 0.002
@@ -212,11 +214,12 @@ class Scorer:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[tuple[str, int]]:
-    """(text, toxic) of at most `sample` documents of each label outside the held-out fold."""
+    """(text, toxic) of at most `sample` documents of each label outside the held-out fold, of LONGEST_TAUGHT characters at most. Of several texts of one id the smallest."""
     labels = labels.where((F.crc32(F.col("doc_id").cast("string")) % 3 != 1) & F.col("toxic").isin(0, 1)).select("doc_id", "toxic")
     order = F.xxhash64("doc_id", F.lit(5))
     picked = [labels.where(F.col("toxic") == k).groupBy("doc_id", "toxic").agg(F.first(order).alias("o")).orderBy("o", "doc_id").limit(sample).select("doc_id", "toxic") for k in (1, 0)]
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked[0].union(picked[1])), "doc_id").where("text is not null").dropDuplicates(["doc_id"])
+    short = docs.select("doc_id", "text").where(F.length("text") <= LONGEST_TAUGHT)
+    rows = short.join(F.broadcast(picked[0].union(picked[1])), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     return [x[1:] for x in sorted((r["doc_id"], r["text"], r["toxic"]) for r in rows.collect())]
 
 

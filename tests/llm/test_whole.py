@@ -67,7 +67,7 @@ def test_search_repeated_ids_and_nulls(spark, monkeypatch):
     monkeypatch.setattr(search, "SHARD", 16)
     monkeypatch.setattr(search, "BLOCK", 4)
     rows = [(1000, "alpha beta")] + [(7, "alpha beta")] * 60 + [(100 + i, f"alpha x{i}") for i in range(20)] + [(None, "alpha beta")] * 20
-    docs = spark.createDataFrame(rows, SCHEMA).coalesce(2)
+    docs = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit("own") for c in ("score", "rank", "term", "shard", "part")}).coalesce(2)
     got = search.search(docs, k=10, every=1000).orderBy("rank").collect()
     assert [r["doc_id"] for r in got] == [7, *range(100, 109)]
 
