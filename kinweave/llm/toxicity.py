@@ -1,18 +1,17 @@
 """Toxicity by a subsequence string kernel, Nystrom landmarks and a linear support vector machine.
 
 A sentence is as toxic as its most toxic word, and a document as its most toxic sentence or as all its
-words together (see below), whichever is more. Words are
-compared by their common subsequences of LENGTH letters: each counts DECAY to the power of the
-shortest stretch it takes in either word, so a word with gaps or inserted characters stays close to the insult
-it hides, and a word with marks within it counts without them, however many they are. Runs of single letters
-count as one word as well. Landmarks are insults found in training
-sentences; the kernel to the landmarks, whitened by the kernel among them, is the feature vector of a
-linear SVM.
+words together (see below), whichever is more. Words are compared by their common subsequences of LENGTH
+letters: each counts DECAY to the power of the shortest stretch it takes in either word, so a word with gaps
+or inserted characters stays close to the insult it hides, and a word with marks within it counts without
+them, however many they are. Runs of single letters count as one word as well. Landmarks are insults found in
+training sentences, as runs of letters and as whole words; the kernel to the landmarks, whitened by the kernel
+among them, is the feature vector of a linear SVM.
 
 Training: a bounded sample of labelled documents (SAMPLE of each label, by a hash of doc_id), whose
 sentences have their document's label. Landmarks are the runs of letters that many unlike toxic
-documents share and clean ones hardly have, each by its own counts against chance; the SVM learns from the words of toxic sentences that hold
-one, also with characters put in, against clean sentences' words.
+documents share and clean ones hardly have, each by its own counts against chance. The SVM learns from the
+witness words of toxic sentences, also with characters put in, against the words of clean sentences.
 
 All words together: words that mark toxicity by being repeated stand in clean documents as well, so a
 second SVM weighs how often a document holds each piece (a word or a beginning of words). Pieces are
@@ -20,9 +19,9 @@ those that toxic documents of one kind, mostly a language, hold once, twice or t
 than clean ones of that kind beyond chance; the threshold is taken from documents left out of the fit.
 
 A word is compared only if it has letters enough for a subsequence of some landmark; of others the kernel
-is 0. Null or empty text, or no words: the score of no toxic
-word. Very long texts: scored whole. Repeated rows get the same score. Ties at the threshold: toxic. Null doc_id:
-scored like others, never taught. Extra columns pass through. Empty table: no rows. No labels of one kind: every score is 0.
+is 0. Null or empty text, or no words: the score of no toxic word. Very long texts: scored whole. Repeated rows
+get the same score. Ties at the threshold: toxic. Null doc_id: scored like others, never taught. Extra columns
+pass through. Empty table: no rows. No labels of one kind: every score is 0.
 """
 
 from __future__ import annotations
