@@ -42,7 +42,7 @@ TOP_K, QUERIES, TERMS = 10, 8192, 4_000_000
 #: Documents and postings of a shard, documents of a block; one shard in SAMPLED gives the first least scores.
 SHARD, POSTINGS, BLOCK, SAMPLED = 8192, 2_000_000, 128, 16
 #: A list of one in LONG of a shard's documents or more stands in the table as well; so many queries meet it at a time.
-LONG, TOGETHER = 24, 64
+LONG, TOGETHER = 16, 256
 #: So many documents are scored whole at once, without a look at the lists after the pivot.
 FEW = 4
 #: Scores are compared rounded to 6 digits: one that is lower by less than this may round to the same.
