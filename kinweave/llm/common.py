@@ -177,14 +177,14 @@ def blocks(texts: pa.Array, lower: bool = False, most: int = BLOCK_BYTES) -> Ite
 SKETCH_BLOCKS = 64
 
 
-def fold_blocks(rows: DataFrame, dtype: str, join: Callable) -> DataFrame:
-    """Rows (block int, cells binary), a task's own already joined, are joined cell by cell; batches stream, so memory is one sketch a task."""
+def fold_blocks(rows: DataFrame, read: Callable, join: Callable) -> DataFrame:
+    """Rows (block int, cells binary), a task's own already joined, are joined cell by cell; batches stream, so memory is one sketch a task. read: cells of bytes."""
 
     def run(batches):
         held: dict[int, np.ndarray] = {}
         for batch in batches:
             for k, cells in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                x = np.frombuffer(cells, dtype)
+                x = read(cells)
                 held[k] = x.copy() if k not in held else join(held[k], x)
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([x.tobytes() for x in held.values()], pa.binary())], ["block", "cells"])
@@ -235,7 +235,7 @@ def bloom_of(df: DataFrame, column: str, bits: int) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["block", "cells"])
 
     rows = df.select(F.col(column).cast("long").alias("v")).where("v is not null").mapInArrow(run, "block int, cells binary")
-    return gather_blocks(fold_blocks(rows, "u1", np.bitwise_or), "u1", bits // 8)
+    return gather_blocks(fold_blocks(rows, lambda x: np.frombuffer(x, np.uint8), np.bitwise_or), "u1", bits // 8)
 
 
 def bloom_has(cells: np.ndarray, values: np.ndarray) -> np.ndarray:

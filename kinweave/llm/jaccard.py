@@ -155,7 +155,8 @@ def first_pass(docs: DataFrame) -> DataFrame:
             part = cells[k * width : (k + 1) * width]
             if part.any():
                 none = pa.nulls(1, pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part.tobytes()], pa.binary()), none, pa.nulls(1, pa.int32()), none, none], ["block", "cells", "doc_id", "n", "fp1", "fp2"])
+                sent = part.astype(np.uint8) if part.max() < 256 else part  # most tasks need a byte a cell
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([sent.tobytes()], pa.binary()), none, pa.nulls(1, pa.int32()), none, none], ["block", "cells", "doc_id", "n", "fp1", "fp2"])
 
     return docs.select("doc_id", "text").mapInArrow(run, FIRST)
 
@@ -163,7 +164,8 @@ def first_pass(docs: DataFrame) -> DataFrame:
 def frequency_sketch(first: DataFrame) -> np.ndarray:
     """Documents per cell; a cell stops at 2 ** 32 - 1 of them."""
     rows = first.where("block is not null").select("block", "cells")
-    total = fold_blocks(rows, "<u4", lambda a, b: np.minimum(a.astype(np.uint64) + b, 2**32 - 1).astype("<u4"))
+    width = CELLS // SKETCH_BLOCKS
+    total = fold_blocks(rows, lambda x: np.frombuffer(x, np.uint8 if len(x) == width else "<u4").astype("<u4"), lambda a, b: np.minimum(a.astype(np.uint64) + b, 2**32 - 1).astype("<u4"))
     return gather_blocks(total, "<u4", CELLS)
 
 
@@ -260,7 +262,10 @@ def _across(known: DataFrame, members: DataFrame) -> DataFrame:
     groups = by_label.groupBy("token").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.sum("c").alias("all"), F.max("c").alias("of_main"), F.count("*").alias("labels"))
     groups = groups.where("labels > 1").select("token", "main", F.ceil(F.col("all") / PART).cast("int").alias("parts"), F.ceil((F.col("all") - F.col("of_main")) / PART).cast("int").alias("few"))
     eight = members.select("ent", *(F.col("map8")[k].alias(f"m{k}") for k in range(8)))
-    rest = known.join(groups, "token").join(eight, "ent")
+    # A frequent key's members meet its row in parts.
+    parts = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(LABEL_SALTS - 1))))
+    dealt = known.withColumn("salt", F.pmod(F.xxhash64("ent", F.lit(1)), F.lit(LABEL_SALTS)).cast("int"))
+    rest = dealt.join(parts, ["token", "salt"]).drop("salt").join(eight, "ent")
     # Members outside of the largest component, in `few` parts, meet all members, in `parts` parts.
     own = lambda n: F.pmod(F.xxhash64("ent"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))

@@ -123,8 +123,8 @@ def judge_counts(counted: DataFrame, keep_at: float = 0.5) -> DataFrame:
 
 
 def judge(docs: DataFrame, keep_at: float = 0.5) -> DataFrame:
-    """docs, all columns, with their counts, base_failed, quality (the posterior) and kept. What is counted is written once, then fitted and judged."""
-    return judge_counts(materialize(counts(docs)), keep_at)
+    """docs, all columns, with their counts, base_failed, quality (the posterior) and kept. Texts are counted for the fit and again for the verdict, rather than written once more."""
+    return judge_counts(counts(docs), keep_at)
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
