@@ -131,25 +131,25 @@ class Shard:
         self.ids = np.array([0 if x is None else x for x in ids], np.int64)
         n = len(self.ids)
         norm = (K1 * (1 - B + B * self.words / mean))[self.doc]
-        self.gain = tf * (K1 + 1)
+        gain = tf * (K1 + 1)
         norm += tf
-        self.gain /= norm
+        gain /= norm
         del tf, norm
         # Blocks of lists, in the order of the postings: (list, block) with the largest gain.
         term = np.repeat(np.arange(len(self.names), dtype=np.int32), np.diff(self.first))
         in_block = self.doc // np.int32(block)
         new = np.ones(len(term), bool)
         new[1:] = (term[1:] != term[:-1]) | (in_block[1:] != in_block[:-1])
-        self.cell_at = np.append(np.flatnonzero(new), len(term)).astype(np.int32)
+        self.cell_at = np.append(np.flatnonzero(new), len(term))
         self.cell_block = in_block[self.cell_at[:-1]]
         del in_block, new
         self.n_blocks = -(-n // block)
-        self.cell_max = np.maximum.reduceat(self.gain, self.cell_at[:-1]) if len(term) else np.empty(0)
+        self.cell_max = np.maximum.reduceat(gain, self.cell_at[:-1]) if len(term) else np.empty(0)
         self.cell_first = np.searchsorted(self.cell_at[:-1], self.first)
-        self.most = np.maximum.reduceat(self.gain, self.first[:-1]) if len(term) else np.empty(0)
+        self.most = np.maximum.reduceat(gain, self.first[:-1]) if len(term) else np.empty(0)
         # The documents' own terms, in the order of the terms' names in every shard.
         by_doc = np.argsort(self.doc.astype(np.uint16 if n < 1 << 16 else np.uint32), kind="stable")
-        self.own_term, self.own_gain = term[by_doc], self.gain[by_doc]
+        self.own_term, self.own_gain = term[by_doc], gain[by_doc]
         del by_doc, term
         self.doc_at = np.concatenate([[0], np.cumsum(np.bincount(self.doc, minlength=n))])
         self.weight = np.zeros(len(self.names))  # idf of the query's terms, else 0
@@ -160,7 +160,8 @@ class Shard:
         self.table = np.zeros((len(often), self.n_blocks * block), np.float32)
         for r, t in enumerate(often.tolist()):
             mine = slice(self.first[t], self.first[t + 1])
-            self.table[r, self.doc[mine]] = self.gain[mine]
+            self.table[r, self.doc[mine]] = gain[mine]
+        self.posting = np.stack([self.doc, gain], 1)  # side by side, so that a posting is one look into memory
         self.error = (len(often) + 2) * 2.0**-22  # of a sum of single floats, as a share of it
 
     def long_lists(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -197,15 +198,18 @@ class Shard:
         at, end = self.cell_first[term], self.cell_first[term + 1]
         many = end - at
         cells = _spans(at, end)
-        room = np.repeat(idf, many) * self.cell_max[cells]
-        block = self.cell_block[cells]
+        room = np.repeat(idf, many) * self.cell_max.take(cells)
+        block = self.cell_block.take(cells)
         alive = np.bincount(block, room, self.n_blocks) + of_block >= least
         if not alive.any():
             return none
         head = int(many[:pivot].sum())
         weight = np.repeat(idf, many)
         read = np.flatnonzero(alive[block[:head]])
-        has = self._read(cells[read], weight[read])
+        if 3 * len(read) > head:  # few are skipped: a list is one stretch
+            has = self._read(self.first[term[:pivot]], self.first[term[:pivot] + 1], idf[:pivot])
+        else:
+            has = self._read(self.cell_at[cells[read]], self.cell_at[cells[read] + 1], weight[read])
         reach = high[:n] + has
         if head < len(cells):
             reach += np.repeat(np.bincount(block[head:], room[head:], self.n_blocks), self.block)[:n]
@@ -223,25 +227,25 @@ class Shard:
             # Many are left: the other lists are read in the blocks that hold them, and the documents' own terms only for those that then reach the least score.
             alive = np.bincount(found // self.block, minlength=self.n_blocks) > 0
             read = head + np.flatnonzero(alive[block[head:]])
-            has += self._read(cells[read], weight[read])
+            has += self._read(self.cell_at[cells[read]], self.cell_at[cells[read] + 1], weight[read])
             least = max(least, self._reached(found, has, k) - SLACK)
             found = found[has[found] + 2 * self.error * long[found] + 1e-9 >= least]
         if not len(found):
             return none
         self.weight[whole] = every
         own = _spans(self.doc_at[found], self.doc_at[found + 1])
-        gains = self.own_gain[own] * self.weight[self.own_term[own]]
+        gains = self.own_gain.take(own) * self.weight.take(self.own_term.take(own))
         self.weight[whole] = 0
         begin = np.cumsum(self.doc_at[found + 1] - self.doc_at[found])
         score = np.add.reduceat(gains, np.concatenate([[0], begin[:-1]]))
         ok = score >= least
         return self.ids[found[ok]], np.round(score[ok], 6)
 
-    def _read(self, cells: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        """What the postings of some blocks of lists give each document."""
-        first, end = self.cell_at[cells], self.cell_at[cells + 1]
+    def _read(self, first: np.ndarray, end: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """What the postings of some stretches of lists give each document."""
         postings = _spans(first, end)
-        return np.bincount(self.doc[postings], self.gain[postings] * np.repeat(weight, end - first), len(self.ids)).astype(float)  # of no postings it counts integers
+        both = self.posting.take(postings, 0)
+        return np.bincount(both[:, 0].astype(np.intp), both[:, 1] * np.repeat(weight, end - first), len(self.ids)).astype(float)  # of no postings it counts integers
 
     def _reached(self, found: np.ndarray, has: np.ndarray, k: int) -> float:
         """The k-th largest of `has` over distinct ids; 0 if there are fewer."""
