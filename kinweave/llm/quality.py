@@ -116,15 +116,22 @@ def posterior(model: dict, votes: list[Column]) -> Column:
 def judge_counts(counted: DataFrame, keep_at: float = 0.5) -> DataFrame:
     by_rule = rules()
     # Base failures are out whatever the rules say, and would teach them only what is known.
-    seen = counted.where(~base_failed()).groupBy(*(v.alias(k) for k, v in by_rule.items())).count().collect()
+    # They are left out after the count: a filter before it would have the texts counted once more.
+    seen = counted.groupBy(*(v.alias(k) for k, v in by_rule.items()), base_failed().alias("failed")).count().where("not failed").drop("failed").collect()
     model = fit(sorted((tuple(r)[:-1], r["count"]) for r in seen), len(by_rule))
     out = counted.withColumns({"base_failed": base_failed(), "quality": posterior(model, list(by_rule.values()))})
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= keep_at))
 
 
 def judge(docs: DataFrame, keep_at: float = 0.5) -> DataFrame:
-    """docs, all columns, with their counts, base_failed, quality (the posterior) and kept. Texts are counted for the fit and again for the verdict, rather than written once more."""
-    return judge_counts(counts(docs), keep_at)
+    """docs, all columns, with their counts, base_failed, quality (the posterior) and kept.
+
+    Texts are counted for the fit and again for the verdict, rather than written once more. kept depends on a
+    row number, which is never below 0, so that Spark doesn't move a filter by it below the counts and make them twice.
+    """
+    at = fresh(docs, "row_number")
+    out = judge_counts(counts(docs).withColumn(at, F.monotonically_increasing_id()), keep_at)
+    return out.withColumn("kept", F.col("kept") & (F.col(at) >= 0)).drop(at)
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
