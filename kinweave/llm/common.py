@@ -250,7 +250,7 @@ def bloom_has(cells: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 #: Labels meet their nodes in so many parts, so that a component of a third of all nodes isn't one key.
-LABEL_SALTS = 32
+LABEL_SALTS = 8
 
 
 def components(edges: DataFrame) -> DataFrame:

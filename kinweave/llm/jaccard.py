@@ -257,15 +257,16 @@ def verify(pairs: DataFrame, docs: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def _across(known: DataFrame, members: DataFrame) -> DataFrame:
-    """(a, b) of different components that share a key and may link. known: (token, ent, n, pos, label)."""
-    by_label = known.groupBy("token", "label").agg(F.count("*").alias("c"))
-    groups = by_label.groupBy("token").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.sum("c").alias("all"), F.max("c").alias("of_main"), F.count("*").alias("labels"))
-    groups = groups.where("labels > 1").select("token", "main", F.ceil(F.col("all") / PART).cast("int").alias("parts"), F.ceil((F.col("all") - F.col("of_main")) / PART).cast("int").alias("few"))
+    """(a, b) of different components that share a key and may link. known: (token, ent, n, pos, hot, label)."""
+    by_label = known.groupBy("token", "label").agg(F.count("*").alias("c"), F.max("hot").alias("hot"))
+    groups = by_label.groupBy("token").agg(F.max("hot").alias("hot"), F.max_by("label", F.struct("c", "label")).alias("main"), F.sum("c").alias("all"), F.max("c").alias("of_main"), F.count("*").alias("labels"))
+    groups = groups.where("labels > 1").select("token", "main", "hot", F.ceil(F.col("all") / PART).cast("int").alias("parts"), F.ceil((F.col("all") - F.col("of_main")) / PART).cast("int").alias("few"))
     eight = members.select("ent", *(F.col("map8")[k].alias(f"m{k}") for k in range(8)))
     # A frequent key's members meet its row in parts.
-    parts = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(LABEL_SALTS - 1))))
-    dealt = known.withColumn("salt", F.pmod(F.xxhash64("ent", F.lit(1)), F.lit(LABEL_SALTS)).cast("int"))
-    rest = dealt.join(parts, ["token", "salt"]).drop("salt").join(eight, "ent")
+    salts = F.when(F.col("hot"), F.sequence(F.lit(1), F.lit(LABEL_SALTS))).otherwise(F.array(F.lit(0)))
+    parts = groups.withColumn("salt", F.explode(salts)).drop("hot")
+    own_salt = F.when(F.col("hot"), 1 + F.pmod(F.xxhash64("ent", F.lit(1)), F.lit(LABEL_SALTS)).cast("int")).otherwise(0)
+    rest = known.withColumn("salt", own_salt).drop("hot").join(parts, ["token", "salt"]).drop("salt").join(eight, "ent")
     # Members outside of the largest component, in `few` parts, meet all members, in `parts` parts.
     own = lambda n: F.pmod(F.xxhash64("ent"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -307,7 +308,7 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     labels = components(found)
 
     # What the hubs didn't settle: keys whose documents are in different components.
-    known = met.select("token", "ent", "n", "pos").join(labels.withColumnRenamed("node", "ent"), "ent", "left").withColumn("label", F.coalesce("label", "ent"))
+    known = met.select("token", "ent", "n", "pos", (F.col("salt") > 0).alias("hot")).join(labels.withColumnRenamed("node", "ent"), "ent", "left").withColumn("label", F.coalesce("label", "ent"))
     known = materialize(known)
     across = materialize(_across(known, members).join(tried, ["a", "b"], "left_anti"))
     discard(known, met, tried)
