@@ -11,7 +11,9 @@ of the lists before it can't reach that score. Lists carry the maximum of each b
 A block whose maxima together stay below the least score is skipped by all lists, without a look at its
 postings. In the blocks left the lists before the pivot are read; a document goes on if what it has there
 and the maxima of the other lists in its block can reach the least score, and only then is scored whole,
-from its own terms. Pivots are taken for all blocks of a shard at once, not for one document after the
+from its own terms. Lists after the pivot are read along with the others, which saves the second look, unless
+they hold most of the postings. What is read is held as single floats, whose error the bounds allow for; answers
+are scored in doubles. Pivots are taken for all blocks of a shard at once, not for one document after the
 other, so that numpy does the work. The least score is the k-th best so far: of a sample of shards first,
 then of the task's shards before, then of what the lists before the pivot already give.
 
@@ -40,11 +42,13 @@ from kinweave.llm.common import blocks, materialize, shared_dir, small_batches,
 K1, B = 1.2, 0.75
 TOP_K, QUERIES, TERMS = 10, 8192, 4_000_000
 #: Documents and postings of a shard, documents of a block; one shard in SAMPLED gives the first least scores.
-SHARD, POSTINGS, BLOCK, SAMPLED = 8192, 2_000_000, 128, 16
+SHARD, POSTINGS, BLOCK, SAMPLED = 8192, 2_000_000, 1024, 16
 #: A list of one in LONG of a shard's documents or more stands in the table as well; so many queries meet it at a time.
 LONG, TOGETHER = 16, 256
 #: So many documents are scored whole at once, without a look at the lists after the pivot.
 FEW = 4
+#: Lists after the pivot are read along with those before it if all of them hold at most so many times the postings of those before it.
+MOSTLY = 2
 #: Scores are compared rounded to 6 digits: one that is lower by less than this may round to the same.
 SLACK = 1e-6
 _U = np.uint64
@@ -68,6 +72,16 @@ def _spans(first: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.repeat(first - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
 
 
+def _narrow(x: np.ndarray) -> bytes:
+    """Numbers in 1, 2 or 4 bytes each, as the largest needs; _wide reads them by how many there are."""
+    most = int(x.max(initial=0))
+    return x.astype("<u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4").tobytes()
+
+
+def _wide(x, n: int) -> np.ndarray:
+    return np.frombuffer(x, f"<u{len(memoryview(x)) // n}") if n else np.empty(0, np.uint8)
+
+
 def build_shard(ids: list, docs: list[tuple]) -> dict[str, object]:
     """The columns of a shard; docs as from term_counts."""
     n = len(docs)
@@ -88,8 +102,8 @@ def build_shard(ids: list, docs: list[tuple]) -> dict[str, object]:
     doc = place[doc]
     by_term = np.lexsort((doc, term))
     return {
-        "names": names.tobytes(), "first": np.concatenate([[0], np.cumsum(df)]).astype("<u4").tobytes(), "doc": doc[by_term].astype("<i4").tobytes(),
-        "tf": tf[by_term].astype("<u4").tobytes(), "words": words[order].astype("<u4").tobytes(), "ids": [ids[i] for i in order.tolist()],
+        "names": names.tobytes(), "first": np.concatenate([[0], np.cumsum(df)]).astype("<u4").tobytes(), "doc": _narrow(doc[by_term]),
+        "tf": _narrow(tf[by_term]), "words": words[order].astype("<u4").tobytes(), "ids": [ids[i] for i in order.tolist()],
     }
 
 
@@ -125,33 +139,33 @@ class Shard:
     def __init__(self, names, first, doc, tf, words, ids, mean: float, block: int = BLOCK):
         self.block = block
         self.names, self.first = np.frombuffer(names, _U), np.frombuffer(first, "<u4").astype(np.int64)
-        self.doc, tf = np.frombuffer(doc, "<i4"), np.frombuffer(tf, "<u4").astype(float)
-        self.words = np.frombuffer(words, "<u4").astype(float)
-        self.known = np.array([x is not None for x in ids], bool)
-        self.ids = np.array([0 if x is None else x for x in ids], np.int64)
+        doc, tf = (_wide(x, int(self.first[-1])) for x in (doc, tf))
+        ids = ids if isinstance(ids, pa.Array) else pa.array(ids, pa.int64())
+        self.known, self.ids = ids.is_valid().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy()
         n = len(self.ids)
-        norm = (K1 * (1 - B + B * self.words / mean))[self.doc]
-        gain = tf * (K1 + 1)
-        norm += tf
-        gain /= norm
-        del tf, norm
+        self.norm = K1 * (1 - B + B * np.frombuffer(words, "<u4") / mean)
+        gain = self.norm.astype(np.float32).take(doc)
+        gain += tf
+        np.divide(tf * np.float32(K1 + 1), gain, gain)
         # Blocks of lists, in the order of the postings: (list, block) with the largest gain.
         term = np.repeat(np.arange(len(self.names), dtype=np.int32), np.diff(self.first))
-        in_block = self.doc // np.int32(block)
+        self.n_blocks = -(-n // block)
+        in_block = doc // np.int32(block)
         new = np.ones(len(term), bool)
-        new[1:] = (term[1:] != term[:-1]) | (in_block[1:] != in_block[:-1])
-        self.cell_at = np.append(np.flatnonzero(new), len(term))
-        self.cell_block = in_block[self.cell_at[:-1]]
+        new[1:] = in_block[1:] != in_block[:-1]
+        new[self.first[:-1]] = True
+        cell_at = np.flatnonzero(new)
+        self.cell_at = np.append(cell_at, len(term))
+        self.cell_block = in_block[cell_at].astype(np.intp)
         del in_block, new
-        self.n_blocks = -(-n // block)
-        self.cell_max = np.maximum.reduceat(gain, self.cell_at[:-1]) if len(term) else np.empty(0)
-        self.cell_first = np.searchsorted(self.cell_at[:-1], self.first)
+        self.cell_max = np.maximum.reduceat(gain, cell_at) if len(term) else np.empty(0)
+        self.cell_first = np.searchsorted(cell_at, self.first)
         self.most = np.maximum.reduceat(gain, self.first[:-1]) if len(term) else np.empty(0)
         # The documents' own terms, in the order of the terms' names in every shard.
-        by_doc = np.argsort(self.doc.astype(np.uint16 if n < 1 << 16 else np.uint32), kind="stable")
-        self.own_term, self.own_gain = term[by_doc], gain[by_doc]
+        by_doc = np.argsort(doc, kind="stable")
+        self.own_term, self.own_tf = term[by_doc], tf[by_doc]
         del by_doc, term
-        self.doc_at = np.concatenate([[0], np.cumsum(np.bincount(self.doc, minlength=n))])
+        self.doc_at = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=n))])
         self.weight = np.zeros(len(self.names))  # idf of the query's terms, else 0
         # Lists of many of the documents stand as rows of a table, too.
         often = np.flatnonzero(np.diff(self.first) * LONG >= max(n, 64))
@@ -160,9 +174,13 @@ class Shard:
         self.table = np.zeros((len(often), self.n_blocks * block), np.float32)
         for r, t in enumerate(often.tolist()):
             mine = slice(self.first[t], self.first[t + 1])
-            self.table[r, self.doc[mine]] = gain[mine]
-        self.posting = np.stack([self.doc, gain], 1)  # side by side, so that a posting is one look into memory
-        self.error = (len(often) + 2) * 2.0**-22  # of a sum of single floats, as a share of it
+            self.table[r, doc[mine]] = gain[mine]
+        # Document and gain side by side in 8 bytes, so that a posting is one look into memory.
+        self.posting = np.empty((len(gain), 2), np.float32)
+        self.posting[:, 0], self.posting[:, 1] = doc, gain
+        self.posting = self.posting.view(_U)[:, 0]
+        self.error = (len(often) + 8) * 2.0**-22  # of a sum of single floats, as a share of it
+        assert n <= 1 << 24, "a document's place is held as a single float"
 
     def long_lists(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """What the lists in the table give each document, for some queries (term, idf)."""
@@ -178,10 +196,9 @@ class Shard:
         none = np.empty(0, np.int64), np.empty(0)
         if not len(term):
             return none
-        n = len(self.ids)
+        n, over = len(self.ids), 1 + self.error  # a sum times this, and a little, is no less than what it stands for
         long = self.long_lists([(term, idf)])[0] if long is None else long
-        high = long * (1 + self.error) + 1e-9  # no less than the sums
-        of_block = high.reshape(self.n_blocks, self.block).max(1)
+        of_block = long.reshape(self.n_blocks, self.block).max(1)
         whole, every = term, idf
         short = self.row[term] < 0
         term, idf = term[short], idf[short]
@@ -189,7 +206,7 @@ class Shard:
         order = np.argsort(-bound, kind="stable")
         term, idf, bound = term[order], idf[order], bound[order]
         # The pivot: what is in none of the lists before it, but in all after it and the table's, stays below the least score.
-        after = float(of_block.max()) + np.append(np.cumsum(bound[::-1])[::-1], 0.0) + 1e-9
+        after = (float(of_block.max()) + np.append(np.cumsum(bound[::-1])[::-1], 0.0)) * over + 1e-9
         if after[0] < least:
             return none
         pivot = int(np.searchsorted(-after, -least, "right")) if least > 0 else len(term) + 1
@@ -200,52 +217,59 @@ class Shard:
         cells = _spans(at, end)
         room = np.repeat(idf, many) * self.cell_max.take(cells)
         block = self.cell_block.take(cells)
-        alive = np.bincount(block, room, self.n_blocks) + of_block >= least
+        alive = (np.bincount(block, room, self.n_blocks) + of_block) * over + 1e-9 >= least
         if not alive.any():
             return none
+        begin, stop = self.first[term], self.first[term + 1]
+        size = np.cumsum(stop - begin)
+        if not others and pivot and MOSTLY * size[pivot - 1] >= size[-1]:
+            pivot = len(term)  # the lists after the pivot are short beside those before it: read along, they need no second look
         head = int(many[:pivot].sum())
-        weight = np.repeat(idf, many)
-        read = np.flatnonzero(alive[block[:head]])
-        if 3 * len(read) > head:  # few are skipped: a list is one stretch
-            has = self._read(self.first[term[:pivot]], self.first[term[:pivot] + 1], idf[:pivot])
+        if 3 * int(alive.sum()) > self.n_blocks:  # few are skipped: a list is one stretch
+            has = self._read(begin[:pivot], stop[:pivot], idf[:pivot])
         else:
-            has = self._read(self.cell_at[cells[read]], self.cell_at[cells[read] + 1], weight[read])
-        reach = high[:n] + has
+            read = np.flatnonzero(alive[block[:head]])
+            has = self._read(self.cell_at[cells[read]], self.cell_at[cells[read] + 1], np.repeat(idf, many)[read])
+        lists = None if others else has > 0
+        has += long[:n]
         if head < len(cells):
-            reach += np.repeat(np.bincount(block[head:], room[head:], self.n_blocks), self.block)[:n]
+            reach = (has + np.repeat(np.bincount(block[head:], room[head:], self.n_blocks), self.block)[:n]) * over + 1e-9
+        else:
+            reach = has
+            least = max(0.0, (least - 1e-9) / over)
         near = reach >= least
-        near &= (has > 0) | (long[:n] > 0) if others else has > 0
-        found = np.flatnonzero(near & self.known)
-        found = found[alive[found // self.block]]
+        near &= has > 0 if lists is None else lists
+        found = np.flatnonzero(near)
+        if not len(found):
+            return none
+        found = found[self.known[found] & alive[found // self.block]]
         if but is not None:
             found = found[self.ids[found] != but]
         # The k-th best of distinct ids by what they have already is a least score as well.
-        has += long[:n] * (1 - self.error)
-        least = max(least, self._reached(found, has, k) - SLACK)
+        least = max(least, self._reached(found, has, k) * (1 - 2 * self.error) - SLACK)
         found = found[reach[found] >= least]
         if len(found) > FEW and head < len(cells):
             # Many are left: the other lists are read in the blocks that hold them, and the documents' own terms only for those that then reach the least score.
             alive = np.bincount(found // self.block, minlength=self.n_blocks) > 0
             read = head + np.flatnonzero(alive[block[head:]])
-            has += self._read(self.cell_at[cells[read]], self.cell_at[cells[read] + 1], weight[read])
-            least = max(least, self._reached(found, has, k) - SLACK)
-            found = found[has[found] + 2 * self.error * long[found] + 1e-9 >= least]
+            has += self._read(self.cell_at[cells[read]], self.cell_at[cells[read] + 1], np.repeat(idf, many)[read])
+            least = max(least, self._reached(found, has, k) * (1 - 2 * self.error) - SLACK)
+            found = found[has[found] * over + 1e-9 >= least]
         if not len(found):
             return none
         self.weight[whole] = every
-        own = _spans(self.doc_at[found], self.doc_at[found + 1])
-        gains = self.own_gain.take(own) * self.weight.take(self.own_term.take(own))
+        own, size = _spans(self.doc_at[found], self.doc_at[found + 1]), self.doc_at[found + 1] - self.doc_at[found]
+        tf = self.own_tf.take(own).astype(float)
+        gains = tf * (K1 + 1) / (np.repeat(self.norm[found], size) + tf) * self.weight.take(self.own_term.take(own))
         self.weight[whole] = 0
-        begin = np.cumsum(self.doc_at[found + 1] - self.doc_at[found])
-        score = np.add.reduceat(gains, np.concatenate([[0], begin[:-1]]))
+        score = np.add.reduceat(gains, np.cumsum(size) - size)
         ok = score >= least
         return self.ids[found[ok]], np.round(score[ok], 6)
 
     def _read(self, first: np.ndarray, end: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """What the postings of some stretches of lists give each document."""
-        postings = _spans(first, end)
-        both = self.posting.take(postings, 0)
-        return np.bincount(both[:, 0].astype(np.intp), both[:, 1] * np.repeat(weight, end - first), len(self.ids)).astype(float)  # of no postings it counts integers
+        both = self.posting.take(_spans(first, end)).view(np.float32).reshape(-1, 2)
+        return np.bincount(both[:, 0].astype(np.intp), both[:, 1] * np.repeat(weight, end - first), len(self.ids)).astype(float, copy=False)  # of no postings it counts integers
 
     def _reached(self, found: np.ndarray, has: np.ndarray, k: int) -> float:
         """The k-th largest of `has` over distinct ids; 0 if there are fewer."""
@@ -291,10 +315,11 @@ def answer(index: DataFrame, asked: Asked, mean: float, k: int, least: np.ndarra
     def run(batches):
         asked, least = sent.value
         least, best = least.copy(), {}
+        shard = None
         for batch in batches:
             for row in range(batch.num_rows):
-                names, first, doc, tf, words, ids = (batch.column(c)[row].as_py() for c in range(1, 7))
-                shard = Shard(names, first, doc, tf, words, ids, mean, BLOCK)
+                shard = None  # one at a time
+                shard = Shard(*(batch.column(c)[row].as_buffer() for c in range(1, 6)), batch.column(6)[row].values, mean, BLOCK)
                 place = np.minimum(np.searchsorted(shard.names, asked.names), len(shard.names) - 1) if len(shard.names) else np.zeros(len(asked.names), np.int64)
                 place[shard.names[place] != asked.names if len(shard.names) else slice(None)] = -1
                 for begin in range(0, len(asked.ids), TOGETHER):
