@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinweave.functions.keys import tokens
-from kinweave.functions.similarity import name_similarities_udf, similarities_udf
+from kinweave.functions.similarity import address_edits_udf, name_edits_udf
 
 #: Feature names in model order.
 FEATURES = (
@@ -44,13 +44,13 @@ def _digits(c: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(c, F.lit(r"(\p{Nd}+)"), F.lit(1)))
 
 
-def _native(side: str, a: Column, b: Column) -> dict[str, Column]:
+def _native(side: str, a: Column, b: Column, distance: Column) -> dict[str, Column]:
     la, lb = F.length(a), F.length(b)
     jaccard, containment, shared = _sets(tokens(a), tokens(b))
     most = F.greatest(la, lb)
     out = {
         f"{side}_exact": _equal(a, b),
-        f"{side}_lev": F.when(most == 0, 1.0).otherwise(1 - F.levenshtein(a, b) / most),
+        f"{side}_lev": F.when(most == 0, 1.0).otherwise(1 - distance / most),
         f"{side}_jaccard": jaccard,
         f"{side}_containment": containment,
         f"{side}_shared_tokens": shared,
@@ -71,8 +71,8 @@ def _native(side: str, a: Column, b: Column) -> dict[str, Column]:
     return out
 
 
-def native_features(pairs: DataFrame) -> DataFrame:
-    """All features but the edit similarities; pairs as made by pair_table."""
+def native_features(pairs: DataFrame, distances: dict[str, Column] | None = None) -> DataFrame:
+    """All features but the edit similarities; pairs as made by pair_table. distances: edit distances by side, if they are there."""
     c = F.col
     s1, s2 = c("s1_country"), c("cand_country")
     country = {
@@ -85,13 +85,16 @@ def native_features(pairs: DataFrame) -> DataFrame:
         "cand_is_s3": _flag(c("cand_id").startswith("S3-")),
         "n_candidates_for_s1": c("n_cands").cast("double"),
     }
-    return pairs.withColumns(_native("name", c("s1_name"), c("cand_name")) | _native("addr", c("s1_addr"), c("cand_addr")) | country)
+    sides = {side: (c(f"s1_{side}"), c(f"cand_{side}")) for side in ("name", "addr")}
+    native = {side: _native(side, a, b, distances[side] if distances else F.levenshtein(a, b)) for side, (a, b) in sides.items()}
+    return pairs.withColumns(native["name"] | native["addr"] | country)
 
 
 def pair_features(pairs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """(s1_id, cand_id, extra columns, 47 floats). Thresholds are taken before the cast to float."""
     c = F.col
-    out = native_features(pairs).withColumns({"_n": name_similarities_udf("s1_name", "cand_name"), "_a": similarities_udf("s1_addr", "cand_addr")})
+    out = pairs.withColumns({"_n": name_edits_udf("s1_name", "cand_name"), "_a": address_edits_udf("s1_addr", "cand_addr")})
+    out = native_features(out, {"name": c("_n.distance"), "addr": c("_a.distance")})
     out = out.withColumns({f"{side}_{f}": c(f"_{side[0]}.{k}") for side in ("name", "addr") for f, k in (("jw", "w"), ("ratio", "ratio"), ("token_sort", "token_sort"), ("token_set", "token_set"))} | {"name_partial": c("_n.partial")})
     n, a = c("name_jw"), c("addr_jw")
     same = c("country_exact") == 1
