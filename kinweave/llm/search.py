@@ -43,12 +43,14 @@ K1, B = 1.2, 0.75
 TOP_K, QUERIES, TERMS = 10, 8192, 4_000_000
 #: Documents and postings of a shard, documents of a block; one shard in SAMPLED gives the first least scores.
 SHARD, POSTINGS, BLOCK, SAMPLED = 8192, 2_000_000, 1024, 16
-#: A list of one in LONG of a shard's documents or more stands in the table as well; so many queries meet it at a time.
+#: A list of one in LONG of a block's documents or more stands in the block's table; so many queries meet it at a time.
 LONG, TOGETHER = 16, 256
-#: So many documents are scored whole at once, without a look at the lists after the pivot.
+#: So many documents of a block are scored whole at once, without a look at the lists after the pivot.
 FEW = 4
+#: Documents of a shard, and queries of a block, are put together by so many kinds of frequent terms at most.
+KINDS = 8
 #: Lists after the pivot are read along with those before it if all of them hold at most so many times the postings of those before it.
-MOSTLY = 2
+MOSTLY = 8
 #: Scores are compared rounded to 6 digits: one that is lower by less than this may round to the same.
 SLACK = 1e-6
 _U = np.uint64
@@ -82,6 +84,35 @@ def _wide(x, n: int) -> np.ndarray:
     return np.frombuffer(x, f"<u{len(memoryview(x)) // n}") if n else np.empty(0, np.uint8)
 
 
+def alike(doc: np.ndarray, term: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """An order of texts, given as postings (text, term), that puts texts of the same frequent terms together, by length: languages fall apart."""
+    n = len(words)
+    df = np.bincount(term)
+    often = df[term] * 64 >= n
+    doc, term = doc[often], np.unique(term[often], return_inverse=True)[1]
+    v = int(term.max(initial=-1)) + 1
+    left, kind = np.ones(n, bool), np.full(n, -1)
+    for c in range(KINDS):  # each kind begins as what holds the most frequent term of what is left
+        mine = left[doc]
+        if not mine.any():
+            break
+        count = np.bincount(term[mine], minlength=v)
+        first = int(count.argmax())
+        if 64 * count[first] < n:
+            break
+        has = doc[term == first]
+        has = has[left[has]]
+        left[has], kind[has] = False, c
+    kinds = int(kind.max(initial=-1)) + 1
+    if kinds > 1:  # and then takes what is likelier with its terms
+        at, held = kind[doc], []
+        for c in range(kinds):
+            count = np.bincount(term[at == c], minlength=v) + 0.1
+            held.append(np.bincount(doc, np.log(count / count.sum())[term], n))
+        kind = np.argmax(held, axis=0)
+    return np.lexsort((words, kind))
+
+
 def build_shard(ids: list, docs: list[tuple]) -> dict[str, object]:
     """The columns of a shard; docs as from term_counts."""
     n = len(docs)
@@ -89,14 +120,7 @@ def build_shard(ids: list, docs: list[tuple]) -> dict[str, object]:
     names, term, df = np.unique(np.concatenate([d[0] for d in docs]), return_inverse=True, return_counts=True)
     term, tf = term.astype(np.int32), np.concatenate([d[1] for d in docs])
     words = np.array([d[2] for d in docs], np.int64)
-    # Documents that hold the same frequent terms stand together, by length, so that block maxima are close to what their documents reach.
-    often = np.flatnonzero(df <= 0.7 * n)
-    often = often[np.argsort(-df[often], kind="stable")[:24]]
-    rank = np.full(len(names), -1)
-    rank[often] = np.arange(len(often))
-    mine = rank[term] >= 0
-    code = np.bincount(doc[mine], 2.0 ** (len(often) - 1 - rank[term[mine]]), n)
-    order = np.lexsort((words, code))
+    order = alike(doc, term, words)  # so that block maxima are close to what their documents reach
     place = np.empty(n, np.int32)
     place[order] = np.arange(n, dtype=np.int32)
     doc = place[doc]
@@ -134,150 +158,185 @@ def build_index(docs: DataFrame) -> DataFrame:
 
 
 class Shard:
-    """One shard, scored by the global mean length; a term's idf is the query's."""
+    """One shard, scored by the global mean length; a term's idf is the query's. Its lists are cut into blocks of documents; a list's part in a block is a cell."""
 
     def __init__(self, names, first, doc, tf, words, ids, mean: float, block: int = BLOCK):
         self.block = block
-        self.names, self.first = np.frombuffer(names, _U), np.frombuffer(first, "<u4").astype(np.int64)
-        doc, tf = (_wide(x, int(self.first[-1])) for x in (doc, tf))
+        self.names, first = np.frombuffer(names, _U), np.frombuffer(first, "<u4").astype(np.int64)
+        doc, tf = (_wide(x, int(first[-1])) for x in (doc, tf))
         ids = ids if isinstance(ids, pa.Array) else pa.array(ids, pa.int64())
         self.known, self.ids = ids.is_valid().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy()
-        n = len(self.ids)
+        n, v = len(self.ids), len(self.names)
         self.norm = K1 * (1 - B + B * np.frombuffer(words, "<u4") / mean)
-        gain = self.norm.astype(np.float32).take(doc)
-        gain += tf
-        np.divide(tf * np.float32(K1 + 1), gain, gain)
-        # Blocks of lists, in the order of the postings: (list, block) with the largest gain.
-        term = np.repeat(np.arange(len(self.names), dtype=np.int32), np.diff(self.first))
-        self.n_blocks = -(-n // block)
-        in_block = doc // np.int32(block)
-        new = np.ones(len(term), bool)
-        new[1:] = in_block[1:] != in_block[:-1]
-        new[self.first[:-1]] = True
-        cell_at = np.flatnonzero(new)
-        self.cell_at = np.append(cell_at, len(term))
-        self.cell_block = in_block[cell_at].astype(np.intp)
-        del in_block, new
-        self.cell_max = np.maximum.reduceat(gain, cell_at) if len(term) else np.empty(0)
-        self.cell_first = np.searchsorted(cell_at, self.first)
-        self.most = np.maximum.reduceat(gain, self.first[:-1]) if len(term) else np.empty(0)
+        term = np.repeat(np.arange(v, dtype=np.int32), np.diff(first))
         # The documents' own terms, in the order of the terms' names in every shard.
         by_doc = np.argsort(doc, kind="stable")
         self.own_term, self.own_tf = term[by_doc], tf[by_doc]
-        del by_doc, term
+        del by_doc
         self.doc_at = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=n))])
-        self.weight = np.zeros(len(self.names))  # idf of the query's terms, else 0
-        # Lists of many of the documents stand as rows of a table, too.
-        often = np.flatnonzero(np.diff(self.first) * LONG >= max(n, 64))
-        self.row = np.full(len(self.names), -1, np.int32)
-        self.row[often] = np.arange(len(often), dtype=np.int32)
-        self.table = np.zeros((len(often), self.n_blocks * block), np.float32)
-        for r, t in enumerate(often.tolist()):
-            mine = slice(self.first[t], self.first[t + 1])
-            self.table[r, doc[mine]] = gain[mine]
-        # Document and gain side by side in 8 bytes, so that a posting is one look into memory.
-        self.posting = np.empty((len(gain), 2), np.float32)
-        self.posting[:, 0], self.posting[:, 1] = doc, gain
-        self.posting = self.posting.view(_U)[:, 0]
-        self.error = (len(often) + 8) * 2.0**-22  # of a sum of single floats, as a share of it
+        self.weight = np.zeros(v)  # idf of the query's terms, else 0
+        gain = self.norm.astype(np.float32).take(doc)
+        gain += tf
+        np.divide(tf * np.float32(K1 + 1), gain, gain)
+        # Block by block: each cell's largest gain, its row in the table if it holds many of the block's documents, else where its postings are.
+        self.n_blocks = -(-n // block)
+        self.cell_max = np.zeros((self.n_blocks, v), np.float32)
+        self.row = np.full((self.n_blocks, v), -1, np.int32)
+        self.at = np.zeros((self.n_blocks, v + 1), np.int32)
+        self.posting, self.tables = [], []
+        for b in range(self.n_blocks):
+            width = min(block, n - b * block)
+            mine = (doc >= b * block) & (doc < b * block + width)
+            t, g, d = term[mine], gain[mine], doc[mine]
+            del mine
+            if b + 1 == self.n_blocks:
+                del term, gain, doc
+            d = d.astype(np.float32)
+            d -= b * block
+            size = np.bincount(t, minlength=v)
+            start = np.cumsum(size) - size
+            some = np.flatnonzero(size)
+            if len(some):
+                self.cell_max[b, some] = np.maximum.reduceat(g, start[some])
+            often = np.flatnonzero(size * LONG >= max(width, 64))
+            self.row[b, often] = np.arange(len(often))
+            rows = np.zeros((len(often), width), np.float32)
+            for r, (x, y) in enumerate(zip(start[often].tolist(), (start + size)[often].tolist(), strict=True)):
+                rows[r, d[x:y].astype(np.intp)] = g[x:y]
+            self.tables.append(rows)
+            del start, some
+            size[often] = 0
+            np.cumsum(size, out=self.at[b, 1:])
+            short = self.row[b].take(t) < 0
+            # Document and gain side by side in 8 bytes, so that a posting is one look into memory.
+            held = np.empty((int(self.at[b, -1]), 2), np.float32)
+            held[:, 0], held[:, 1] = d[short], g[short]
+            self.posting.append(held.view(_U)[:, 0])
+            del t, g, d, short
+        self.error = (max((len(x) for x in self.tables), default=0) + 8) * 2.0**-22  # of a sum of single floats, as a share of it
         assert n <= 1 << 24, "a document's place is held as a single float"
 
-    def long_lists(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """What the lists in the table give each document, for some queries (term, idf)."""
-        weight = np.zeros((len(queries), len(self.table)), np.float32)
-        for q, (term, idf) in enumerate(queries):
-            row = self.row[term]
-            weight[q, row[row >= 0]] = idf[row >= 0]
-        return weight @ self.table
-
-    def search(self, term: np.ndarray, idf: np.ndarray, k: int, least: float, but: int | None = None, long: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores rounded) of the documents that may be among the k best distinct ids and reach `least`; never the id `but`. term: places in names; long: the query's row of long_lists."""
-        least = max(0.0, least - SLACK)  # what rounds to the same score isn't lost
-        none = np.empty(0, np.int64), np.empty(0)
-        if not len(term):
-            return none
-        n, over = len(self.ids), 1 + self.error  # a sum times this, and a little, is no less than what it stands for
-        long = self.long_lists([(term, idf)])[0] if long is None else long
-        of_block = long.reshape(self.n_blocks, self.block).max(1)
-        whole, every = term, idf
-        short = self.row[term] < 0
-        term, idf = term[short], idf[short]
-        bound = idf * self.most[term]
-        order = np.argsort(-bound, kind="stable")
-        term, idf, bound = term[order], idf[order], bound[order]
-        # The pivot: what is in none of the lists before it, but in all after it and the table's, stays below the least score.
-        after = (float(of_block.max()) + np.append(np.cumsum(bound[::-1])[::-1], 0.0)) * over + 1e-9
-        if after[0] < least:
-            return none
-        pivot = int(np.searchsorted(-after, -least, "right")) if least > 0 else len(term) + 1
-        others = pivot > len(term)  # even with the table's lists alone
-        # Blocks that can reach the least score; the others are skipped by all lists.
-        at, end = self.cell_first[term], self.cell_first[term + 1]
-        many = end - at
-        cells = _spans(at, end)
-        room = np.repeat(idf, many) * self.cell_max.take(cells)
-        block = self.cell_block.take(cells)
-        alive = (np.bincount(block, room, self.n_blocks) + of_block) * over + 1e-9 >= least
+    @property
+    def table(self) -> np.ndarray:
+        return np.concatenate([x.ravel() for x in self.tables]) if self.tables else np.empty(0, np.float32)
+
+    def search(self, term: np.ndarray, idf: np.ndarray, k: int, least: float, but: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """search_all for one query."""
+        for _, ids, score in self.search_all(term, idf, np.array([0, len(term)]), k, np.array([least]), [but]):
+            return ids, score
+        return np.empty(0, np.int64), np.empty(0)
+
+    def search_all(self, term: np.ndarray, idf: np.ndarray, first: np.ndarray, k: int, least: np.ndarray, but: list):
+        """For queries side by side, (query, ids, scores rounded) of the documents that may be among the k best distinct ids and reach `least`; never the id in `but`.
+
+        term: places in names; first: where each query's terms begin, best with the rarest first.
+        """
+        least = np.maximum(0.0, least - SLACK)  # what rounds to the same score isn't lost
+        owner = np.repeat(np.arange(len(least)), np.diff(first))
+        found = [[] for _ in least]
+        for b in range(self.n_blocks):
+            for q, places in self._block(b, term, idf, owner, k, least, but):
+                found[q].append(places)
+        for q, places in enumerate(found):
+            if not places:
+                continue
+            places = np.concatenate(places)
+            mine = slice(first[q], first[q + 1])
+            self.weight[term[mine]] = idf[mine]
+            size = self.doc_at[places + 1] - self.doc_at[places]
+            own = _spans(self.doc_at[places], self.doc_at[places + 1])
+            tf = self.own_tf.take(own).astype(float)
+            gains = tf * (K1 + 1) / (np.repeat(self.norm[places], size) + tf) * self.weight.take(self.own_term.take(own))
+            self.weight[term[mine]] = 0
+            score = np.add.reduceat(gains, np.cumsum(size) - size)
+            ok = score >= least[q]
+            if ok.any():
+                yield q, self.ids[places[ok]], np.round(score[ok], 6)
+
+    def _block(self, b: int, term: np.ndarray, idf: np.ndarray, owner: np.ndarray, k: int, least: np.ndarray, but: list):
+        """(query, places) of a block's documents that may reach `least`, which rises with what they have."""
+        over, many = 1 + self.error, len(least)  # a sum times this, and a little, is no less than what it stands for
+        # A block whose maxima together stay below a query's least score is skipped by all its lists.
+        most = self.cell_max[b].take(term)
+        here = np.flatnonzero(most)
+        q = owner[here]
+        bound = idf[here] * most[here]
+        alive = np.bincount(q, bound, many) * over + 1e-9 >= np.maximum(least, 1e-8)
         if not alive.any():
-            return none
-        begin, stop = self.first[term], self.first[term + 1]
-        size = np.cumsum(stop - begin)
-        if not others and pivot and MOSTLY * size[pivot - 1] >= size[-1]:
-            pivot = len(term)  # the lists after the pivot are short beside those before it: read along, they need no second look
-        head = int(many[:pivot].sum())
-        if 3 * int(alive.sum()) > self.n_blocks:  # few are skipped: a list is one stretch
-            has = self._read(begin[:pivot], stop[:pivot], idf[:pivot])
-        else:
-            read = np.flatnonzero(alive[block[:head]])
-            has = self._read(self.cell_at[cells[read]], self.cell_at[cells[read] + 1], np.repeat(idf, many)[read])
-        lists = None if others else has > 0
-        has += long[:n]
-        if head < len(cells):
-            reach = (has + np.repeat(np.bincount(block[head:], room[head:], self.n_blocks), self.block)[:n]) * over + 1e-9
-        else:
-            reach = has
-            least = max(0.0, (least - 1e-9) / over)
-        near = reach >= least
-        near &= has > 0 if lists is None else lists
-        found = np.flatnonzero(near)
-        if not len(found):
-            return none
-        found = found[self.known[found] & alive[found // self.block]]
-        if but is not None:
-            found = found[self.ids[found] != but]
-        # The k-th best of distinct ids by what they have already is a least score as well.
-        least = max(least, self._reached(found, has, k) * (1 - 2 * self.error) - SLACK)
-        found = found[reach[found] >= least]
-        if len(found) > FEW and head < len(cells):
-            # Many are left: the other lists are read in the blocks that hold them, and the documents' own terms only for those that then reach the least score.
-            alive = np.bincount(found // self.block, minlength=self.n_blocks) > 0
-            read = head + np.flatnonzero(alive[block[head:]])
-            has += self._read(self.cell_at[cells[read]], self.cell_at[cells[read] + 1], np.repeat(idf, many)[read])
-            least = max(least, self._reached(found, has, k) * (1 - 2 * self.error) - SLACK)
-            found = found[has[found] * over + 1e-9 >= least]
-        if not len(found):
-            return none
-        self.weight[whole] = every
-        own, size = _spans(self.doc_at[found], self.doc_at[found + 1]), self.doc_at[found + 1] - self.doc_at[found]
-        tf = self.own_tf.take(own).astype(float)
-        gains = tf * (K1 + 1) / (np.repeat(self.norm[found], size) + tf) * self.weight.take(self.own_term.take(own))
-        self.weight[whole] = 0
-        score = np.add.reduceat(gains, np.cumsum(size) - size)
-        ok = score >= least
-        return self.ids[found[ok]], np.round(score[ok], 6)
-
-    def _read(self, first: np.ndarray, end: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        """What the postings of some stretches of lists give each document."""
-        both = self.posting.take(_spans(first, end)).view(np.float32).reshape(-1, 2)
-        return np.bincount(both[:, 0].astype(np.intp), both[:, 1] * np.repeat(weight, end - first), len(self.ids)).astype(float, copy=False)  # of no postings it counts integers
-
-    def _reached(self, found: np.ndarray, has: np.ndarray, k: int) -> float:
-        """The k-th largest of `has` over distinct ids; 0 if there are fewer."""
+            return
+        if not alive.all():
+            keep = alive[q]
+            here, q, bound = here[keep], q[keep], bound[keep]
+        live = np.flatnonzero(alive)
+        q = (np.cumsum(alive) - 1)[q]
+        term, idf, floor, many = term[here], idf[here], least[live], len(live)
+        # What the cells in the table give, for all queries and documents as one product.
+        row, table = self.row[b].take(term), self.tables[b]
+        long = row >= 0
+        weight = np.zeros((many, len(table)), np.float32)
+        weight[q[long], row[long]] = idf[long]
+        used = weight.any(0)
+        has = weight @ table if 4 * used.sum() > 3 * len(table) else weight[:, used] @ table[used]
+        top = has.max(1).astype(float)
+        short = ~long
+        term, idf, bound, q = term[short], idf[short], bound[short], q[short]
+        # The pivot: what is in none of the lists before it, but in all after it and the table's, stays below the least score.
+        all_of = np.bincount(q, bound, many)
+        after = top[q] + np.cumsum(all_of)[q] - np.cumsum(bound) + bound
+        head = after * over + 1e-6 >= floor[q]
+        begin = self.at[b].take(term).astype(np.int64)
+        size = self.at[b].take(term + 1) - begin
+        # Lists after the pivot are read along, which saves a second look, unless they hold most of the postings.
+        along = MOSTLY * np.bincount(q, size * head, many) >= np.bincount(q, size, many)
+        read = head | along[q]
+        read &= ((top + all_of) * over + 1e-6 >= floor)[q]
+        rest = np.where(along, 0.0, all_of - np.bincount(q, bound * head, many))
+        width = table.shape[1]
+
+        def add(has, read):  # what the lists read give
+            n = size[read]
+            both = self.posting[b].take(_spans(begin[read], begin[read] + n)).view(np.float32).reshape(-1, 2)
+            at = both[:, 0].astype(np.intp)
+            at += np.repeat(q[read] * width, n)
+            return np.bincount(at, both[:, 1] * np.repeat(idf[read].astype(np.float32), n), many * width).reshape(many, width) + has
+
+        def reach(has):
+            return np.flatnonzero(has >= np.maximum((floor - 1e-6) / over - rest, 1e-12)[:, None])
+
+        has = add(has, read)
+        near = reach(has)
+        again = (rest > 0) & (np.bincount(near // width, minlength=many) > FEW)
+        if again.any():  # many are left: the other lists are read as well, before documents are scored whole
+            has = add(has, again[q] & ~read)
+            rest[again] = 0
+            near = reach(has)
+        if not len(near):
+            return
+        of, near = near // width, near % width + b * self.block
+        known = self.known[near]
+        of, near = of[known], near[known]
+        edge = np.searchsorted(of, np.arange(many + 1))
+        for i in np.flatnonzero(np.diff(edge)).tolist():
+            g, places = int(live[i]), near[edge[i] : edge[i + 1]]
+            if but[g] is not None:
+                places = places[self.ids[places] != but[g]]
+            # The k-th best of distinct ids by what they have already is a least score as well.
+            if len(places) > k:
+                mine = has[i].take(places - b * self.block)
+                reached = self._reached(np.arange(len(places)), mine, k, places) * (1 - 2 * self.error) - SLACK
+                if reached > least[g]:
+                    least[g] = reached
+                    places = places[mine + rest[i] >= (reached - 1e-6) / over]
+            if len(places):
+                yield g, places
+
+    def _reached(self, found: np.ndarray, has: np.ndarray, k: int, places: np.ndarray) -> float:
+        """The k-th largest of `has` over distinct ids of the documents at `places`; 0 if there are fewer."""
         many = 2 * k
         while len(found) >= k:
             some = found if len(found) <= many else found[np.argpartition(-has[found], many - 1)[:many]]
             some = some[np.argsort(-has[some], kind="stable")]
-            _, once = np.unique(self.ids[some], return_index=True)
+            _, once = np.unique(self.ids[places[some]], return_index=True)
             if len(once) >= k:
                 return float(has[some[np.sort(once)[k - 1]]])
             if len(some) == len(found):
@@ -296,16 +355,21 @@ def best_of(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np
 
 
 class Asked:
-    """A block of queries: the terms of all, with their idf, and each query's as places among them."""
+    """A block of queries: the terms of all, with their idf, and each query's as places among them, the rarest first. Like queries stand together."""
 
     def __init__(self, rows: list, n: int):
-        self.ids = [r["doc_id"] for r in rows]
         terms = [np.array(r["terms"], np.int64).view(_U) for r in rows]
         df = np.concatenate([np.array(r["dfs"], float) for r in rows]) if rows else np.empty(0)
+        size = np.array([len(x) for x in terms], np.int64)
         self.names, first, at = np.unique(np.concatenate(terms) if terms else np.empty(0, _U), return_index=True, return_inverse=True)
         self.idf = np.log1p((n - df[first] + 0.5) / (df[first] + 0.5))
-        self.at = at.astype(np.int32)
-        self.first = np.concatenate([[0], np.cumsum([len(x) for x in terms])]).astype(np.int64)
+        owner = np.repeat(np.arange(len(rows)), size)
+        order = alike(owner, at, size)
+        place = np.empty(len(rows), np.int64)
+        place[order] = np.arange(len(rows))
+        self.ids = [rows[i]["doc_id"] for i in order.tolist()]
+        self.at = at[np.lexsort((-self.idf[at], place[owner]))].astype(np.int32)
+        self.first = np.concatenate([[0], np.cumsum(size[order])]).astype(np.int64)
 
 
 def answer(index: DataFrame, asked: Asked, mean: float, k: int, least: np.ndarray) -> DataFrame:
@@ -322,19 +386,20 @@ def answer(index: DataFrame, asked: Asked, mean: float, k: int, least: np.ndarra
                 shard = Shard(*(batch.column(c)[row].as_buffer() for c in range(1, 6)), batch.column(6)[row].values, mean, BLOCK)
                 place = np.minimum(np.searchsorted(shard.names, asked.names), len(shard.names) - 1) if len(shard.names) else np.zeros(len(asked.names), np.int64)
                 place[shard.names[place] != asked.names if len(shard.names) else slice(None)] = -1
+                place = place.astype(np.int32)
                 for begin in range(0, len(asked.ids), TOGETHER):
-                    some = range(begin, min(begin + TOGETHER, len(asked.ids)))
-                    mine = [asked.at[asked.first[q] : asked.first[q + 1]] for q in some]
-                    here = [place[x] for x in mine]
-                    mine = [(h[h >= 0], asked.idf[x[h >= 0]]) for x, h in zip(mine, here, strict=True)]
-                    for q, (term, idf), long in zip(some, mine, shard.long_lists(mine), strict=True):
-                        found, score = shard.search(term, idf, k, float(least[q]), asked.ids[q], long)
-                        if len(found):
-                            if q in best:
-                                found, score = np.concatenate([best[q][0], found]), np.concatenate([best[q][1], score])
-                            best[q] = found, score = best_of(found, score, k)
-                            if len(found) == k:
-                                least[q] = max(least[q], score[-1])
+                    end = min(begin + TOGETHER, len(asked.ids))
+                    at = asked.at[asked.first[begin] : asked.first[end]]
+                    term = place.take(at)
+                    here = term >= 0
+                    first = np.append(0, np.cumsum(here))[asked.first[begin : end + 1] - asked.first[begin]]
+                    for q, found, score in shard.search_all(term[here], asked.idf.take(at[here]), first, k, least[begin:end], asked.ids[begin:end]):
+                        q += begin
+                        if q in best:
+                            found, score = np.concatenate([best[q][0], found]), np.concatenate([best[q][1], score])
+                        best[q] = found, score = best_of(found, score, k)
+                        if len(found) == k:
+                            least[q] = max(least[q], score[-1])
         of = [np.full(len(x[0]), asked.ids[q], np.int64) for q, x in best.items()]
         parts = [np.concatenate(x) if x else np.empty(0, t) for x, t in ((of, np.int64), ([x[0] for x in best.values()], np.int64), ([x[1] for x in best.values()], float))]
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in parts], ["query_id", "doc_id", "score"])
