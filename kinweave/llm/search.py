@@ -51,10 +51,12 @@ FEW = 4
 KINDS = 8
 #: Lists after the pivot are read along with those before it if all of them hold at most so many times the postings of those before it.
 MOSTLY = 8
+#: Texts of several rows up to so many are broadcast by their hashes; more are shuffled to the texts.
+SENT = 500_000
 #: Scores are compared rounded to 6 digits: one that is lower by less than this may round to the same.
 SLACK = 1e-6
 _U = np.uint64
-INDEX = "shard long, names binary, first binary, doc binary, tf binary, words binary, ids array<long>"
+INDEX = "shard long, names binary, first binary, doc binary, tf binary, words binary, ids array<long>, many binary"
 
 
 def term_counts(texts):
@@ -113,8 +115,8 @@ def alike(doc: np.ndarray, term: np.ndarray, words: np.ndarray) -> np.ndarray:
     return np.lexsort((words, kind))
 
 
-def build_shard(ids: list, docs: list[tuple]) -> dict[str, object]:
-    """The columns of a shard; docs as from term_counts."""
+def build_shard(ids: list, docs: list[tuple], many: list | None = None) -> dict[str, object]:
+    """The columns of a shard; docs as from term_counts; many: how many rows each stands for."""
     n = len(docs)
     doc = np.repeat(np.arange(n, dtype=np.int32), [len(d[0]) for d in docs])
     names, term, df = np.unique(np.concatenate([d[0] for d in docs]), return_inverse=True, return_counts=True)
@@ -128,33 +130,57 @@ def build_shard(ids: list, docs: list[tuple]) -> dict[str, object]:
     return {
         "names": names.tobytes(), "first": np.concatenate([[0], np.cumsum(df)]).astype("<u4").tobytes(), "doc": _narrow(doc[by_term]),
         "tf": _narrow(tf[by_term]), "words": words[order].astype("<u4").tobytes(), "ids": [ids[i] for i in order.tolist()],
-    }
+    } | ({} if many is None else {"many": np.array(many, "<u4")[order].tobytes()})
 
 
 def build_index(docs: DataFrame) -> DataFrame:
-    """INDEX rows, one a shard."""
+    """INDEX rows, one a shard, of (doc_id, text, many)."""
 
     def run(batches):
         at, made = TaskContext.get().partitionId() << 24, 0
-        ids, held, many = [], [], 0
+        ids, held, many, postings = [], [], [], 0
 
         def flush():
-            return pa.RecordBatch.from_pylist([{"shard": at + made} | build_shard(ids, held)], schema)
+            return pa.RecordBatch.from_pylist([{"shard": at + made} | build_shard(ids, held, many)], schema)
 
-        schema = pa.schema([("shard", pa.int64()), *((c, pa.binary()) for c in ("names", "first", "doc", "tf", "words")), ("ids", pa.list_(pa.int64()))])
+        schema = pa.schema([("shard", pa.int64()), *((c, pa.binary()) for c in ("names", "first", "doc", "tf", "words")), ("ids", pa.list_(pa.int64())), ("many", pa.binary())])
         for batch in batches:
-            for i, d in zip(batch.column(0).to_pylist(), term_counts(batch.column(1)), strict=True):
-                if held and (len(held) == SHARD or many + len(d[0]) > POSTINGS):
+            for i, d, n in zip(batch.column(0).to_pylist(), term_counts(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+                if held and (len(held) == SHARD or postings + len(d[0]) > POSTINGS):
                     yield flush()
                     made += 1
-                    ids, held, many = [], [], 0
+                    ids, held, many, postings = [], [], [], 0
                 ids.append(i)
                 held.append(d)
-                many += len(d[0])
+                many.append(n)
+                postings += len(d[0])
         if held:
             yield flush()
 
-    return docs.select("doc_id", "text").mapInArrow(run, INDEX)
+    return docs.select("doc_id", "text", "many").mapInArrow(run, INDEX)
+
+
+def _named(text):
+    """Equal texts by 128 bits; null: an empty text."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
+def copies_of(docs: DataFrame, k: int) -> DataFrame:
+    """(h, doc_id, n, ids): each text of several rows, its smallest doc_id, its rows, its k smallest ids. Texts with an id that other rows have as well are left out: their rows stand for themselves."""
+    named = materialize(docs.select("doc_id", _named(F.col("text")).alias("h")))
+    known = named.where("doc_id is not null")
+    several = named.groupBy("h").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id")).where("n > 1 and doc_id is not null")
+    repeated = known.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1")
+    first = known.withColumn("rank", F.row_number().over(W.partitionBy("h").orderBy("doc_id"))).where(F.col("rank") <= k)
+    first = first.groupBy("h").agg(F.sort_array(F.collect_list("doc_id")).alias("ids"))
+    return materialize(several.join(first, "h").join(known.join(repeated, "doc_id").select("h").distinct(), "h", "left_anti"))
+
+
+def _once(docs: DataFrame, copies: DataFrame) -> DataFrame:
+    """(doc_id, text, many): one row for each text of `copies`, all other rows as they are."""
+    few = copies.select("h", F.col("doc_id").alias("first"), F.col("n").alias("many"))
+    few = few.hint("broadcast" if copies.count() <= SENT else "shuffle_hash")
+    return docs.withColumn("h", _named(F.col("text"))).join(few, "h", "left").where("first is null or doc_id = first").select("doc_id", "text", F.coalesce("many", F.lit(1)).alias("many"))
 
 
 class Shard:
@@ -357,18 +383,16 @@ def best_of(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np
 class Asked:
     """A block of queries: the terms of all, with their idf, and each query's as places among them, the rarest first. Like queries stand together."""
 
-    def __init__(self, rows: list, n: int):
-        terms = [np.array(r["terms"], np.int64).view(_U) for r in rows]
-        df = np.concatenate([np.array(r["dfs"], float) for r in rows]) if rows else np.empty(0)
-        size = np.array([len(x) for x in terms], np.int64)
-        self.names, first, at = np.unique(np.concatenate(terms) if terms else np.empty(0, _U), return_index=True, return_inverse=True)
-        self.idf = np.log1p((n - df[first] + 0.5) / (df[first] + 0.5))
-        owner = np.repeat(np.arange(len(rows)), size)
+    def __init__(self, ids: list, size: np.ndarray, terms: np.ndarray, names: np.ndarray, df: np.ndarray, n: int):
+        """size: of each query's terms, which stand one query after the other; names: all terms, sorted, with their frequencies."""
+        self.names, self.idf = names, np.log1p((n - df + 0.5) / (df + 0.5))
+        at = np.searchsorted(names, terms).astype(np.int32)
+        owner = np.repeat(np.arange(len(size), dtype=np.int32), size)
         order = alike(owner, at, size)
-        place = np.empty(len(rows), np.int64)
-        place[order] = np.arange(len(rows))
-        self.ids = [rows[i]["doc_id"] for i in order.tolist()]
-        self.at = at[np.lexsort((-self.idf[at], place[owner]))].astype(np.int32)
+        place = np.empty(len(size), np.int32)
+        place[order] = np.arange(len(size), dtype=np.int32)
+        self.ids = [ids[i] for i in order.tolist()]
+        self.at = at[np.lexsort((-self.idf.astype(np.float32)[at], place[owner]))]
         self.first = np.concatenate([[0], np.cumsum(size[order])]).astype(np.int64)
 
 
@@ -393,7 +417,7 @@ def answer(index: DataFrame, asked: Asked, mean: float, k: int, least: np.ndarra
                     term = place.take(at)
                     here = term >= 0
                     first = np.append(0, np.cumsum(here))[asked.first[begin : end + 1] - asked.first[begin]]
-                    for q, found, score in shard.search_all(term[here], asked.idf.take(at[here]), first, k, least[begin:end], asked.ids[begin:end]):
+                    for q, found, score in shard.search_all(term[here], asked.idf.take(at[here]), first, k, least[begin:end], [None] * (end - begin)):
                         q += begin
                         if q in best:
                             found, score = np.concatenate([best[q][0], found]), np.concatenate([best[q][1], score])
@@ -428,22 +452,26 @@ def _frequencies(index: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for names, first in zip(batch.column(0), batch.column(1), strict=True):
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(names.as_py(), np.int64)), pa.array(np.diff(np.frombuffer(first.as_py(), "<u4").astype(np.int64)))], ["term", "df"])
+            for names, first, doc, many in zip(*batch.columns, strict=True):
+                first, many = np.frombuffer(first.as_py(), "<u4").astype(np.int64), np.frombuffer(many.as_py(), "<u4")
+                df = np.diff(first)
+                if len(df) and many.max() > 1:
+                    df = np.add.reduceat(many.astype(np.int64)[_wide(doc.as_py(), int(first[-1]))], first[:-1])
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(names.as_py(), np.int64)), pa.array(df)], ["term", "df"])
 
-    return index.select("names", "first").mapInArrow(run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
+    return index.select("names", "first", "doc", "many").mapInArrow(run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
 
 
 def _totals(index: DataFrame) -> tuple[int, int]:
     def run(batches):
         n = words = 0
         for batch in batches:
-            for x in batch.column(0):
-                x = np.frombuffer(x.as_py(), "<u4")
-                n, words = n + len(x), words + int(x.sum(dtype=np.int64))
+            for x, many in zip(*batch.columns, strict=True):
+                many = np.frombuffer(many.as_py(), "<u4").astype(np.int64)
+                n, words = n + int(many.sum()), words + int(np.frombuffer(x.as_py(), "<u4") @ many)
         yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([words])], ["n", "words"])
 
-    r = index.select("words").mapInArrow(run, "n long, words long").agg(F.sum("n").alias("n"), F.sum("words").alias("words")).first()
+    r = index.select("words", "many").mapInArrow(run, "n long, words long").agg(F.sum("n").alias("n"), F.sum("words").alias("words")).first()
     return r["n"] or 0, r["words"] or 0
 
 
@@ -452,9 +480,12 @@ def search(docs: DataFrame, k: int = TOP_K, every: int = 50) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select("doc_id", "text")
-    index = materialize(build_index(docs))
-    chosen = docs.where(F.col("doc_id") % every == 0).groupBy("doc_id").agg(F.min("text").alias("text"))
-    queries = materialize(_terms(chosen))
+    more = k + 1  # a query's own row is among its answers till the end
+    copies = copies_of(docs, more)
+    index = materialize(build_index(_once(docs, copies)))
+    chosen = materialize(docs.where(F.col("doc_id") % every == 0).groupBy("doc_id").agg(F.min("text").alias("text")).withColumn("h", _named(F.col("text"))))
+    of = materialize(chosen.select(F.col("doc_id").alias("query_id"), "h").join(chosen.groupBy("h").agg(F.min("doc_id").alias("asked")), "h").select("query_id", "asked"))
+    queries = materialize(_terms(chosen.join(of.select(F.col("asked").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", "text")))
     n, words = _totals(index)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")  # a row is a shard
     many, terms = queries.agg(F.count("*"), F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()
@@ -471,20 +502,36 @@ def search(docs: DataFrame, k: int = TOP_K, every: int = 50) -> DataFrame:
     sample = index.where((F.pmod(F.xxhash64("shard"), F.lit(SAMPLED)) == 0) | (F.col("shard") == least_shard))
     for part in range(parts):
         asked = _asked(dealt, vocabulary, part, n)
-        first = merged(answer(sample, asked, words / n, k, np.zeros(len(asked.ids))), k)
-        reached = {r["query_id"]: r["least"] for r in first.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("least")).where(F.col("n") == k).collect()}
+        first = merged(answer(sample, asked, words / n, more, np.zeros(len(asked.ids))), more)
+        reached = {r["query_id"]: r["least"] for r in first.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("least")).where(F.col("n") == more).collect()}
         least = np.array([reached.get(q, 0.0) for q in asked.ids])
-        merged(answer(index, asked, words / n, k, least), k).write.mode("append").parquet(out)
+        merged(answer(index, asked, words / n, more, least), more).write.mode("append").parquet(out)
     small_batches(spark)
-    return spark.read.parquet(out)
+    return _expanded(spark.read.parquet(out), copies, of, k)
+
+
+def _expanded(found: DataFrame, copies: DataFrame, of: DataFrame, k: int) -> DataFrame:
+    """Answers of distinct texts to distinct texts, as answers of all rows to all queries: the k + 1 best of a text hold the k best others of each of its rows."""
+    all_ids = found.join(copies.select("doc_id", "ids"), "doc_id", "left").select("query_id", F.explode(F.coalesce("ids", F.array("doc_id"))).alias("doc_id"), "score")
+    best = merged(all_ids, k + 1).select(F.col("query_id").alias("asked"), "doc_id", "score")
+    return merged(of.join(best, "asked").where("doc_id <> query_id").select("query_id", "doc_id", "score"), k)
 
 
 def _asked(dealt: DataFrame, vocabulary: DataFrame, part: int, n: int) -> Asked:
-    """A block of queries on the driver, of about QUERIES queries and TERMS terms at most."""
-    words = vocabulary.where(F.col("part") == part).select("term", "df").toPandas()
-    df = dict(zip(words["term"].tolist(), words["df"].tolist(), strict=True))
-    rows = dealt.where(F.col("part") == part).select("doc_id", "terms").orderBy("doc_id").collect()
-    return Asked([{"doc_id": r["doc_id"], "terms": r["terms"], "dfs": [df[t] for t in r["terms"]]} for r in rows], n)
+    """A block of queries on the driver, of about QUERIES queries and TERMS terms at most, as arrays from end to end."""
+    small_batches(dealt.sparkSession)
+    words = vocabulary.where(F.col("part") == part).select("term", "df").toArrow()
+    names, df = words["term"].to_numpy().view(_U), words["df"].to_numpy().astype(float)
+    del words
+    order = np.argsort(names)
+    rows = dealt.where(F.col("part") == part).select("doc_id", "terms").toArrow()
+    dealt.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    lists = [x for x in rows["terms"].chunks if len(x)]
+    size = np.concatenate([np.diff(x.offsets.to_numpy()) for x in lists] or [np.empty(0, np.int64)]).astype(np.int64)
+    terms = np.concatenate([x.flatten().to_numpy().view(_U) for x in lists] or [np.empty(0, _U)])
+    ids = rows["doc_id"].to_pylist()
+    del rows, lists
+    return Asked(ids, size, terms, names[order], df[order], n)
 
 
 def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:

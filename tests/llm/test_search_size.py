@@ -55,3 +55,51 @@ def test_narrow_and_wide():
         x = np.array([0, most, 7])
         assert len(search._narrow(x)) == 3 * size and search._wide(search._narrow(x), 3).tolist() == x.tolist()
     assert len(search._wide(search._narrow(np.empty(0, int)), 0)) == 0
+
+
+def test_queries_side_by_side():
+    """Each gets what it gets by brute force, also where lists after the pivot are skipped or read later."""
+    import numpy as np
+
+    search, docs, made = _made(700, 60)
+    df = np.unique(np.concatenate([d[0] for d in docs]), return_counts=True)
+    idf = np.log1p((700 - df[1] + 0.5) / (df[1] + 0.5))
+    shard = search.Shard(*made.values(), 100.0, 128)
+    asked = [0, 5, 9, 333]
+    terms = [np.searchsorted(shard.names, docs[i][0]) for i in asked]
+    terms = [t[np.argsort(-idf[t], kind="stable")] for t in terms]
+    first = np.concatenate([[0], np.cumsum([len(t) for t in terms])])
+    want = []
+    for i in asked:
+        scores = []
+        for j, (names, tf, words) in enumerate(docs):
+            same = np.isin(names, docs[i][0])
+            weight = idf[np.searchsorted(df[0], names[same])]
+            scores.append((-round(float((weight * tf[same] * 2.2 / (tf[same] + 1.2 * (0.25 + 0.75 * words / 100.0))).sum()), 6), j))
+        want.append(sorted(x for x in scores if x[1] != i)[:5])
+    for least in (np.zeros(4), np.array([-w[4][0] for w in want]), np.array([-w[0][0] for w in want])):
+        kept = least.copy()
+        got = {q: search.best_of(ids, s, 5) for q, ids, s in shard.search_all(np.concatenate(terms), idf[np.concatenate(terms)], first, 5, least, asked)}
+        assert (least == kept).all()
+        for q, w in enumerate(want):
+            w = [x for x in w if -x[0] >= kept[q]]
+            assert got[q][0][: len(w)].tolist() == [j for _, j in w] and np.allclose(got[q][1][: len(w)], [-s for s, _ in w])
+
+
+def test_equal_texts_are_indexed_once(spark):
+    """A table of copies takes the work of its distinct texts, and still gives every row its k best others."""
+    from kinweave.llm import search
+
+    texts = [f"alpha beta{i % 7} gamma{i % 3} delta{i}" for i in range(20)]
+    rows = [(i + 100 * c, t) for c in range(30) for i, t in enumerate(texts)] + [(None, texts[0]), (5000, None), (5001, None), (7, "zeta other"), (7, texts[1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    copies = search.copies_of(docs, 11)
+    once = search._once(docs, copies).collect()
+    # the texts of id 7, which comes again, stand row by row
+    assert len(once) == 18 + 2 * 30 + 1 + 1 + 1 and sum(r["many"] for r in once) == len(rows)
+    got = {}
+    for r in search.search(docs, k=10, every=50).orderBy("rank").collect():
+        got.setdefault(r["query_id"], []).append(r["doc_id"])
+    assert sorted(got) == sorted(100 * c for c in range(30))  # null texts give nothing
+    for q, ids in got.items():
+        assert ids == [100 * c for c in range(12) if 100 * c != q][:10]
