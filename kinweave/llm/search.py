@@ -5,17 +5,17 @@ or POSTINGS postings, with postings by term and document, and the documents of a
 keeps like ones together. Global statistics (documents, mean length, document frequencies) are counted
 over the whole index, so all shards score alike and the shards' best k merge to the exact best k.
 
-In a shard a query's lists stand by falling bound, the most a list can give. The pivot is the first list
-from which all that follow, together, stay below the least score that still matters: a document in none
-of the lists before it can't reach that score. Lists carry the maximum of each block of BLOCK documents.
-A block whose maxima together stay below the least score is skipped by all lists, without a look at its
-postings. In the blocks left the lists before the pivot are read; a document goes on if what it has there
-and the maxima of the other lists in its block can reach the least score, and only then is scored whole,
-from its own terms. Lists after the pivot are read along with the others, which saves the second look, unless
-they hold most of the postings. What is read is held as single floats, whose error the bounds allow for; answers
-are scored in doubles. Pivots are taken for all blocks of a shard at once, not for one document after the
-other, so that numpy does the work. The least score is the k-th best so far: of a sample of shards first,
-then of the task's shards before, then of what the lists before the pivot already give.
+In a block of BLOCK documents each list has a cell, with its largest gain. A block whose maxima together stay
+below the least score that still matters to a query is skipped by all the query's lists. Cells of many of the
+block's documents stand in a table, and give what they give as one product for TOGETHER queries. The others stand
+by falling idf. The pivot is the first from which all that follow, together with the most that the table gave,
+stay below the least score: a document in none of the lists before it can't reach that score. Lists before the
+pivot are read; those after it along with them, which saves a second look, unless they hold most of the postings;
+then they are read only if many documents are left. What can still reach the least score is scored whole, from its
+own terms. What is read is held as single floats, whose error the bounds allow for; answers are scored in doubles.
+The least score is the k-th best so far: of a sample of shards first, then of the task's shards before, then of
+what the block's lists already give. Equal texts are indexed once, with the number of their rows, and asked once;
+their rows share the answers.
 
 Queries are rows of the table itself, whole texts, each distinct term once; a document isn't its own
 answer, equal texts are. They are answered in blocks of about QUERIES queries and TERMS terms, one after
