@@ -20,6 +20,8 @@ FEATURES = (
     "high_name_and_high_addr",
 )
 HIGH = 0.85
+#: What is compared of addresses besides their words.
+PATTERNS = {"housenum": r"\b(\p{Nd}+[a-zA-Z]?)\b", "pin": r"\b(\p{Nd}{5,6})\b"}
 
 
 def _flag(c: Column) -> Column:
@@ -44,6 +46,10 @@ def _digits(c: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(c, F.lit(r"(\p{Nd}+)"), F.lit(1)))
 
 
+def first_match(c: Column, pattern: str) -> Column:
+    return F.lower(F.regexp_extract(c, pattern, 1))
+
+
 def _native(side: str, a: Column, b: Column, distance: Column) -> dict[str, Column]:
     la, lb = F.length(a), F.length(b)
     jaccard, containment, shared = _sets(tokens(a), tokens(b))
@@ -66,16 +72,15 @@ def _native(side: str, a: Column, b: Column, distance: Column) -> dict[str, Colu
             "name_prefix4_match": _equal(F.substring(a, 1, 4), F.substring(b, 1, 4)),
         }
     else:
-        first = lambda c, pattern: F.lower(F.regexp_extract(c, pattern, 1))
-        out |= {f"addr_{k}_match": _equal(first(a, p), first(b, p)) for k, p in (("housenum", r"\b(\p{Nd}+[a-zA-Z]?)\b"), ("pin", r"\b(\p{Nd}{5,6})\b"))}
+        out |= {f"addr_{k}_match": _equal(first_match(a, p), first_match(b, p)) for k, p in PATTERNS.items()}
     return out
 
 
-def native_features(pairs: DataFrame, distances: dict[str, Column] | None = None) -> DataFrame:
-    """All features but the edit similarities; pairs as made by pair_table. distances: edit distances by side, if they are there."""
+def country_features() -> dict[str, Column]:
+    """What countries, ids and the number of candidates tell."""
     c = F.col
     s1, s2 = c("s1_country"), c("cand_country")
-    country = {
+    return {
         "country_exact": _equal(s1, s2),
         "country_conflict": _flag((s1 != "") & (s2 != "") & (s1 != s2)),
         "country_both_present": _flag((s1 != "") & (s2 != "")),
@@ -85,9 +90,14 @@ def native_features(pairs: DataFrame, distances: dict[str, Column] | None = None
         "cand_is_s3": _flag(c("cand_id").startswith("S3-")),
         "n_candidates_for_s1": c("n_cands").cast("double"),
     }
+
+
+def native_features(pairs: DataFrame, distances: dict[str, Column] | None = None) -> DataFrame:
+    """All features but the edit similarities; pairs as made by pair_table. distances: edit distances by side, if they are there."""
+    c = F.col
     sides = {side: (c(f"s1_{side}"), c(f"cand_{side}")) for side in ("name", "addr")}
     native = {side: _native(side, a, b, distances[side] if distances else F.levenshtein(a, b)) for side, (a, b) in sides.items()}
-    return pairs.withColumns(native["name"] | native["addr"] | country)
+    return pairs.withColumns(native["name"] | native["addr"] | country_features())
 
 
 def pair_features(pairs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -108,12 +118,16 @@ def pair_features(pairs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     return out.select("s1_id", "cand_id", *extra, *(clean(f) for f in FEATURES))
 
 
+def counted(pairs: DataFrame) -> DataFrame:
+    return pairs.join(pairs.groupBy("s1_id").agg(F.count("*").alias("n_cands")), "s1_id")
+
+
 def pair_table(pairs: DataFrame, s1: DataFrame, lookup: DataFrame) -> DataFrame:
-    """pairs (s1_id, cand_id) with both records' clean texts; n_cands counts an entity's pairs before unknown ids are dropped.
+    """pairs (s1_id, cand_id) with both records' clean texts; n_cands, if it isn't there, counts an entity's pairs before unknown ids are dropped.
 
     The shuffle of the last join has a fixed number of parts: what follows works long on few bytes, so parts aren't to be merged by size.
     """
     parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = pairs.groupBy("s1_id").agg(F.count("*").alias("n_cands"))
+    pairs = pairs if "n_cands" in pairs.columns else counted(pairs)
     side = lambda df, k: df.select(F.col("entity_id").alias(f"{k}_id"), F.col("name_clean").alias(f"{k}_name"), F.col("address_clean").alias(f"{k}_addr"), F.col("country_clean").alias(f"{k}_country"))
-    return pairs.join(counts, "s1_id").join(side(s1, "s1"), "s1_id").repartition(parts, "cand_id").join(side(lookup, "cand"), "cand_id")
+    return pairs.join(side(s1, "s1"), "s1_id").repartition(parts, "cand_id").join(side(lookup, "cand"), "cand_id")

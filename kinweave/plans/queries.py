@@ -333,8 +333,9 @@ def dedupe_last(spark, d):
 
 @query
 def predict_links(spark, d):
-    """Trains on the sampled pairs and scores all candidates; their features are made once."""
+    """Trains on the sampled pairs and scores all candidates; records are normalised once, pairs made once."""
     x = Data(spark, d)
-    rows = flow.held(flow.all_features(x.ents, x.pairs))
-    made = model.train(flow.held(flow.sampled_features(rows, x.gt)))
-    return model.predict(made, rows)
+    x.ents = flow.held(x.ents)
+    x.pairs = flow.held(x.pairs)
+    made = model.train(flow.held(flow.sampled_features(x.ents, x.pairs, x.gt)))
+    return model.predict(made, flow.all_features(x.ents, x.pairs, made))
