@@ -19,6 +19,8 @@ from kinweave.functions.keys import tokens
 
 #: Slots for the counts of a text's characters and of its distinct words, which several of them share: that only raises what two texts may have in common.
 CHARACTERS, WORDS, MOST = 32, 64, (1 << 16) - 1
+#: Leaves that differ by no more, as equal ones do by the order of their sums, are one leaf.
+EQUAL = 1e-12
 PLACE = {f: i for i, f in enumerate(FEATURES)}
 
 
@@ -142,7 +144,7 @@ def reached(tree, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def bounded_features(pairs: DataFrame, s1: DataFrame, lookup: DataFrame, trees: list) -> DataFrame:
     """(s1_id, cand_id, n_cands, seen, sure) of pairs (s1_id, cand_id, n_cands): values of the features that the trees look at, in order, and
-    whether they lead to the leaves that the features themselves lead to."""
+    whether they lead to the leaves that the features themselves lead to, or to ones within EQUAL of them."""
     c = F.col
     met = pairs.join(signatures(lookup, "cand"), "cand_id").join(signatures(s1, "s1"), "s1_id")
     equal = lambda f: _equal(c(f"s1_{f}"), c(f"cand_{f}"))
@@ -159,7 +161,7 @@ def bounded_features(pairs: DataFrame, s1: DataFrame, lookup: DataFrame, trees:
             sure = np.ones(len(pdf), bool)
             for tree in trees:
                 least, most = reached(tree, low, high)
-                sure &= least == most
+                sure &= most - least <= EQUAL
             yield pdf[["s1_id", "cand_id", "n_cands"]].assign(seen=list(low[:, used]), sure=sure)
 
     ready = met.select("s1_id", "cand_id", "n_cands", *sides, *(x.alias(f) for f, x in told.items()))

@@ -36,7 +36,7 @@ class Data:
 
     @functools.cached_property
     def ents(self):
-        return normalize_entities(self.raw, self.variant)
+        return normalize_entities(self.raw, self.variant).drop("business_name", "business_address", "country")
 
     @functools.cached_property
     def s1(self):
